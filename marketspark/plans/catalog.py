@@ -313,14 +313,15 @@ def upsert_delete_insert(spark: SparkSession, sf: str) -> DataFrame:
 
 def bronze_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "bronze")
-    bronze.append_documents(given.fx_bronze(spark, sf), path)
+    bronze.append_documents(given.fx_bronze(spark, sf), path, "month")
     rows = stage_fx(bronze.read_documents(spark, path, FX_BRONZE, multi_line=False))
     return rows.select(*FX_KEY, "rate", "ingestion_id")
 
 
 def silver_partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "silver")
-    tables.write_by_date(_silver(spark, sf), path, sort=("asset_type", "instrument"))
+    writers = spark.sparkContext.defaultParallelism
+    tables.write_by_date(_silver(spark, sf), path, "day", jobs.SILVER_SORT, writers)
     return _round(tables.read_by_date(spark, path, SILVER), "return")
 
 
@@ -339,7 +340,7 @@ def medallion_run(spark: SparkSession, sf: str) -> DataFrame:
     )
     jobs.run(
         spark, paths, ALL_DAYS, rates=rates, bars=given.vendor_wide(spark, sf),
-        tickers=[t.strip() for t in given.TICKERS], run_at=RUN_AT,
+        tickers=[t.strip() for t in given.TICKERS], run_at=RUN_AT, grain="month",
     )
     return _rounded_wide(tables.read_table(spark, paths.of("gold", "market_data")))
 
@@ -350,7 +351,7 @@ def stream_incremental(spark: SparkSession, sf: str) -> DataFrame:
     records = given.fx_bronze(spark, sf)
     early = F.col("date") <= F.lit(KNOWN_FX_UNTIL).cast("date")
     for drop in (records.where(early), records.where(~early)):
-        bronze.append_documents(drop, root)
+        bronze.append_documents(drop, root, "month")
         stage_new_files(
             spark, root, FX_BRONZE, stage_fx, target, FX_KEY, FX_ORDER, checkpoint, multi_line=False
         ).awaitTermination()

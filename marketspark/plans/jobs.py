@@ -33,6 +33,9 @@ from marketspark.sources.tables import (
 from marketspark.sources.vendor import wide_to_long
 
 
+SILVER_SORT = ("asset_type", "instrument")
+
+
 @dataclass(frozen=True)
 class Paths:
     """Folders of the layers below one root."""
@@ -46,6 +49,7 @@ class Paths:
 def land(
     records: DataFrame, root: str, schema: T.StructType, keys: Sequence[str], source: str,
     window: tuple[str, str], arrival: Sequence[str] = (), run_at: str | None = None,
+    grain: str = "day",
 ) -> None:
     """Append the records of the window whose key Bronze lacks, the first of each key."""
     require_columns(records, keys, "records to land")
@@ -56,7 +60,7 @@ def land(
     dated = records.where(in_window(F.col("date").cast("date"), *window))
     dated = dated.withColumn("date", F.col("date").cast("date").cast("string"))
     fresh = keep_first(dated, read_landed(spark, root, schema, window), keys, order)
-    append_documents(enrich(fresh.select(*fields), source, run_at), root)
+    append_documents(enrich(fresh.select(*fields), source, run_at), root, grain)
 
 
 def stage(spark: SparkSession, paths: Paths, window: tuple[str, str]) -> None:
@@ -76,25 +80,30 @@ def staged(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]:
     return tables[0], tables[1]
 
 
-def build_silver(spark: SparkSession, paths: Paths) -> None:
+def build_silver(spark: SparkSession, paths: Paths, grain: str = "day") -> None:
     """Rebuild Silver from all staging, so returns look back past any window."""
     rows = silver(*staged(spark, paths))
-    write_by_date(rows, paths.of("models", "silver"), sort=("asset_type", "instrument"))
+    write_by_date(rows, paths.of("models", "silver"), grain, SILVER_SORT)
 
 
 def publish(spark: SparkSession, paths: Paths, layer: str, table: str, tests: str | None = None) -> None:
     """Copy a built table to its published folder, once it passes the gate."""
-    built = paths.of("models", table)
-    dated = read_by_date(spark, built, SILVER) if table == "silver" else read_table(spark, built)
-    if dated is None:
-        raise ValueError(f"{table} is not built")
-    check_publishable(dated, table)
+    write_table(gate(read_table(spark, paths.of("models", table)), table, tests), paths.of(layer, table))
+
+
+def publish_silver(spark: SparkSession, paths: Paths, grain: str = "day") -> None:
+    built = read_by_date(spark, paths.of("models", "silver"), SILVER)
+    if built is None:
+        raise ValueError("silver is not built")
+    write_by_date(gate(built, "silver", "silver"), paths.of("silver", "silver"), grain, SILVER_SORT)
+
+
+def gate(built: DataFrame, table: str, tests: str | None = None) -> DataFrame:
+    """Refuse an empty or malformed table, and one that fails its declared tests."""
+    check_publishable(built, table)
     if tests:
-        check_tests(run_tests(dated, DECLARED_TESTS[tests]))
-    if table == "silver":
-        write_by_date(dated, paths.of(layer, table), sort=("asset_type", "instrument"))
-    else:
-        write_table(dated, paths.of(layer, table))
+        check_tests(run_tests(built, DECLARED_TESTS[tests]))
+    return built
 
 
 def build_gold(spark: SparkSession, paths: Paths, window: tuple[str, str]) -> None:
@@ -128,23 +137,25 @@ def run(
     spark: SparkSession, paths: Paths, window: tuple[str, str],
     rates: DataFrame | None = None, rates_source: str = "fx",
     bars: DataFrame | None = None, bars_source: str = "equity", tickers: Sequence[str] = (),
-    run_at: str | None = None,
+    run_at: str | None = None, grain: str = "day",
 ) -> None:
     """One window from fetched records to published tables.
 
     ``rates`` are records (date, base, quote, rate); ``bars`` is the vendor's wide
     frame. Staging accumulates over runs, Silver covers all of it, and the market
-    table holds the window only.
+    table holds the window only. ``grain`` sets the directories of Bronze and Silver;
+    months suit long histories of few instruments.
     """
     if rates is not None:
-        land(rates, paths.of("bronze", "rates"), FX_BRONZE, FX_KEY, rates_source, window, run_at=run_at)
+        land(rates, paths.of("bronze", "rates"), FX_BRONZE, FX_KEY, rates_source, window,
+             run_at=run_at, grain=grain)
     if bars is not None:
         long = wide_to_long(bars, tickers)
         land(long, paths.of("bronze", "market"), EQUITY_BRONZE, ("date", "ticker"), bars_source,
-             window, run_at=run_at)
+             window, run_at=run_at, grain=grain)
     stage(spark, paths, window)
-    build_silver(spark, paths)
-    publish(spark, paths, "silver", "silver", tests="silver")
+    build_silver(spark, paths, grain)
+    publish_silver(spark, paths, grain)
     build_gold(spark, paths, window)
     publish(spark, paths, "gold", "market_data", tests="gold_market")
     publish(spark, paths, "gold", "daily_returns")

@@ -52,17 +52,17 @@ def unreadable(documents: DataFrame, keys: Sequence[str]) -> DataFrame:
     return documents.where(F.col(CORRUPT).isNotNull() & empty).select("source_file", CORRUPT)
 
 
-def append_documents(df: DataFrame, root: str) -> None:
+def append_documents(df: DataFrame, root: str, grain: str = "day") -> None:
     """Append records as JSON lines below ``year=/month=/day=`` of their date.
 
-    A file holds many records of a day, not one: object stores and file listings
-    suffer from one file per record. The rebalance hint splits an outsized day.
+    A file holds many records of a day (or month), not one: object stores and file
+    listings suffer from one file per record. The rebalance hint splits an outsized day.
     """
-    parts = GRAINS["day"]
+    parts = GRAINS[grain]
     day = F.col("date").cast("date")
-    shapes = dict(zip(parts, ("yyyy", "MM", "dd")))
+    shapes = {"year": "yyyy", "month": "MM", "day": "dd"}
     (
-        df.withColumns({name: F.date_format(day, shape) for name, shape in shapes.items()})
+        df.withColumns({name: F.date_format(day, shapes[name]) for name in parts})
         .hint("rebalance", *[F.col(name) for name in parts])
         .write.mode("append").partitionBy(*parts).json(root)
     )
@@ -73,7 +73,7 @@ def read_landed(
 ) -> DataFrame:
     """Records written by ``append_documents``; empty where nothing has landed.
 
-    With a ``window`` only the directories of its days are read.
+    With a ``window`` only the directories of its days (or months) are read.
     """
     try:
         landed = spark.read.schema(with_corrupt(schema)).options(**json_options(False)).json(root)
@@ -81,9 +81,9 @@ def read_landed(
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], with_corrupt(schema))
-    if window and "day" in landed.columns:
-        first, last = check_window(*window)
-        landed = landed.where(in_periods(landed, period_value(first, "day"), period_value(last, "day")))
+    if window and "year" in landed.columns:
+        grain = "day" if "day" in landed.columns else "month"
+        landed = landed.where(in_periods(landed, *[period_value(d, grain) for d in check_window(*window)]))
     return landed.select(*with_corrupt(schema).fieldNames())
 
 

@@ -30,19 +30,26 @@ def in_periods(table: DataFrame, first: int, last: int) -> Column:
     return number.between(first, last)
 
 
-def write_by_date(df: DataFrame, path: str, grain: str = "day", sort: Sequence[str] = ()) -> None:
+def write_by_date(
+    df: DataFrame, path: str, grain: str = "day", sort: Sequence[str] = (), tasks: int | None = None
+) -> None:
     """Replace the date partitions that ``df`` holds and leave all others.
 
-    The rebalance hint brings each date together, yet splits a date that is much
-    larger than the rest and joins small ones, at run time.
+    The rebalance hint brings each partition together, yet splits one that is much
+    larger than the rest and joins small ones, at run time. Where the table has one
+    row per key, days are alike and ``tasks`` may fix the number of writers instead:
+    many small days are then written side by side.
     """
     parts = GRAINS[grain]
     two = lambda c: F.lpad(c.cast("string"), 2, "0")
     values = {"year": F.year("date"), "month": two(F.month("date")), "day": two(F.dayofmonth("date"))}
+    placed = df.withColumns({name: values[name] for name in parts})
+    if tasks:
+        placed = placed.repartition(tasks, *parts)
+    else:
+        placed = placed.hint("rebalance", *[F.col(name) for name in parts])
     (
-        df.withColumns({name: values[name] for name in parts})
-        .hint("rebalance", *[F.col(name) for name in parts])
-        .sortWithinPartitions(*parts, *sort)
+        placed.sortWithinPartitions(*parts, *sort)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(path)
     )
