@@ -4,36 +4,34 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DAY_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
 DAY_OR_TIME_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 
 
-def day(value: Column, kind: T.DataType, allow_time: bool = False) -> Column:
+def day(value: str, kind: T.DataType, allow_time: bool = False) -> str:
     """A column as a date; text of any other shape than year-month-day is null."""
     if isinstance(kind, T.StringType):
         shape = DAY_OR_TIME_PATTERN if allow_time else DAY_PATTERN
-        return F.when(value.rlike(shape), value.try_cast("date"))
-    return value.cast("date")
+        return f"if({value} rlike r'{shape}', try_cast({value} as date), null)"
+    return f"cast({value} as date)"
 
 
-def week_start(value: Column) -> Column:
+def week_start(value: str) -> str:
     """Monday of the week."""
-    return F.date_trunc("week", value).cast("date")
+    return f"cast(date_trunc('week', {value}) as date)"
 
 
-def days(start: str, end: str) -> Column:
+def days(start: str, end: str) -> str:
     """All calendar days of a closed window, as an array."""
     first, last = check_window(start, end)
-    return F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day"))
+    return f"sequence(date '{first}', date '{last}', interval 1 day)"
 
 
-def spine(start: str, end: str) -> Column:
+def spine(start: str, end: str) -> str:
     """One row per calendar day, both ends included."""
-    return F.explode(days(start, end))
+    return f"explode({days(start, end)})"
 
 
 def check_window(start: str, end: str) -> tuple[date, date]:
@@ -53,8 +51,7 @@ def half_open(start: str, end: str) -> tuple[str, str]:
     return first.isoformat(), (last + timedelta(days=1)).isoformat()
 
 
-def in_window(value: Column, start: str, end: str, end_inclusive: bool = True) -> Column:
+def in_window(value: str, start: str, end: str, end_inclusive: bool = True) -> str:
     """Filter on a date column, closed unless ``end_inclusive`` is false."""
     first, last = check_window(start, end)
-    upper = value <= F.lit(last) if end_inclusive else value < F.lit(last)
-    return (value >= F.lit(first)) & upper
+    return f"{value} >= date '{first}' and {value} {'<=' if end_inclusive else '<'} date '{last}'"

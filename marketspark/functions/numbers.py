@@ -2,38 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def number(value: Column, kind: T.DataType) -> Column:
+def number(value: str, kind: T.DataType) -> str:
     """A column as double; unreadable text and NaN become null."""
     if isinstance(kind, T.StringType):
-        return F.when(value.rlike(NUMBER_PATTERN), value.try_cast("double"))
+        return f"if({value} rlike r'{NUMBER_PATTERN}', try_cast({value} as double), null)"
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(value), value.cast("double"))
-    return value.cast("double")
+        return f"if(isnan({value}), null, cast({value} as double))"
+    return f"cast({value} as double)"
 
 
-def double(value: Column) -> Column:
+def double(value: str) -> str:
     """Plain lenient cast, for values whose shape a rule has already checked."""
-    return value.try_cast("double")
+    return f"try_cast({value} as double)"
 
 
-def whole(value: Column, kind: T.DataType) -> Column:
+def whole(value: str, kind: T.DataType) -> str:
     """A column as bigint; unreadable values become null."""
     if isinstance(kind, (T.StringType, T.DoubleType, T.FloatType)):
-        return F.coalesce(value.try_cast("bigint"), number(value, kind).try_cast("bigint"))
-    return value.cast("bigint")
+        return f"coalesce(try_cast({value} as bigint), try_cast({number(value, kind)} as bigint))"
+    return f"cast({value} as bigint)"
 
 
-def positive(value: Column) -> Column:
+def positive(value: str) -> str:
     """Greater than zero and finite; NaN sorts above infinity, so it fails too."""
-    return (value > 0) & (value < F.lit(float("inf")))
+    return f"{value} > 0 and {value} < double('Infinity')"
 
 
-def rounded(value: Column, digits: int, half_even: bool = False) -> Column:
-    return F.bround(value, digits) if half_even else F.round(value, digits)
+def rounded(value: str, digits: int, half_even: bool = False) -> str:
+    return f"{'bround' if half_even else 'round'}({value}, {digits})"

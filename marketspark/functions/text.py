@@ -2,34 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Every character that counts as white space at the ends of a text (tabs, line
 # ends, no-break and other Unicode blanks), not only the blank ``trim`` removes.
 BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+ASCII_BLANKS = "".join(blank for blank in BLANKS if blank.isascii())
+
+
+def literal(text: str) -> str:
+    """A SQL string literal; everything but letters and digits is escaped."""
+    return "'" + "".join(c if c.isascii() and c.isalnum() else f"\\u{ord(c):04x}" for c in text) + "'"
 
-CURRENCY_PATTERN = r"^\p{L}{3}$"
 
+def strip(text: str) -> str:
+    """Remove white space of any kind at both ends; plain ``trim`` removes blanks only.
 
-def strip(text: Column) -> Column:
-    """Remove white space of any kind at both ends; plain ``trim`` removes blanks only."""
-    return F.btrim(text, F.lit(BLANKS))
+    Nearly all texts are ASCII, and the short list of blanks is cheaper to test.
+    """
+    return (
+        f"if(octet_length({text}) = char_length({text}), "
+        f"btrim({text}, {literal(ASCII_BLANKS)}), btrim({text}, {literal(BLANKS)}))"
+    )
 
 
-def currency(code: Column) -> Column:
-    return F.upper(strip(code))
+def currency(code: str) -> str:
+    return f"upper({strip(code)})"
 
 
-def is_currency(code: Column) -> Column:
-    return currency(code).rlike(CURRENCY_PATTERN)
+def is_currency(code: str) -> str:
+    """Three letters, of any alphabet."""
+    return rf"{currency(code)} rlike r'^\p{{L}}{{3}}$'"
 
 
-def pair_name(base: Column, quote: Column) -> Column:
+def pair_name(base: str, quote: str) -> str:
     """``BASE/QUOTE``; null when either side is null."""
-    return F.concat(base, F.lit("/"), quote)
+    return f"{base} || '/' || {quote}"
 
 
-def safe_ticker(ticker: Column) -> Column:
+def safe_ticker(ticker: str) -> str:
     """Ticker as a path component. It is lossy, so it never serves as a key."""
-    return F.translate(ticker, "^/ ", "___")
+    return f"translate({ticker}, '^/ ', '___')"

@@ -4,26 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def align(df: DataFrame, schema: T.StructType, extra: tuple[str, ...] = (), **values: Column) -> DataFrame:
+def align(df: DataFrame, schema: T.StructType, extra: tuple[str, ...] = (), **values: str) -> DataFrame:
     """Select ``schema`` in its order; absent columns become typed nulls.
 
-    ``values`` gives columns by expression, ``extra`` keeps further columns behind.
+    ``values`` gives columns by SQL expression, ``extra`` keeps further columns behind.
     """
-    def pick(field: T.StructField) -> Column:
-        if field.name in values:
-            column = values[field.name]
-        elif field.name in df.columns:
-            column = F.col(field.name)
-        else:
-            column = F.lit(None)
-        return column.cast(field.dataType).alias(field.name)
-
-    return df.select(*[pick(field) for field in schema.fields], *extra)
+    present = set(df.columns)
+
+    def pick(field: T.StructField) -> str:
+        source = values.get(field.name, f"`{field.name}`" if field.name in present else "null")
+        return f"cast({source} as {field.dataType.simpleString()}) as `{field.name}`"
+
+    return df.selectExpr(*[pick(field) for field in schema.fields], *extra)
 
 
 def stack(*frames: DataFrame) -> DataFrame:

@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.functions.dates import check_window, in_window, spine
+from marketspark.functions.dates import in_window, spine
 from marketspark.functions.text import pair_name
+from marketspark.schemas import FX_KEY
 
 OBJECT_KEY = r"(?:^|/)(\d{4})/(\d{1,2})/(\d{1,2})/([^/_]+)_([^/_]+)\.json$"
 
 
 def keys_from_paths(paths: DataFrame) -> DataFrame:
     """(date, base, quote) out of ``…/YYYY/MM/DD/BASE_QUOTE.json``; other paths are ignored."""
-    part = lambda i: F.regexp_extract("path", OBJECT_KEY, i)
+    year, month, day, base, quote = (f"regexp_extract(path, r'{OBJECT_KEY}', {i})" for i in range(1, 6))
     return (
-        paths.where(F.col("path").rlike(OBJECT_KEY))
-        .select(
-            F.concat_ws("-", part(1), part(2), part(3)).try_cast("date").alias("date"),
-            part(4).alias("base"), part(5).alias("quote"),
+        paths.where(f"path rlike r'{OBJECT_KEY}'")
+        .selectExpr(
+            f"try_cast(concat_ws('-', {year}, {month}, {day}) as date) as date",
+            f"{base} as base", f"{quote} as quote",
         )
         .where("date is not null")
     )
@@ -33,35 +34,32 @@ def coverage(keys: DataFrame) -> DataFrame:
     return (
         keys.groupBy("base", "quote")
         .agg(
-            F.count(F.lit(1)).alias("records"),
-            F.min("date").alias("min_date"),
-            F.max("date").alias("max_date"),
-            F.count_distinct("date").alias("distinct_days"),
+            F.expr("count(*) as records"), F.expr("min(date) as min_date"),
+            F.expr("max(date) as max_date"), F.expr("count(distinct date) as distinct_days"),
         )
-        .select(
-            pair_name(F.col("base"), F.col("quote")).alias("pair"), "records", "min_date", "max_date",
-            (F.datediff("max_date", "min_date") + 1).alias("span_days"), "distinct_days",
+        .selectExpr(
+            f"{pair_name('base', 'quote')} as pair", "records", "min_date", "max_date",
+            "datediff(max_date, min_date) + 1 as span_days", "distinct_days",
         )
     )
 
 
 def coverage_totals(report: DataFrame) -> DataFrame:
-    return report.agg(
-        F.count(F.lit(1)).alias("total_pairs"),
-        F.coalesce(F.sum("records"), F.lit(0)).alias("total_records"),
-        F.coalesce(F.sum("span_days"), F.lit(0)).alias("total_days"),
+    return report.selectExpr(
+        "count(*) as total_pairs", "coalesce(sum(records), 0) as total_records",
+        "coalesce(sum(span_days), 0) as total_days",
     )
 
 
 def present_days(keys: DataFrame, start: str, end: str) -> DataFrame:
     """Distinct keys inside the window; bounded by pairs times days, however many records."""
-    return keys.where(in_window(F.col("date"), start, end)).select("date", "base", "quote").distinct()
+    return keys.where(in_window("date", start, end)).select(*FX_KEY).distinct()
 
 
 def missing_dates(universe: DataFrame, keys: DataFrame, start: str, end: str) -> DataFrame:
     """Days of the closed window without a record, per configured pair."""
-    wanted = universe.select("base", "quote", spine(start, end).alias("date"))
-    return wanted.join(present_days(keys, start, end), ["date", "base", "quote"], "left_anti")
+    wanted = universe.selectExpr(f"{spine(start, end)} as date", "base", "quote")
+    return wanted.join(present_days(keys, start, end), list(FX_KEY), "left_anti")
 
 
 def missing_report(universe: DataFrame, keys: DataFrame, start: str, end: str) -> DataFrame:
@@ -69,15 +67,11 @@ def missing_report(universe: DataFrame, keys: DataFrame, start: str, end: str) -
 
     A list is at most as long as the window.
     """
-    check_window(start, end)
-    wanted = universe.select("base", "quote", spine(start, end).alias("date"))
-    found = present_days(keys, start, end).withColumn("found", F.lit(True))
+    wanted = universe.selectExpr(f"{spine(start, end)} as date", "base", "quote")
+    found = present_days(keys, start, end).selectExpr("*", "true as found")
     return (
-        wanted.join(found, ["date", "base", "quote"], "left")
+        wanted.join(found, list(FX_KEY), "left")
         .groupBy("base", "quote")
-        .agg(F.sort_array(F.collect_list(F.when(F.col("found").isNull(), F.col("date")))).alias("missing"))
-        .select(
-            pair_name(F.col("base"), F.col("quote")).alias("pair"),
-            F.size("missing").alias("missing_days"), "missing",
-        )
+        .agg(F.expr("sort_array(collect_list(if(found is null, date, null))) as missing"))
+        .selectExpr(f"{pair_name('base', 'quote')} as pair", "size(missing) as missing_days", "missing")
     )

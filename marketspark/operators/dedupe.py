@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # The ingestion id need not be unique, so the values complete the order: rows
 # that still tie are equal in everything Silver keeps.
@@ -24,9 +23,8 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str =
     """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")
-    ranked = [
-        F.col(name).desc_nulls_last() if keep == "last" else F.col(name).asc_nulls_last()
-        for name in order
-    ]
-    window = Window.partitionBy(*keys).orderBy(*ranked)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    way = "desc" if keep == "last" else "asc"
+    ranked = ", ".join(f"`{name}` {way} nulls last" for name in order)
+    by = ", ".join(f"`{name}`" for name in keys)
+    rank = f"row_number() over (partition by {by} order by {ranked}) as _rank"
+    return df.selectExpr("*", rank).where("_rank = 1").drop("_rank")

@@ -20,11 +20,8 @@ from marketspark.schemas import FX_KEY
 
 def work_list(universe: DataFrame, existing: DataFrame, start: str, end: str) -> DataFrame:
     """Pair-days of the closed window that Bronze lacks, with the object path of each."""
-    day = F.date_format("date", "yyyy/MM/dd")
-    name = F.concat("base", F.lit("_"), "quote", F.lit(".json"))
-    return missing_dates(universe, existing, start, end).select(
-        "date", "base", "quote", F.concat_ws("/", day, name).alias("path")
-    )
+    path = "date_format(date, 'yyyy/MM/dd') || '/' || base || '_' || quote || '.json' as path"
+    return missing_dates(universe, existing, start, end).selectExpr(*FX_KEY, path)
 
 
 def enrich(df: DataFrame, source: str, run_at: str | None = None) -> DataFrame:
@@ -55,17 +52,13 @@ def landing_summary(
 
     Works on counts per key, so no record of a repeated key needs a rank.
     """
-    arrived = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("arrived"))
-    known = existing.select(*keys).distinct().withColumn("known", F.lit(True))
-    uploaded = F.when(F.col("known").isNull(), F.lit(1)).otherwise(F.lit(0))
+    arrived = batch.groupBy(*keys).agg(F.expr("count(*) as arrived"))
+    known = existing.select(*keys).distinct().selectExpr("*", "true as known")
     return (
         arrived.join(known, list(keys), "left")
-        .withColumn("uploaded", uploaded)
+        .selectExpr(*by, "arrived", "if(known is null, 1, 0) as uploaded")
         .groupBy(*by)
-        .agg(
-            F.sum("uploaded").alias("uploaded"),
-            F.sum(F.col("arrived") - F.col("uploaded")).alias("skipped"),
-        )
+        .agg(F.expr("sum(uploaded) as uploaded"), F.expr("sum(arrived - uploaded) as skipped"))
     )
 
 
@@ -78,30 +71,30 @@ def pair_outcomes(
     records of a fetched pair-day are skipped too. A pair with an invalid code
     fails without touching the others.
     """
-    valid = is_currency(F.col("base")) & is_currency(F.col("quote"))
+    valid = f"({is_currency('base')}) and ({is_currency('quote')})"
     key = list(FX_KEY)
-    wanted = universe.select(
-        "base", "quote", F.when(valid, F.lit("successful")).otherwise(F.lit("failed")).alias("status"),
-        F.explode_outer(F.when(valid, days(start, end))).alias("date"),
+    wanted = universe.selectExpr(
+        "base", "quote", f"if({valid}, 'successful', 'failed') as status",
+        f"explode_outer(if({valid}, {days(start, end)}, null)) as date",
     )
-    known = present_days(existing, start, end).withColumn("known", F.lit(1))
-    arrived = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("arrived"))
-    fetched = F.when(F.col("known").isNull(), F.coalesce("arrived", F.lit(0))).otherwise(0)
+    known = present_days(existing, start, end).selectExpr("*", "1 as known")
+    arrived = batch.groupBy(*key).agg(F.expr("count(*) as arrived"))
     return (
         wanted.join(known, key, "left").join(arrived, key, "left")
-        .withColumn("fetched", fetched)
+        .selectExpr(
+            "base", "quote", "status", "coalesce(known, 0) as known",
+            "if(known is null, coalesce(arrived, 0), 0) as fetched",
+        )
         .groupBy("base", "quote", "status")
         .agg(
-            F.count_if(F.col("fetched") > 0).alias("uploaded"),
-            F.sum(F.coalesce("known", F.lit(0)) + F.greatest(F.col("fetched") - 1, F.lit(0))).alias("skipped"),
+            F.expr("count_if(fetched > 0) as uploaded"),
+            F.expr("sum(known + greatest(fetched - 1, 0)) as skipped"),
         )
     )
 
 
 def outcome_totals(outcomes: DataFrame) -> DataFrame:
-    return outcomes.agg(
-        F.count_if(F.col("status") == "successful").alias("successful"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        F.sum("uploaded").alias("uploaded"),
-        F.sum("skipped").alias("skipped"),
+    return outcomes.selectExpr(
+        "count_if(status = 'successful') as successful", "count_if(status = 'failed') as failed",
+        "sum(uploaded) as uploaded", "sum(skipped) as skipped",
     )

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketspark.functions.text import literal
+
 
 def wide_by_date(df: DataFrame, instruments: Mapping[str, str], measures: Mapping[str, str]) -> DataFrame:
     """``measures`` maps a column to the suffix of its wide columns.
@@ -14,9 +16,9 @@ def wide_by_date(df: DataFrame, instruments: Mapping[str, str], measures: Mappin
     Conditional aggregates need one shuffle of partial results per date; dates
     without a listed instrument stay as rows of nulls.
     """
-    columns = [
-        F.max(F.when(F.col("instrument") == instrument, F.col(measure))).alias(name + suffix)
+    cells = [
+        F.expr(f"max(if(instrument = {literal(instrument)}, `{measure}`, null)) as `{name}{suffix}`")
         for measure, suffix in measures.items()
         for instrument, name in instruments.items()
     ]
-    return df.groupBy("date").agg(*columns)
+    return df.groupBy("date").agg(*cells)

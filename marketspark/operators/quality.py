@@ -6,12 +6,13 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketspark.functions.dates import day
 from marketspark.functions.numbers import double, number, positive, whole
-from marketspark.functions.text import currency, is_currency, strip
+from marketspark.functions.text import currency, is_currency, literal, strip
 from marketspark.schemas import CORRUPT, EQUITY, FX
 
 FX_COLUMNS = ("date", "base", "quote", "rate")
@@ -21,90 +22,101 @@ PRICES = ("open", "high", "low", "close", "adj_close")
 
 @dataclass(frozen=True)
 class Rule:
-    """A named row predicate; a null outcome counts as a failure."""
+    """A named row condition in SQL; a null outcome counts as a failure."""
 
     name: str
-    passes: Column
+    passes: str
 
     @property
-    def holds(self) -> Column:
-        return F.coalesce(self.passes, F.lit(False))
+    def fails(self) -> str:
+        return f"not coalesce({self.passes}, false)"
 
 
 def require_columns(df: DataFrame, names: Iterable[str], what: str) -> None:
     """Fail with the list of absent columns. Looks at the schema only."""
-    missing = [name for name in names if name not in df.columns]
+    present = set(df.columns)
+    missing = [name for name in names if name not in present]
     if missing:
         raise ValueError(f"{what} lacks columns: {missing}")
 
 
-def _readable(df: DataFrame, keys: Sequence[str]) -> list[Rule]:
+def kinds(df: DataFrame) -> dict[str, T.DataType]:
+    return {field.name: field.dataType for field in df.schema.fields}
+
+
+def _every(conditions: Iterable[str]) -> str:
+    return " and ".join(f"({condition})" for condition in conditions)
+
+
+def _not_null(names: Iterable[str]) -> list[str]:
+    return [f"{name} is not null" for name in names]
+
+
+def _readable(kind: dict[str, T.DataType], keys: Sequence[str]) -> list[Rule]:
     """A document that could not be parsed has no field at all, only its raw text."""
-    if CORRUPT not in df.columns:
+    if CORRUPT not in kind:
         return []
-    known = reduce(lambda a, b: a | b, [F.col(key).isNotNull() for key in keys])
-    return [Rule("readable", F.col(CORRUPT).isNull() | known)]
+    return [Rule("readable", f"{CORRUPT} is null or {' or '.join(_not_null(keys))}")]
 
 
 def fx_rules(df: DataFrame, check_currency: bool = True) -> list[Rule]:
     """Rules of an exchange-rate record, in the order they are attributed."""
     require_columns(df, FX_COLUMNS, "exchange-rate records")
-    kinds = dict(zip(df.columns, (f.dataType for f in df.schema.fields)))
-    rate = F.col("rate")
-    rules = _readable(df, FX_COLUMNS)
-    if CORRUPT in df.columns:
+    kind = kinds(df)
+    rules = _readable(kind, FX_COLUMNS)
+    if CORRUPT in kind:
         # The rate is read as a double: a quoted number or a boolean leaves it
         # null and keeps the raw document.
-        rules.append(Rule("rate_type", rate.isNotNull() | F.col(CORRUPT).isNull()))
-    sides = [F.col("base"), F.col("quote")]
-    code_ok = [is_currency(c) if check_currency else currency(c) != "" for c in sides]
+        rules.append(Rule("rate_type", f"rate is not null or {CORRUPT} is null"))
+    code_ok = is_currency if check_currency else (lambda side: f"{currency(side)} <> ''")
+    present = [*_not_null(FX_COLUMNS[:3]), f"{number('rate', kind['rate'])} is not null"]
     return rules + [
-        Rule("required", F.col("date").isNotNull() & sides[0].isNotNull()
-             & sides[1].isNotNull() & number(rate, kinds["rate"]).isNotNull()),
-        Rule("date_format", day(F.col("date"), kinds["date"]).isNotNull()),
-        Rule("currency", code_ok[0] & code_ok[1]),
-        Rule("positive_rate", positive(double(rate))),
+        Rule("required", _every(present)),
+        Rule("date_format", f"{day('date', kind['date'])} is not null"),
+        Rule("currency", _every(map(code_ok, ("base", "quote")))),
+        Rule("positive_rate", positive(double("rate"))),
     ]
 
 
 def equity_rules(df: DataFrame) -> list[Rule]:
     """Rules of a daily bar, in the order they are attributed."""
     require_columns(df, EQUITY_COLUMNS, "daily bars")
-    kinds = dict(zip(df.columns, (f.dataType for f in df.schema.fields)))
+    kind = kinds(df)
+    present = ["date is not null", f"{strip('ticker')} <> ''"]
+    present += [f"{number(name, kind[name])} is not null" for name in PRICES]
     # ``required`` checks the shape of each price, so later rules cast it plainly.
-    price = {name: double(F.col(name)) for name in PRICES}
-    volume = whole(F.col("volume"), kinds["volume"])
-    present = [F.col("date").isNotNull(), strip(F.col("ticker")) != ""]
-    present += [number(F.col(name), kinds[name]).isNotNull() for name in PRICES]
-    high, low = price["high"], price["low"]
-    return _readable(df, ("date", "ticker", *PRICES)) + [
-        Rule("required", reduce(lambda a, b: a & b, present)),
-        Rule("date_format", day(F.col("date"), kinds["date"], allow_time=True).isNotNull()),
-        Rule("positive_price", reduce(lambda a, b: a & b, map(positive, price.values()))),
-        Rule("ohlc", (high >= low) & (high >= price["open"]) & (high >= price["close"])
-             & (low <= price["open"]) & (low <= price["close"])),
-        Rule("volume", volume.isNull() | (volume >= 0)),
+    open_, high, low, close, _ = map(double, PRICES)
+    ohlc = [f"{high} >= {x}" for x in (low, open_, close)] + [f"{low} <= {x}" for x in (open_, close)]
+    volume = whole("volume", kind["volume"])
+    return _readable(kind, ("date", "ticker", *PRICES)) + [
+        Rule("required", _every(present)),
+        Rule("date_format", f"{day('date', kind['date'], allow_time=True)} is not null"),
+        Rule("positive_price", _every(positive(double(name)) for name in PRICES)),
+        Rule("ohlc", _every(ohlc)),
+        Rule("volume", f"{volume} is null or {volume} >= 0"),
     ]
 
 
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that pass every rule. One conjunction, so simple parts reach the scan."""
-    return df.where(reduce(lambda a, b: a & b, [rule.passes for rule in rules]))
+    return df.where(_every(rule.passes for rule in rules))
+
+
+def _failures(rules: Sequence[Rule]) -> str:
+    return ", ".join(f"if({rule.fails}, '{rule.name}', null)" for rule in rules)
 
 
 def with_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the names of all failed rules and of the first one."""
-    failed = [F.when(~rule.holds, F.lit(rule.name)) for rule in rules]
-    return df.select(
-        "*",
-        F.array_compact(F.array(*failed)).alias("reject_reasons"),
-        F.coalesce(*failed).alias("first_reason"),
+    failed = _failures(rules)
+    return df.selectExpr(
+        "*", f"array_compact(array({failed})) as reject_reasons", f"coalesce({failed}) as first_reason"
     )
 
 
 def rejected(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that fail a rule, with the reasons."""
-    return with_reasons(df, rules).where(F.col("first_reason").isNotNull())
+    return with_reasons(df, rules).where("first_reason is not null")
 
 
 def attrition(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
@@ -114,23 +126,18 @@ def attrition(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     steps and the rows are read once.
     """
     last = len(rules)
-    failing = F.coalesce(
-        *[F.when(~rule.holds, F.lit(i)) for i, rule in enumerate(rules)], F.lit(last)
+    first_failing = " ".join(f"when {rule.fails} then {i}" for i, rule in enumerate(rules))
+    counts = ", ".join(f"count_if(step > {i}) as n{i + 1}" for i in range(last))
+    steps = ", ".join(
+        f"struct('{table}' as table_name, {i + 1} as step, '{rule.name}' as rule, n{i} as rows_before, "
+        f"n{i} - n{i + 1} as rows_removed, n{i + 1} as rows_after)"
+        for i, rule in enumerate(rules)
     )
-    counted = df.select(failing.alias("step")).agg(
-        F.count(F.lit(1)).alias("n0"),
-        *[F.count_if(F.col("step") > i).alias(f"n{i + 1}") for i in range(last)],
+    return (
+        df.selectExpr(f"case {first_failing} else {last} end as step")
+        .selectExpr("count(*) as n0", *counts.split(", "))
+        .selectExpr(f"inline(array({steps}))")
     )
-    steps = [
-        F.struct(
-            F.lit(table).alias("table_name"), F.lit(i + 1).alias("step"),
-            F.lit(rule.name).alias("rule"), F.col(f"n{i}").alias("rows_before"),
-            (F.col(f"n{i}") - F.col(f"n{i + 1}")).alias("rows_removed"),
-            F.col(f"n{i + 1}").alias("rows_after"),
-        )
-        for i, rule in enumerate(rules)
-    ]
-    return counted.select(F.inline(F.array(*steps)))
 
 
 @dataclass(frozen=True)
@@ -163,29 +170,29 @@ def run_tests(df: DataFrame, tests: TableTests) -> DataFrame:
     All null and value tests share one aggregate; each unique key costs one
     aggregation, combined before the shuffle.
     """
-    checks = [("not_null", name, F.col(name).isNull()) for name in tests.not_null]
+    checks = [("not_null", name, f"`{name}` is null") for name in tests.not_null]
     checks += [
-        ("accepted_values", name, F.col(name).isNotNull() & ~F.col(name).isin(*values))
+        ("accepted_values", name, f"`{name}` not in ({', '.join(map(literal, values))})")
         for name, values in tests.accepted
     ]
 
-    def row(kind: str, name: str, failures: Column) -> Column:
-        return F.struct(
-            F.lit(tests.table).alias("table_name"), F.lit(name).alias("column_name"),
-            F.lit(kind).alias("test"), failures.alias("failures"),
+    def row(kind: str, name: str, failures: str) -> str:
+        return (
+            f"struct('{tests.table}' as table_name, '{name}' as column_name, "
+            f"'{kind}' as test, {failures} as failures)"
         )
 
     parts = []
     if checks:
-        counts = df.agg(*[F.count_if(bad).alias(f"f{i}") for i, (_, _, bad) in enumerate(checks)])
-        rows = [row(kind, name, F.col(f"f{i}")) for i, (kind, name, _) in enumerate(checks)]
-        parts.append(counts.select(F.inline(F.array(*rows))))
+        counts = [f"count_if({bad}) as f{i}" for i, (_, _, bad) in enumerate(checks)]
+        rows = ", ".join(row(kind, name, f"f{i}") for i, (kind, name, _) in enumerate(checks))
+        parts.append(df.selectExpr(*counts).selectExpr(f"inline(array({rows}))"))
     for key in tests.unique:
         repeated = (
-            df.dropna(subset=list(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count_if(F.col("n") > 1).alias("f"))
+            df.dropna(subset=list(key)).groupBy(*key).agg(F.expr("count(*) as n"))
+            .selectExpr("count_if(n > 1) as f")
         )
-        parts.append(repeated.select(F.inline(F.array(row("unique", ",".join(key), F.col("f"))))))
+        parts.append(repeated.selectExpr(f"inline(array({row('unique', ','.join(key), 'f')}))"))
     return reduce(DataFrame.unionByName, parts)
 
 

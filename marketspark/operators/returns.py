@@ -7,40 +7,32 @@ calendar whatever the size of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from marketspark.functions.dates import in_window
 from marketspark.schemas import EQUITY, FX
 
-SERIES = ("asset_type", "instrument", "source")
+# The value that is followed over time: rate for FX, adjusted close for equity.
+LEVEL = f"case asset_type when '{FX}' then rate when '{EQUITY}' then adj_close end"
 
+_SERIES = "partition by asset_type, instrument, source order by date"
 
-def level() -> Column:
-    """The value that is followed over time: rate for FX, adjusted close for equity."""
-    kind = F.col("asset_type")
-    return F.when(kind == FX, F.col("rate")).when(kind == EQUITY, F.col("adj_close"))
 
-
-def _ratio(value: Column) -> Column:
+def _ratio(value: str) -> str:
     """Value over the previous observation's value; null at the start of a series."""
-    previous = F.lag(value).over(Window.partitionBy(*SERIES).orderBy("date"))
-    return F.try_divide(value, previous)
+    return f"try_divide({value}, lag({value}) over ({_SERIES}))"
 
 
 def simple_returns(df: DataFrame) -> DataFrame:
     """Set ``return`` to ``value / previous value - 1``."""
-    return df.withColumn("_level", level()).withColumn("return", _ratio(F.col("_level")) - 1).drop("_level")
+    others = [f"`{name}`" for name in df.columns if name != "return"]
+    return df.selectExpr(*others, f"{_ratio(LEVEL)} - 1 as `return`")
 
 
 def daily_levels(df: DataFrame, window: tuple[str, str] | None = None) -> DataFrame:
     """Positive levels inside a closed date window."""
-    if window:
-        df = df.where(in_window(F.col("date"), *window))
-    return (
-        df.select("date", "asset_type", "instrument", "source", level().alias("value"))
-        .where("value > 0")
-    )
+    keep = "value > 0" + (f" and {in_window('date', *window)}" if window else "")
+    return df.selectExpr("date", "asset_type", "instrument", "source", f"{LEVEL} as value").where(keep)
 
 
 def log_returns(levels: DataFrame) -> DataFrame:
@@ -49,6 +41,5 @@ def log_returns(levels: DataFrame) -> DataFrame:
     The window filter of ``daily_levels`` comes first, so the first row of each
     series inside the window has no return.
     """
-    return levels.withColumn("log_return", F.ln(_ratio(F.col("value")))).withColumn(
-        "volatility", F.pow("log_return", F.lit(2.0))
-    )
+    logs = levels.selectExpr("*", f"ln({_ratio('value')}) as log_return")
+    return logs.selectExpr("*", "power(log_return, 2) as volatility")

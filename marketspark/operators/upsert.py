@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from marketspark.operators.dedupe import dedupe
 from marketspark.session import stored
@@ -18,9 +17,9 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], grain: str =
     Target rows whose key is in the batch go, all other rows of those partitions
     stay, and the batch comes in. ``batch`` must hold one row per key.
     """
-    touched = batch.select(period(grain).alias("_period")).distinct()
+    touched = batch.selectExpr(f"{period(grain)} as _period").distinct()
     kept = (
-        target.withColumn("_period", period(grain))
+        target.selectExpr("*", f"{period(grain)} as _period")
         .join(touched, "_period", "left_semi").drop("_period")
         .join(batch.select(*keys), list(keys), "left_anti")
     )
@@ -41,7 +40,7 @@ def upsert(
     """
     spark = batch.sparkSession
     batch = stored(dedupe(batch, keys, order), "batch")
-    span = batch.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+    span = batch.selectExpr("min(date) as first", "max(date) as last").first()
     if span["first"] is None:
         return
     bounds = period_value(span["first"], grain), period_value(span["last"], grain)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marketspark.functions.dates import week_start
 from marketspark.functions.numbers import rounded
-from marketspark.schemas import WEEKLY
 
 RATE_DIGITS = 6
 PCT_DIGITS = 4
@@ -20,28 +19,25 @@ def weekly_performance(silver: DataFrame, half_even: bool = False) -> DataFrame:
     Rows without a pair (equities) drop out. First and last follow the date, then
     the source, never the arrival order. The return uses the unrounded rates.
     """
-    day = F.struct("date", "source")
-    weekly = (
+    rates = {
+        "start_rate": "min_by(rate, struct(date, source))",
+        "end_rate": "max_by(rate, struct(date, source))",
+        "min_rate": "min(rate)",
+        "max_rate": "max(rate)",
+        "avg_rate": "avg(rate)",
+    }
+    pct = "(try_divide(end_rate, start_rate) - 1) * 100"
+    return (
         silver.where("base is not null and quote is not null and rate is not null")
-        .groupBy(week_start(F.col("date")).alias("week_start"), "base", "quote")
-        .agg(
-            F.min_by("rate", day).alias("start_rate"),
-            F.max_by("rate", day).alias("end_rate"),
-            F.min("rate").alias("min_rate"),
-            F.max("rate").alias("max_rate"),
-            F.avg("rate").alias("avg_rate"),
-        )
-        .withColumn(
-            "weekly_return_pct",
-            (F.try_divide(F.col("end_rate"), F.col("start_rate")) - 1) * 100,
+        .selectExpr(f"{week_start('date')} as week_start", "base", "quote", "rate", "date", "source")
+        .groupBy("week_start", "base", "quote")
+        .agg(*[F.expr(f"{value} as {name}") for name, value in rates.items()])
+        .selectExpr(
+            "week_start", "base", "quote",
+            *[f"{rounded(name, RATE_DIGITS, half_even)} as {name}" for name in rates],
+            f"{rounded(pct, PCT_DIGITS, half_even)} as weekly_return_pct",
         )
     )
-    rates = {
-        name: rounded(F.col(name), RATE_DIGITS, half_even)
-        for name in ("start_rate", "end_rate", "min_rate", "max_rate", "avg_rate")
-    }
-    pct = rounded(F.col("weekly_return_pct"), PCT_DIGITS, half_even)
-    return weekly.withColumns({**rates, "weekly_return_pct": pct}).select(WEEKLY.fieldNames())
 
 
 def latest_week(weekly: DataFrame) -> DataFrame:
@@ -72,10 +68,10 @@ def weekly_summary(weekly: DataFrame) -> DataFrame:
     return (
         weekly.groupBy("week_start")
         .agg(
-            F.count(F.lit(1)).alias("pair_count"),
-            F.avg(pct).alias("avg_weekly_return_pct"),
-            F.max(pct).alias("best_weekly_return_pct"),
-            F.min(pct).alias("worst_weekly_return_pct"),
+            F.expr("count(*) as pair_count"),
+            F.expr(f"avg({pct}) as avg_{pct}"),
+            F.expr(f"max({pct}) as best_{pct}"),
+            F.expr(f"min({pct}) as worst_{pct}"),
         )
         .orderBy(F.desc("week_start"))
     )

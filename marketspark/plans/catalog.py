@@ -12,7 +12,7 @@ from marketspark.functions.text import currency, safe_ticker, strip
 from marketspark.operators import coverage as cov
 from marketspark.operators import landing, quality, weekly
 from marketspark.operators.dedupe import SILVER_ORDER, dedupe
-from marketspark.operators.returns import daily_levels, level, log_returns
+from marketspark.operators.returns import LEVEL, daily_levels, log_returns
 from marketspark.operators.upsert import upsert
 from marketspark.plans import jobs, layers
 from marketspark.plans.staging import FX_ORDER, stage_equity, stage_fx
@@ -45,6 +45,13 @@ def _fx(spark: SparkSession, sf: str, window=None) -> DataFrame:
     return stage_fx(given.fx_bronze(spark, sf, window))
 
 
+def _clean_fx(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw rates with normalised codes, as a rate service returns them."""
+    return given.fx_bronze(spark, sf).selectExpr(
+        "date", f"{currency('base')} as base", f"{currency('quote')} as quote", "rate"
+    )
+
+
 def _equity(spark: SparkSession, sf: str, window=None) -> DataFrame:
     return stage_equity(given.equity_bronze(spark, sf, window))
 
@@ -64,7 +71,10 @@ def _stored_weekly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _round(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, DIGITS) for name in names})
+    chosen = set(names)
+    return df.selectExpr(*[
+        f"round(`{name}`, {DIGITS}) as `{name}`" if name in chosen else f"`{name}`" for name in df.columns
+    ])
 
 
 # Silver
@@ -80,7 +90,7 @@ def silver_returns(spark: SparkSession, sf: str) -> DataFrame:
 def _deduped(spark: SparkSession, sf: str, keep: str) -> DataFrame:
     rows = layers.unify(_fx(spark, sf), _equity(spark, sf))
     kept = dedupe(rows, SILVER_KEY, SILVER_ORDER, keep)
-    return kept.select(*SILVER_KEY, "ingestion_id", level().alias("value"))
+    return kept.selectExpr(*SILVER_KEY, "ingestion_id", f"{LEVEL} as value")
 
 
 def dedupe_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,9 +109,9 @@ def window_half_open(spark: SparkSession, sf: str) -> DataFrame:
 # Quality
 
 def _rejects(df: DataFrame, rules) -> DataFrame:
-    reasons = F.array_join("reject_reasons", ",").alias("reject_reasons")
+    reasons = "array_join(reject_reasons, ',') as reject_reasons"
     columns = [name for name in df.columns if name != "ingestion_timestamp"]
-    return quality.rejected(df, rules).select(*columns, reasons, "first_reason")
+    return quality.rejected(df, rules).selectExpr(*columns, reasons, "first_reason")
 
 
 def fx_rejects(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,10 +233,9 @@ def coverage_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 def coverage_from_paths(spark: SparkSession, sf: str) -> DataFrame:
     """Keys parsed out of object paths; those of ``error`` lack a part and are ignored."""
-    day = F.date_format("date", "yyyy/MM/dd")
-    name = F.when(F.col("base") == "error", F.col("base")).otherwise(F.concat_ws("_", "base", "quote"))
-    paths = given.event_records(spark, sf).select(
-        F.concat(F.lit("bronze/rates/"), day, F.lit("/"), name, F.lit(".json")).alias("path")
+    name = "if(base = 'error', base, base || '_' || quote)"
+    paths = given.event_records(spark, sf).selectExpr(
+        f"'bronze/rates/' || date_format(date, 'yyyy/MM/dd') || '/' || {name} || '.json' as path"
     )
     return cov.coverage(cov.keys_from_paths(paths))
 
@@ -247,7 +256,7 @@ def ingest_worklist(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _known_events(spark: SparkSession, sf: str) -> DataFrame:
-    return given.event_records(spark, sf).where(F.col("date") <= F.lit(KNOWN_EVENTS_UNTIL).cast("date"))
+    return given.event_records(spark, sf).where(f"date <= date '{KNOWN_EVENTS_UNTIL}'")
 
 
 def keep_first_landing(spark: SparkSession, sf: str) -> DataFrame:
@@ -263,10 +272,8 @@ def landing_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def pair_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     pairs = universe.pair_frame(spark, universe.parse_pairs(DEFAULT_PAIRS + ",E1R/USD"))
-    batch = given.fx_bronze(spark, sf).select(
-        "date", currency(F.col("base")).alias("base"), currency(F.col("quote")).alias("quote")
-    )
-    known = batch.where(F.col("date") <= F.lit(KNOWN_FX_UNTIL).cast("date"))
+    batch = _clean_fx(spark, sf)
+    known = batch.where(f"date <= date '{KNOWN_FX_UNTIL}'")
     return landing.pair_outcomes(pairs, batch, known, *ALL_DAYS)
 
 
@@ -289,11 +296,9 @@ def vendor_wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ticker_key(spark: SparkSession, sf: str) -> DataFrame:
-    ticker = strip(F.col("ticker"))
-    return (
-        given.equity_bronze(spark, sf)
-        .groupBy(ticker.alias("ticker"), safe_ticker(F.col("ticker")).alias("safe_ticker"))
-        .agg(F.count(F.lit(1)).alias("records"))
+    tickers = given.equity_bronze(spark, sf).groupBy("ticker").agg(F.expr("count(*) as records"))
+    return tickers.selectExpr(
+        f"{strip('ticker')} as ticker", f"{safe_ticker('ticker')} as safe_ticker", "records"
     )
 
 
@@ -304,9 +309,9 @@ def upsert_delete_insert(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "staging")
     batch = _fx(spark, sf)
     upsert(batch, path, FX_KEY, FX_ORDER)
-    revised = batch.where(
-        (F.col("quote") == "USD") & (F.col("date") >= F.lit(REVISED_FROM).cast("date"))
-    ).withColumn("rate", F.col("rate") * REVISION)
+    revised = batch.where(f"quote = 'USD' and date >= date '{REVISED_FROM}'").withColumn(
+        "rate", F.col("rate") * REVISION
+    )
     upsert(revised, path, FX_KEY, FX_ORDER)
     return tables.read_by_date(spark, path, batch.schema).select(*FX_KEY, "rate", "ingestion_id")
 
@@ -335,9 +340,7 @@ def published_gold(spark: SparkSession, sf: str) -> DataFrame:
 def medallion_run(spark: SparkSession, sf: str) -> DataFrame:
     """Landing to publishing, over all days; the published market table."""
     paths = jobs.Paths(scratch(spark, "medallion"))
-    rates = given.fx_bronze(spark, sf).select(
-        "date", currency(F.col("base")).alias("base"), currency(F.col("quote")).alias("quote"), "rate"
-    )
+    rates = _clean_fx(spark, sf)
     jobs.run(
         spark, paths, ALL_DAYS, rates=rates, bars=given.vendor_wide(spark, sf),
         tickers=[t.strip() for t in given.TICKERS], run_at=RUN_AT, grain="month",
@@ -349,9 +352,8 @@ def stream_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Two drops of files, a stream run after each; the second reads new files only."""
     root, target, checkpoint = (scratch(spark, name) for name in ("drops", "staging", "offsets"))
     records = given.fx_bronze(spark, sf)
-    early = F.col("date") <= F.lit(KNOWN_FX_UNTIL).cast("date")
-    for drop in (records.where(early), records.where(~early)):
-        bronze.append_documents(drop, root, "month")
+    for days in (f"date <= date '{KNOWN_FX_UNTIL}'", f"date > date '{KNOWN_FX_UNTIL}'"):
+        bronze.append_documents(records.where(days), root, "month")
         stage_new_files(
             spark, root, FX_BRONZE, stage_fx, target, FX_KEY, FX_ORDER, checkpoint, multi_line=False
         ).awaitTermination()

@@ -57,7 +57,7 @@ def land(
     fields = [name for name in schema.fieldNames() if name in records.columns]
     order = [*arrival, *[name for name in fields if name not in keys]]
     # Keys are compared as they are stored: the day as ISO text.
-    dated = records.where(in_window(F.col("date").cast("date"), *window))
+    dated = records.where(in_window("cast(date as date)", *window))
     dated = dated.withColumn("date", F.col("date").cast("date").cast("string"))
     fresh = keep_first(dated, read_landed(spark, root, schema, window), keys, order)
     append_documents(enrich(fresh.select(*fields), source, run_at), root, grain)

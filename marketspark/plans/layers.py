@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from marketspark.functions.text import pair_name
 from marketspark.operators.align import align, stack
@@ -19,13 +18,12 @@ _ARRIVAL = ("ingestion_timestamp", "ingestion_id")
 
 def unify_fx(fx: DataFrame) -> DataFrame:
     """Staged rates in the Silver layout, with the columns that order duplicates."""
-    pair = pair_name(F.col("base"), F.col("quote"))
-    return align(fx, SILVER, _ARRIVAL, asset_type=F.lit(FX), instrument=pair)
+    return align(fx, SILVER, _ARRIVAL, asset_type=f"'{FX}'", instrument=pair_name("base", "quote"))
 
 
 def unify_equity(equity: DataFrame) -> DataFrame:
     """Staged bars in the Silver layout, with the columns that order duplicates."""
-    return align(equity, SILVER, _ARRIVAL, asset_type=F.lit(EQUITY))
+    return align(equity, SILVER, _ARRIVAL, asset_type=f"'{EQUITY}'")
 
 
 def unify(fx: DataFrame, equity: DataFrame) -> DataFrame:
@@ -35,7 +33,7 @@ def unify(fx: DataFrame, equity: DataFrame) -> DataFrame:
 def silver(fx: DataFrame, equity: DataFrame, keep: str = "last") -> DataFrame:
     """One row per (date, instrument, source) with its simple return."""
     rows = dedupe(unify(fx, equity), SILVER_KEY, SILVER_ORDER, keep)
-    return simple_returns(rows).select(SILVER.fieldNames())
+    return simple_returns(rows).select(*SILVER.fieldNames())
 
 
 def gold_market(

@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from marketspark.functions.dates import day, in_window
 from marketspark.functions.numbers import double, whole
 from marketspark.functions.text import currency, strip
-from marketspark.operators.quality import PRICES, equity_rules, fx_rules, keep_valid
+from marketspark.operators.quality import PRICES, equity_rules, fx_rules, keep_valid, kinds
 
 ORDER = ("ingestion_timestamp", "ingestion_id")
 FX_ORDER = (*ORDER, "rate")
 EQUITY_ORDER = (*ORDER, "adj_close", "high", "volume", "open", "low", "close")
 
 
+_LINEAGE = (
+    "source", "try_cast(ingestion_timestamp as timestamp) as ingestion_timestamp", "ingestion_id",
+)
+
+
 def _window(df: DataFrame, window: tuple[str, str] | None, end_inclusive: bool) -> DataFrame:
-    return df.where(in_window(F.col("date"), *window, end_inclusive)) if window else df
+    return df.where(in_window("date", *window, end_inclusive)) if window else df
 
 
 def stage_fx(
@@ -24,15 +28,12 @@ def stage_fx(
     check_currency: bool = True,
 ) -> DataFrame:
     """Valid exchange rates with normalised currency codes."""
-    kinds = {f.name: f.dataType for f in bronze.schema.fields}
-    valid = keep_valid(bronze, fx_rules(bronze, check_currency))
-    staged = valid.select(
-        day(F.col("date"), kinds["date"]).alias("date"),
-        currency(F.col("base")).alias("base"),
-        currency(F.col("quote")).alias("quote"),
-        double(F.col("rate")).alias("rate"),
-        "source", F.col("ingestion_timestamp").try_cast("timestamp").alias("ingestion_timestamp"),
-        "ingestion_id",
+    staged = keep_valid(bronze, fx_rules(bronze, check_currency)).selectExpr(
+        f"{day('date', kinds(bronze)['date'])} as date",
+        f"{currency('base')} as base",
+        f"{currency('quote')} as quote",
+        f"{double('rate')} as rate",
+        *_LINEAGE,
     )
     return _window(staged, window, end_inclusive)
 
@@ -41,14 +42,12 @@ def stage_equity(
     bronze: DataFrame, window: tuple[str, str] | None = None, end_inclusive: bool = True
 ) -> DataFrame:
     """Valid daily bars; the trimmed ticker is the instrument."""
-    kinds = {f.name: f.dataType for f in bronze.schema.fields}
-    valid = keep_valid(bronze, equity_rules(bronze))
-    staged = valid.select(
-        day(F.col("date"), kinds["date"], allow_time=True).alias("date"),
-        strip(F.col("ticker")).alias("instrument"),
-        *[double(F.col(name)).alias(name) for name in PRICES],
-        whole(F.col("volume"), kinds["volume"]).alias("volume"),
-        "source", F.col("ingestion_timestamp").try_cast("timestamp").alias("ingestion_timestamp"),
-        "ingestion_id",
+    kind = kinds(bronze)
+    staged = keep_valid(bronze, equity_rules(bronze)).selectExpr(
+        f"{day('date', kind['date'], allow_time=True)} as date",
+        f"{strip('ticker')} as instrument",
+        *[f"{double(name)} as {name}" for name in PRICES],
+        f"{whole('volume', kind['volume'])} as volume",
+        *_LINEAGE,
     )
     return _window(staged, window, end_inclusive)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -48,8 +47,8 @@ def read_documents(
 
 def unreadable(documents: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Files that hold no readable document."""
-    empty = reduce(lambda a, b: a & b, [F.col(key).isNull() for key in keys])
-    return documents.where(F.col(CORRUPT).isNotNull() & empty).select("source_file", CORRUPT)
+    empty = " and ".join(f"{key} is null" for key in (*keys,))
+    return documents.where(f"{CORRUPT} is not null and {empty}").select("source_file", CORRUPT)
 
 
 def append_documents(df: DataFrame, root: str, grain: str = "day") -> None:
@@ -59,10 +58,9 @@ def append_documents(df: DataFrame, root: str, grain: str = "day") -> None:
     listings suffer from one file per record. The rebalance hint splits an outsized day.
     """
     parts = GRAINS[grain]
-    day = F.col("date").cast("date")
     shapes = {"year": "yyyy", "month": "MM", "day": "dd"}
     (
-        df.withColumns({name: F.date_format(day, shapes[name]) for name in parts})
+        df.selectExpr("*", *[f"date_format(date, '{shapes[name]}') as {name}" for name in parts])
         .hint("rebalance", *[F.col(name) for name in parts])
         .write.mode("append").partitionBy(*parts).json(root)
     )

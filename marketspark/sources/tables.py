@@ -6,28 +6,32 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 GRAINS = {"day": ("year", "month", "day"), "month": ("year", "month")}
+PART_VALUES = {
+    "year": "year(date)", "month": "lpad(month(date), 2, '0')", "day": "lpad(day(date), 2, '0')",
+}
 _PLACE = {"year": 10_000, "month": 100, "day": 1}
 
 
-def period(grain: str) -> Column:
+def period(grain: str) -> str:
     """The partition a date falls in, as one number (YYYYMMDD, or YYYYMM00)."""
-    number = F.year("date") * 10_000 + F.month("date") * 100
-    return number + F.dayofmonth("date") if grain == "day" else number
+    number = "year(date) * 10000 + month(date) * 100"
+    return f"{number} + day(date)" if grain == "day" else number
 
 
 def period_value(day: date, grain: str) -> int:
     return day.year * 10_000 + day.month * 100 + (day.day if grain == "day" else 0)
 
 
-def in_periods(table: DataFrame, first: int, last: int) -> Column:
-    """Filter on the partition columns alone, so other directories are not read."""
-    number = sum((F.col(name) * _PLACE[name] for name in _PLACE if name in table.columns), F.lit(0))
-    return number.between(first, last)
+def in_periods(table: DataFrame, first: int, last: int) -> str:
+    """Condition on the partition columns alone, so other directories are not read."""
+    present = set(table.columns)
+    number = " + ".join(f"{name} * {place}" for name, place in _PLACE.items() if name in present)
+    return f"{number} between {first} and {last}"
 
 
 def write_by_date(
@@ -41,9 +45,7 @@ def write_by_date(
     many small days are then written side by side.
     """
     parts = GRAINS[grain]
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    values = {"year": F.year("date"), "month": two(F.month("date")), "day": two(F.dayofmonth("date"))}
-    placed = df.withColumns({name: values[name] for name in parts})
+    placed = df.selectExpr("*", *[f"{PART_VALUES[name]} as {name}" for name in parts])
     if tasks:
         placed = placed.repartition(tasks, *parts)
     else:

@@ -5,10 +5,12 @@ Dirty values are put in on purpose, so that every rule rejects something.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from marketspark.functions.dates import half_open
+from marketspark.functions.text import literal
 from marketspark.operators.pivot import wide_by_date
 from marketspark.sources.vendor import BAR_FIELDS
 
@@ -26,8 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
+def _pick(index: str, values: Iterable[str]) -> str:
+    return f"element_at(array({', '.join(map(literal, values))}), cast({index} as int) + 1)"
 
 
 def _between(df: DataFrame, column: str, window: tuple[str, str] | None) -> DataFrame:
@@ -35,31 +37,25 @@ def _between(df: DataFrame, column: str, window: tuple[str, str] | None) -> Data
     if window is None:
         return df
     first, after = half_open(*window)
-    kind = df.schema[column].dataType
-    return df.where(
-        (F.col(column) >= F.lit(first).cast(kind)) & (F.col(column) < F.lit(after).cast(kind))
-    )
+    kind = df.schema[column].dataType.simpleString()
+    return df.where(f"{column} >= cast('{first}' as {kind}) and {column} < cast('{after}' as {kind})")
 
 
 def fx_bronze(
     spark: SparkSession, sf_dir: str, window: tuple[str, str] | None = None
 ) -> DataFrame:
     """Exchange rates from ``orders``, all of them or those of a closed window."""
-    orders = _between(table(spark, sf_dir, "orders"), "o_orderdate", window)
-    key = F.col("o_orderkey")
-    slot = (F.col("o_custkey") % 8).cast("int")
-    base = _pick(slot, tuple(b for b, _ in PAIRS))
-    return orders.select(
-        F.col("o_orderdate").cast("date").alias("date"),
-        F.when(key % 499 == 0, F.lit("E1R"))
-        .when(key % 997 == 0, F.lit(None))
-        .when(key % 3 == 0, F.concat(F.lower(base), F.lit("  ")))
-        .otherwise(base).alias("base"),
-        _pick(slot, tuple(q for _, q in PAIRS)).alias("quote"),
-        (F.col("o_totalprice") - 5000).alias("rate"),
-        F.lit("fx").alias("source"),
-        F.col("o_orderdate").alias("ingestion_timestamp"),
-        key.alias("ingestion_id"),
+    base = _pick("o_custkey % 8", [b for b, _ in PAIRS])
+    quote = _pick("o_custkey % 8", [q for _, q in PAIRS])
+    return _between(table(spark, sf_dir, "orders"), "o_orderdate", window).selectExpr(
+        "cast(o_orderdate as date) as date",
+        f"""case when o_orderkey % 499 = 0 then 'E1R' when o_orderkey % 997 = 0 then null
+            when o_orderkey % 3 = 0 then lower({base}) || '  ' else {base} end as base""",
+        f"{quote} as quote",
+        "o_totalprice - 5000 as rate",
+        "'fx' as source",
+        "o_orderdate as ingestion_timestamp",
+        "o_orderkey as ingestion_id",
     )
 
 
@@ -67,47 +63,39 @@ def equity_bronze(
     spark: SparkSession, sf_dir: str, window: tuple[str, str] | None = None
 ) -> DataFrame:
     """Daily bars from ``lineitem``, all of them or those of a closed window."""
-    lines = _between(table(spark, sf_dir, "lineitem"), "l_shipdate", window)
-    price = F.col("l_extendedprice") - 1000
-    close = price * (1 - F.col("l_discount"))
-    quantity = F.col("l_quantity")
-    return lines.select(
-        F.col("l_shipdate").cast("date").alias("date"),
-        _pick((F.col("l_partkey") % 7).cast("int"), TICKERS).alias("ticker"),
-        F.when(quantity != 7, price).alias("open"),
-        (price * (1 + F.col("l_tax"))).alias("high"),
-        (price * 0.92).alias("low"),
-        close.alias("close"),
-        (close * 0.99).alias("adj_close"),
-        F.when(quantity != 5, quantity.cast("bigint") - 2).alias("volume"),
-        F.lit("equity").alias("source"),
-        F.col("l_shipdate").alias("ingestion_timestamp"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ingestion_id"),
+    price = "(l_extendedprice - 1000)"
+    return _between(table(spark, sf_dir, "lineitem"), "l_shipdate", window).selectExpr(
+        "cast(l_shipdate as date) as date",
+        f"{_pick('l_partkey % 7', TICKERS)} as ticker",
+        f"if(l_quantity = 7, null, {price}) as open",
+        f"{price} * (1 + l_tax) as high",
+        f"{price} * 0.92D as low",
+        f"{price} * (1 - l_discount) as close",
+        f"{price} * (1 - l_discount) * 0.99D as adj_close",
+        "if(l_quantity = 5, null, cast(l_quantity as bigint) - 2) as volume",
+        "'equity' as source",
+        "l_shipdate as ingestion_timestamp",
+        "l_orderkey * 10 + l_linenumber as ingestion_id",
     )
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing records from ``events``; they arrive in the order of time, then id."""
-    return table(spark, sf_dir, "events").select(
-        F.col("ts").cast("date").alias("date"),
-        F.col("event_type").alias("base"),
-        F.concat(F.lit("U"), (F.col("user_id") % 40).cast("string")).alias("quote"),
-        F.col("value").alias("rate"),
-        F.col("ts").alias("arrived_at"),
-        F.col("event_id").alias("arrival_no"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "cast(ts as date) as date", "event_type as base", "'U' || (user_id % 40) as quote",
+        "value as rate", "ts as arrived_at", "event_id as arrival_no",
     )
 
 
 def event_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs of ``events`` and one pair without data."""
     known = event_records(spark, sf_dir).select("base", "quote").distinct()
-    nobody = spark.range(1).select(F.lit("none").alias("base"), F.lit("U0").alias("quote"))
-    return known.unionByName(nobody)
+    return known.unionByName(spark.range(1).selectExpr("'none' as base", "'U0' as quote"))
 
 
 def vendor_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars as the vendor's wide frame with ``ticker|field`` columns."""
-    bars = equity_bronze(spark, sf_dir).withColumn("instrument", F.trim("ticker"))
+    bars = equity_bronze(spark, sf_dir).selectExpr("*", "trim(ticker) as instrument")
     measures = {name: f"|{field}" for field, name in BAR_FIELDS.items()}
     tickers = {t.strip(): t.strip() for t in TICKERS}
     return wide_by_date(bars, tickers, measures).withColumnRenamed("date", "Date")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from marketspark.functions.text import literal
 
 
 def parse_pairs(text: str, strict: bool = True) -> list[tuple[str, str]]:
@@ -31,5 +32,5 @@ def parse_tickers(text: str) -> list[str]:
 
 def pair_frame(spark: SparkSession, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """A configured universe as a frame (base, quote), made of literals only."""
-    rows = [F.struct(F.lit(b).alias("base"), F.lit(q).alias("quote")) for b, q in pairs]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"struct({literal(b)} as base, {literal(q)} as quote)" for b, q in pairs)
+    return spark.range(1).selectExpr(f"inline(array({rows}))")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from marketspark.functions.dates import day
 from marketspark.functions.numbers import number, whole
+from marketspark.functions.text import literal
 
 # Bar fields of the vendor frame and their Bronze names.
 BAR_FIELDS = {
@@ -22,17 +22,16 @@ BAR_FIELDS = {
 }
 
 
-def _cells(wide: DataFrame, separator: str) -> dict[str, dict[str, tuple[Column, T.DataType]]]:
+def _cells(wide: DataFrame, separator: str) -> dict[str, dict[str, tuple[str, T.DataType]]]:
     """Ticker -> field -> column, from struct columns or from ``ticker|field`` names."""
-    cells: dict[str, dict[str, tuple[Column, T.DataType]]] = {}
+    cells: dict[str, dict[str, tuple[str, T.DataType]]] = {}
     for top in wide.schema.fields:
         if isinstance(top.dataType, T.StructType):
             for sub in top.dataType.fields:
-                cell = F.col(f"`{top.name}`.`{sub.name}`")
-                cells.setdefault(top.name, {})[sub.name] = (cell, sub.dataType)
+                cells.setdefault(top.name, {})[sub.name] = (f"`{top.name}`.`{sub.name}`", sub.dataType)
         elif separator in top.name:
             ticker, field = top.name.rsplit(separator, 1)
-            cells.setdefault(ticker, {})[field] = (F.col(f"`{top.name}`"), top.dataType)
+            cells.setdefault(ticker, {})[field] = (f"`{top.name}`", top.dataType)
     return cells
 
 
@@ -58,16 +57,18 @@ def wide_to_long(
         missing = [name for name in BAR_FIELDS if name not in fields]
         if missing:
             raise ValueError(f"{ticker} lacks columns: {missing}")
-        values = [
-            (whole if name == "volume" else number)(*fields[field]).alias(name)
+        values = ", ".join(
+            f"{(whole if name == 'volume' else number)(*fields[field])} as {name}"
             for field, name in BAR_FIELDS.items()
-        ]
-        bars.append(F.struct(F.lit(ticker).alias("ticker"), *values))
+        )
+        bars.append(f"struct({literal(ticker)} as ticker, {values})")
     found = bool(bars)
     if not found:
-        empty = [F.lit(None).cast("bigint" if n == "volume" else "double").alias(n) for n in BAR_FIELDS.values()]
-        bars = [F.struct(F.lit("").alias("ticker"), *empty)]
-    date = day(F.col(date_column), wide.schema[date_column].dataType, allow_time=True)
-    return wide.select(date.alias("date"), F.inline(F.array(*bars))).where(
-        F.col("close").isNotNull() & F.lit(found)
-    )
+        empty = ", ".join(
+            f"cast(null as {'bigint' if name == 'volume' else 'double'}) as {name}"
+            for name in BAR_FIELDS.values()
+        )
+        bars = [f"struct('' as ticker, {empty})"]
+    date = day(f"`{date_column}`", wide.schema[date_column].dataType, allow_time=True)
+    long = wide.selectExpr(f"{date} as date", f"inline(array({', '.join(bars)}))")
+    return long.where("close is not null" if found else "false")
