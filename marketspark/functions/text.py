@@ -5,7 +5,6 @@ from __future__ import annotations
 # Every character that counts as white space at the ends of a text (tabs, line
 # ends, no-break and other Unicode blanks), not only the blank ``trim`` removes.
 BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
-ASCII_BLANKS = "".join(blank for blank in BLANKS if blank.isascii())
 
 
 def literal(text: str) -> str:
@@ -14,14 +13,13 @@ def literal(text: str) -> str:
 
 
 def strip(text: str) -> str:
-    """Remove white space of any kind at both ends; plain ``trim`` removes blanks only.
+    """Remove white space of any kind at both ends; plain ``trim`` removes blanks only."""
+    return f"btrim({text}, {literal(BLANKS)})"
 
-    Nearly all texts are ASCII, and the short list of blanks is cheaper to test.
-    """
-    return (
-        f"if(octet_length({text}) = char_length({text}), "
-        f"btrim({text}, {literal(ASCII_BLANKS)}), btrim({text}, {literal(BLANKS)}))"
-    )
+
+def has_text(text: str) -> str:
+    """Anything but white space; stops at the first such character."""
+    return f"{text} rlike {literal(f'[^{BLANKS}]')}"
 
 
 def currency(code: str) -> str:
@@ -29,8 +27,9 @@ def currency(code: str) -> str:
 
 
 def is_currency(code: str) -> str:
-    """Three letters, of any alphabet."""
-    return rf"{currency(code)} rlike r'^\p{{L}}{{3}}$'"
+    """Three letters of any alphabet, once normalised."""
+    pad = f"[{BLANKS}]*"
+    return f"upper({code}) rlike {literal(f'^{pad}[\\p{{L}}]{{3}}{pad}$')}"
 
 
 def pair_name(base: str, quote: str) -> str:

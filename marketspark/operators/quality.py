@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from marketspark.functions.dates import day
 from marketspark.functions.numbers import double, number, positive, whole
-from marketspark.functions.text import currency, is_currency, literal, strip
+from marketspark.functions.text import has_text, is_currency, literal
 from marketspark.schemas import CORRUPT, EQUITY, FX
 
 FX_COLUMNS = ("date", "base", "quote", "rate")
@@ -68,7 +68,7 @@ def fx_rules(df: DataFrame, check_currency: bool = True) -> list[Rule]:
         # The rate is read as a double: a quoted number or a boolean leaves it
         # null and keeps the raw document.
         rules.append(Rule("rate_type", f"rate is not null or {CORRUPT} is null"))
-    code_ok = is_currency if check_currency else (lambda side: f"{currency(side)} <> ''")
+    code_ok = is_currency if check_currency else has_text
     present = [*_not_null(FX_COLUMNS[:3]), f"{number('rate', kind['rate'])} is not null"]
     return rules + [
         Rule("required", _every(present)),
@@ -82,7 +82,7 @@ def equity_rules(df: DataFrame) -> list[Rule]:
     """Rules of a daily bar, in the order they are attributed."""
     require_columns(df, EQUITY_COLUMNS, "daily bars")
     kind = kinds(df)
-    present = ["date is not null", f"{strip('ticker')} <> ''"]
+    present = ["date is not null", has_text("ticker")]
     present += [f"{number(name, kind[name])} is not null" for name in PRICES]
     # ``required`` checks the shape of each price, so later rules cast it plainly.
     open_, high, low, close, _ = map(double, PRICES)
