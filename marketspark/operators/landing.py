@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.functions.dates import days
+from marketspark.functions.dates import days, in_window
 from marketspark.functions.text import is_currency
 from marketspark.operators.coverage import missing_dates, present_days
 from marketspark.operators.dedupe import dedupe
@@ -78,7 +78,8 @@ def pair_outcomes(
         f"explode_outer(if({valid}, {days(start, end)}, null)) as date",
     )
     known = present_days(existing, start, end).selectExpr("*", "1 as known")
-    arrived = batch.groupBy(*key).agg(F.expr("count(*) as arrived"))
+    inside = batch.where(in_window("date", start, end))
+    arrived = inside.groupBy(*key).agg(F.expr("count(*) as arrived"))
     return (
         wanted.join(known, key, "left").join(arrived, key, "left")
         .selectExpr(

@@ -8,6 +8,7 @@ calendar whatever the size of the input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marketspark.functions.dates import in_window
 from marketspark.schemas import EQUITY, FX
@@ -43,3 +44,20 @@ def log_returns(levels: DataFrame) -> DataFrame:
     """
     logs = levels.selectExpr("*", f"ln({_ratio('value')}) as log_return")
     return logs.selectExpr("*", "power(log_return, 2) as volatility")
+
+
+def returns_since(rows: DataFrame, earlier: DataFrame, start: str) -> DataFrame:
+    """Simple returns of ``rows`` (all dated ``start`` or later) that continue older series.
+
+    Of the older rows only the last one of each series matters. It is found by an
+    aggregate that is combined before the shuffle, so the old rows are read in few
+    columns and are neither sorted nor moved.
+    """
+    seeds = (
+        earlier.where(f"date < date '{start}'")
+        .groupBy("asset_type", "instrument", "source")
+        .agg(F.expr("max_by(struct(date, rate, adj_close), date) as seed"))
+        .selectExpr("asset_type", "instrument", "source", "seed.*")
+    )
+    joined = rows.unionByName(seeds, allowMissingColumns=True)
+    return simple_returns(joined).where(f"date >= date '{start}'")

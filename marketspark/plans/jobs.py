@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +22,14 @@ from marketspark.operators.quality import (
 )
 from marketspark.operators.upsert import upsert
 from marketspark.operators.weekly import latest_performance, weekly_performance, weekly_summary
-from marketspark.plans.layers import gold_market, gold_returns, silver
+from marketspark.plans.layers import gold_market, gold_returns, silver, silver_since
 from marketspark.plans.staging import EQUITY_ORDER, FX_ORDER, stage_equity, stage_fx
 from marketspark.schemas import (
     EQUITY_BRONZE, EQUITY_KEY, EQUITY_STAGING, FX_BRONZE, FX_KEY, FX_STAGING, SILVER,
 )
 from marketspark.sources.bronze import append_documents, read_landed
 from marketspark.sources.tables import (
-    read_by_date, read_table, register, write_by_date, write_table,
+    first_of, period_value, read_by_date, read_table, register, write_by_date, write_table,
 )
 from marketspark.sources.vendor import wide_to_long
 
@@ -71,31 +72,66 @@ def stage(spark: SparkSession, paths: Paths, window: tuple[str, str]) -> None:
     upsert(stage_equity(bars, window), paths.of("staging", "market"), EQUITY_KEY, EQUITY_ORDER)
 
 
-def staged(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]:
-    """All staged rows; a feed that never landed is an empty frame."""
+def staged(spark: SparkSession, paths: Paths, since: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Staged rows, all or from a day on; a feed that never landed is an empty frame."""
     tables = []
     for name, schema in (("rates", FX_STAGING), ("market", EQUITY_STAGING)):
-        table = read_by_date(spark, paths.of("staging", name), schema)
-        tables.append(spark.createDataFrame([], schema) if table is None else table)
+        bounds = _from(since, "month") if since else None
+        table = read_by_date(spark, paths.of("staging", name), schema, bounds)
+        if table is None:
+            table = spark.createDataFrame([], schema)
+        tables.append(table.where(f"date >= date '{since}'") if since else table)
     return tables[0], tables[1]
 
 
+def _from(day: str, grain: str) -> tuple[int, int]:
+    """Partition numbers from a day on."""
+    return period_value(date.fromisoformat(day), grain), period_value(date.max, grain)
+
+
 def build_silver(spark: SparkSession, paths: Paths, grain: str = "day") -> None:
     """Rebuild Silver from all staging, so returns look back past any window."""
     rows = silver(*staged(spark, paths))
     write_by_date(rows, paths.of("models", "silver"), grain, SILVER_SORT)
 
 
+def refresh_silver(spark: SparkSession, paths: Paths, start: str, grain: str = "day") -> None:
+    """Rebuild Silver from the start of a changed window on; older partitions stay.
+
+    The result equals a full rebuild: a return depends on the previous observation
+    only, and the last one before ``start`` comes from the table as it stands.
+    """
+    start = first_of(start, grain)
+    path = paths.of("models", "silver")
+    built = read_by_date(spark, path, SILVER)
+    if built is None:
+        build_silver(spark, paths, grain)
+        return
+    rows = silver_since(*staged(spark, paths, start), built, start)
+    write_by_date(rows, path, grain, SILVER_SORT)
+
+
 def publish(spark: SparkSession, paths: Paths, layer: str, table: str, tests: str | None = None) -> None:
     """Copy a built table to its published folder, once it passes the gate."""
     write_table(gate(read_table(spark, paths.of("models", table)), table, tests), paths.of(layer, table))
 
 
-def publish_silver(spark: SparkSession, paths: Paths, grain: str = "day") -> None:
-    built = read_by_date(spark, paths.of("models", "silver"), SILVER)
+def publish_table(spark: SparkSession, name: str, path: str, tests: str | None = None) -> None:
+    """Copy a catalog table to a folder, once it passes the gate."""
+    write_table(gate(spark.table(name), name, tests), path)
+
+
+def publish_silver(
+    spark: SparkSession, paths: Paths, grain: str = "day", start: str | None = None
+) -> None:
+    """Copy the built Silver table, or its partitions from ``start`` on, through the gate."""
+    target = paths.of("silver", "silver")
+    fresh = start and read_by_date(spark, target, SILVER) is not None
+    bounds = _from(first_of(start, grain), grain) if fresh else None
+    built = read_by_date(spark, paths.of("models", "silver"), SILVER, bounds)
     if built is None:
         raise ValueError("silver is not built")
-    write_by_date(gate(built, "silver", "silver"), paths.of("silver", "silver"), grain, SILVER_SORT)
+    write_by_date(gate(built, "silver", "silver"), target, grain, SILVER_SORT)
 
 
 def gate(built: DataFrame, table: str, tests: str | None = None) -> DataFrame:
@@ -137,13 +173,15 @@ def run(
     spark: SparkSession, paths: Paths, window: tuple[str, str],
     rates: DataFrame | None = None, rates_source: str = "fx",
     bars: DataFrame | None = None, bars_source: str = "equity", tickers: Sequence[str] = (),
-    run_at: str | None = None, grain: str = "day",
+    run_at: str | None = None, grain: str = "day", since: str | None = None,
 ) -> None:
     """One window from fetched records to published tables.
 
     ``rates`` are records (date, base, quote, rate); ``bars`` is the vendor's wide
     frame. Staging accumulates over runs, Silver covers all of it, and the market
-    table holds the window only. ``grain`` sets the directories of Bronze and Silver;
+    table holds the window only. Silver is rebuilt whole unless ``since`` names the
+    first day that changed since its last build; use that where every earlier window
+    has run to its end. ``grain`` sets the directories of Bronze and Silver;
     months suit long histories of few instruments.
     """
     if rates is not None:
@@ -154,8 +192,11 @@ def run(
         land(long, paths.of("bronze", "market"), EQUITY_BRONZE, ("date", "ticker"), bars_source,
              window, run_at=run_at, grain=grain)
     stage(spark, paths, window)
-    build_silver(spark, paths, grain)
-    publish_silver(spark, paths, grain)
+    if since:
+        refresh_silver(spark, paths, since, grain)
+    else:
+        build_silver(spark, paths, grain)
+    publish_silver(spark, paths, grain, since)
     build_gold(spark, paths, window)
     publish(spark, paths, "gold", "market_data", tests="gold_market")
     publish(spark, paths, "gold", "daily_returns")

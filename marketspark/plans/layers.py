@@ -10,7 +10,7 @@ from marketspark.functions.text import pair_name
 from marketspark.operators.align import align, stack
 from marketspark.operators.dedupe import SILVER_ORDER, dedupe
 from marketspark.operators.pivot import wide_by_date
-from marketspark.operators.returns import daily_levels, log_returns, simple_returns
+from marketspark.operators.returns import daily_levels, log_returns, returns_since, simple_returns
 from marketspark.schemas import EQUITY, FX, GOLD_INSTRUMENTS, SILVER, SILVER_KEY
 
 _ARRIVAL = ("ingestion_timestamp", "ingestion_id")
@@ -36,6 +36,12 @@ def silver(fx: DataFrame, equity: DataFrame, keep: str = "last") -> DataFrame:
     return simple_returns(rows).select(*SILVER.fieldNames())
 
 
+def silver_since(fx: DataFrame, equity: DataFrame, built: DataFrame, start: str) -> DataFrame:
+    """Silver rows from ``start`` on, given all staged rows from then and the built table."""
+    rows = dedupe(unify(fx, equity), SILVER_KEY, SILVER_ORDER)
+    return returns_since(rows, built, start).select(*SILVER.fieldNames())
+
+
 def gold_market(
     silver_rows: DataFrame, window: tuple[str, str] | None = None,
     instruments: Mapping[str, str] = GOLD_INSTRUMENTS,

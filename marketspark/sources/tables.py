@@ -57,6 +57,11 @@ def write_by_date(
     )
 
 
+def first_of(day: str, grain: str) -> str:
+    """First day of the partition that holds ``day``."""
+    return day if grain == "day" else f"{day[:7]}-01"
+
+
 def read_by_date(
     spark: SparkSession, path: str, schema: T.StructType, bounds: tuple[int, int] | None = None
 ) -> DataFrame | None:
@@ -84,6 +89,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_table(df: DataFrame, name: str) -> None:
+    """Full rebuild of a catalog table. ``df`` must not read from it."""
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+
+
 def register(df: DataFrame, name: str = "weekly_performance") -> DataFrame:
     """Make ``df`` visible to SQL under ``name``."""
     df.createOrReplaceTempView(name)

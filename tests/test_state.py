@@ -126,7 +126,7 @@ def test_run_twice_and_a_later_window(spark, tmp_path):
     jobs.run(spark, paths, window, rates(spark, (24, "EUR", 5.0), (25, "EUR", 6.0)))
     assert market() == first
     # staging accumulates, Gold holds the window only, Silver looks back past it
-    jobs.run(spark, paths, ("2026-08-26", "2026-08-26"), rates(spark, (26, "EUR", 4.0)))
+    jobs.run(spark, paths, ("2026-08-26", "2026-08-26"), rates(spark, (26, "EUR", 4.0)), since="2026-08-26")
     assert market() == [(26, 4.0, None, True)]
     silver = tables.read_by_date(spark, paths.of("silver", "silver"), SILVER)
     got = {(r.instrument, r.date.day): r["return"] for r in silver.collect()}
@@ -139,6 +139,43 @@ def test_run_twice_and_a_later_window(spark, tmp_path):
     ).first()[0] == 1
 
 
+def test_refresh_equals_rebuild(spark, tmp_path):
+    paths, full = jobs.Paths(str(tmp_path / "lake")), jobs.Paths(str(tmp_path / "full"))
+
+    def table(at):
+        rows = tables.read_by_date(spark, at.of("models", "silver"), SILVER).collect()
+        return sorted(tuple(map(repr, r)) for r in rows)
+
+    def stage(*rows):
+        for at in (paths, full):
+            source = batch(spark, *rows).selectExpr("*", "'fx' as source").select(*FX_STAGING.fieldNames())
+            upsert(source, at.of("staging", "rates"), FX_KEY, FX_ORDER)
+
+    stage((7, 30, "EUR", 1.0), (7, 30, "GBP", 5.0), (8, 24, "EUR", 2.0), (9, 7, "EUR", 8.0))
+    jobs.refresh_silver(spark, paths, "2026-07-30")
+    # a late window in the middle changes its own days and the return that follows it
+    stage((8, 24, "EUR", 4.0), (8, 25, "GBP", 6.0), (8, 25, "AUD", 1.0))
+    jobs.refresh_silver(spark, paths, "2026-08-24")
+    jobs.build_silver(spark, full)
+    assert table(paths) == table(full) and len(table(full)) == 6
+    # months: the whole month of the window is rebuilt
+    stage((9, 8, "EUR", 16.0))
+    jobs.refresh_silver(spark, paths, "2026-09-08")
+    jobs.build_silver(spark, full)
+    assert table(paths) == table(full)
+
+
+def test_catalog_table_is_published_through_the_gate(spark, tmp_path):
+    tables.save_table(spark.range(3), "three")
+    jobs.publish_table(spark, "three", str(tmp_path / "three"))
+    assert tables.read_table(spark, str(tmp_path / "three")).count() == 3
+    tables.save_table(spark.range(0), "three")
+    with pytest.raises(ValueError, match="three is empty"):
+        jobs.publish_table(spark, "three", str(tmp_path / "three"))
+    assert tables.read_table(spark, str(tmp_path / "three")).count() == 3
+    spark.sql("drop table three")
+
+
 def test_an_empty_run_is_refused_before_publishing(spark, tmp_path):
     paths = jobs.Paths(str(tmp_path / "lake"))
     with pytest.raises(ValueError, match="silver"):
