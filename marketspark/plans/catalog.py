@@ -41,8 +41,8 @@ SQL_ARGS = ("EUR", 10.0)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _fx(spark: SparkSession, sf: str, window=None) -> DataFrame:
-    return stage_fx(given.fx_bronze(spark, sf, window))
+def _fx(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_fx(given.fx_bronze(spark, sf))
 
 
 def _clean_fx(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,12 +52,12 @@ def _clean_fx(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _equity(spark: SparkSession, sf: str, window=None) -> DataFrame:
-    return stage_equity(given.equity_bronze(spark, sf, window))
+def _equity(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_equity(given.equity_bronze(spark, sf))
 
 
-def _silver(spark: SparkSession, sf: str, window=None) -> DataFrame:
-    return layers.silver(_fx(spark, sf, window), _equity(spark, sf, window))
+def _silver(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.silver(_fx(spark, sf), _equity(spark, sf))
 
 
 def _weekly(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +102,7 @@ def dedupe_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_half_open(spark: SparkSession, sf: str) -> DataFrame:
-    rows = stage_fx(given.fx_bronze(spark, sf, QUARTER), half_open(*QUARTER), end_inclusive=False)
+    rows = stage_fx(given.fx_bronze(spark, sf), half_open(*QUARTER), end_inclusive=False)
     return rows.select("date", "base", "quote", "rate", "ingestion_id")
 
 
@@ -178,8 +178,8 @@ def gold_market_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_market_window(spark: SparkSession, sf: str) -> DataFrame:
-    """Levels of a window need the window's rows only, so the scan is filtered too."""
-    return _rounded_wide(layers.gold_market(_silver(spark, sf, QUARTER), QUARTER))
+    """The window is part of each duplicate's key, so Spark moves its filter down to the scan."""
+    return _rounded_wide(layers.gold_market(_silver(spark, sf), QUARTER))
 
 
 def gold_returns_wide(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.functions.dates import half_open
 from marketspark.functions.text import literal
 from marketspark.operators.pivot import wide_by_date
 from marketspark.sources.vendor import BAR_FIELDS
@@ -32,22 +31,11 @@ def _pick(index: str, values: Iterable[str]) -> str:
     return f"element_at(array({', '.join(map(literal, values))}), cast({index} as int) + 1)"
 
 
-def _between(df: DataFrame, column: str, window: tuple[str, str] | None) -> DataFrame:
-    """Filter the stored timestamp itself, which the Parquet scan can use to skip data."""
-    if window is None:
-        return df
-    first, after = half_open(*window)
-    kind = df.schema[column].dataType.simpleString()
-    return df.where(f"{column} >= cast('{first}' as {kind}) and {column} < cast('{after}' as {kind})")
-
-
-def fx_bronze(
-    spark: SparkSession, sf_dir: str, window: tuple[str, str] | None = None
-) -> DataFrame:
-    """Exchange rates from ``orders``, all of them or those of a closed window."""
+def fx_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exchange rates from ``orders``."""
     base = _pick("o_custkey % 8", [b for b, _ in PAIRS])
     quote = _pick("o_custkey % 8", [q for _, q in PAIRS])
-    return _between(table(spark, sf_dir, "orders"), "o_orderdate", window).selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         "cast(o_orderdate as date) as date",
         f"""case when o_orderkey % 499 = 0 then 'E1R' when o_orderkey % 997 = 0 then null
             when o_orderkey % 3 = 0 then lower({base}) || '  ' else {base} end as base""",
@@ -59,12 +47,10 @@ def fx_bronze(
     )
 
 
-def equity_bronze(
-    spark: SparkSession, sf_dir: str, window: tuple[str, str] | None = None
-) -> DataFrame:
-    """Daily bars from ``lineitem``, all of them or those of a closed window."""
+def equity_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars from ``lineitem``."""
     price = "(l_extendedprice - 1000)"
-    return _between(table(spark, sf_dir, "lineitem"), "l_shipdate", window).selectExpr(
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "cast(l_shipdate as date) as date",
         f"{_pick('l_partkey % 7', TICKERS)} as ticker",
         f"if(l_quantity = 7, null, {price}) as open",
