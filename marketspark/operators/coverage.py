@@ -9,17 +9,18 @@ from marketspark.functions.dates import in_window, spine
 from marketspark.functions.text import pair_name
 from marketspark.schemas import FX_KEY
 
-OBJECT_KEY = r"(?:^|/)(\d{4})/(\d{1,2})/(\d{1,2})/([^/_]+)_([^/_]+)\.json$"
+OBJECT_KEY = r"(^|/)\d{4}/\d{1,2}/\d{1,2}/[^/_]+_[^/_]+\.json$"
 
 
 def keys_from_paths(paths: DataFrame) -> DataFrame:
     """(date, base, quote) out of ``…/YYYY/MM/DD/BASE_QUOTE.json``; other paths are ignored."""
-    year, month, day, base, quote = (f"regexp_extract(path, r'{OBJECT_KEY}', {i})" for i in range(1, 6))
+    name = "left(split_part(path, '/', -1), length(split_part(path, '/', -1)) - 5)"
+    day = "concat_ws('-', split_part(path, '/', -4), split_part(path, '/', -3), split_part(path, '/', -2))"
     return (
         paths.where(f"path rlike r'{OBJECT_KEY}'")
         .selectExpr(
-            f"try_cast(concat_ws('-', {year}, {month}, {day}) as date) as date",
-            f"{base} as base", f"{quote} as quote",
+            f"try_cast({day} as date) as date",
+            f"split_part({name}, '_', 1) as base", f"split_part({name}, '_', 2) as quote",
         )
         .where("date is not null")
     )

@@ -235,7 +235,7 @@ def coverage_from_paths(spark: SparkSession, sf: str) -> DataFrame:
     """Keys parsed out of object paths; those of ``error`` lack a part and are ignored."""
     name = "if(base = 'error', base, base || '_' || quote)"
     paths = given.event_records(spark, sf).selectExpr(
-        f"'bronze/rates/' || date_format(date, 'yyyy/MM/dd') || '/' || {name} || '.json' as path"
+        f"'bronze/rates/' || replace(date, '-', '/') || '/' || {name} || '.json' as path"
     )
     return cov.coverage(cov.keys_from_paths(paths))
 

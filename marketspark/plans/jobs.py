@@ -27,7 +27,8 @@ from marketspark.plans.staging import EQUITY_ORDER, FX_ORDER, stage_equity, stag
 from marketspark.schemas import (
     EQUITY_BRONZE, EQUITY_KEY, EQUITY_STAGING, FX_BRONZE, FX_KEY, FX_STAGING, SILVER,
 )
-from marketspark.sources.bronze import append_documents, read_landed
+from marketspark.session import stored
+from marketspark.sources.bronze import append_documents, documents_if_any, read_landed
 from marketspark.sources.tables import (
     first_of, period_value, read_by_date, read_table, register, write_by_date, write_table,
 )
@@ -72,6 +73,24 @@ def stage(spark: SparkSession, paths: Paths, window: tuple[str, str]) -> None:
     upsert(stage_equity(bars, window), paths.of("staging", "market"), EQUITY_KEY, EQUITY_ORDER)
 
 
+def bronze_to_silver(
+    spark: SparkSession, rates_root: str, bars_root: str, target: str, multi_line: bool = True,
+    grain: str = "day",
+) -> bool:
+    """All Bronze documents to a date-partitioned Silver table, with no staging between.
+
+    False, with nothing written, where no document exists; an error where none is valid.
+    """
+    rates = documents_if_any(spark, rates_root, FX_BRONZE, multi_line)
+    bars = documents_if_any(spark, bars_root, EQUITY_BRONZE, multi_line)
+    if rates.isEmpty() and bars.isEmpty():
+        return False
+    # Stored first, so the documents are parsed once for the check and the write.
+    rows = stored(silver(stage_fx(rates), stage_equity(bars)), "silver")
+    write_by_date(gate(rows, "silver"), target, grain, SILVER_SORT)
+    return True
+
+
 def staged(spark: SparkSession, paths: Paths, since: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Staged rows, all or from a day on; a feed that never landed is an empty frame."""
     tables = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marketspark.functions.text import pair_name
 from marketspark.operators.align import align, stack
@@ -16,6 +17,15 @@ from marketspark.schemas import EQUITY, FX, GOLD_INSTRUMENTS, SILVER, SILVER_KEY
 _ARRIVAL = ("ingestion_timestamp", "ingestion_id")
 
 
+def ordered(df: DataFrame, table: str) -> DataFrame:
+    """Rows in the order readers expect; stored files are only sorted within a partition."""
+    if table == "silver":
+        return df.orderBy("date", "asset_type", "instrument")
+    if table == "weekly":
+        return df.orderBy("week_start", F.desc_nulls_last("weekly_return_pct"), "base", "quote")
+    return df.orderBy("date")
+
+
 def unify_fx(fx: DataFrame) -> DataFrame:
     """Staged rates in the Silver layout, with the columns that order duplicates."""
     return align(fx, SILVER, _ARRIVAL, asset_type=f"'{FX}'", instrument=pair_name("base", "quote"))

@@ -45,6 +45,18 @@ def read_documents(
     )
 
 
+def documents_if_any(
+    spark: SparkSession, root: str, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
+    """Like ``read_documents``, but empty where ``root`` does not exist."""
+    try:
+        return read_documents(spark, root, schema, multi_line)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], with_corrupt(schema))
+
+
 def unreadable(documents: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Files that hold no readable document."""
     empty = " and ".join(f"{key} is null" for key in (*keys,))

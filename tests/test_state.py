@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from marketspark.operators.upsert import upsert
-from marketspark.plans import jobs
+from marketspark.plans import jobs, layers
 from marketspark.plans.staging import FX_ORDER, stage_fx
 from marketspark.schemas import FX_BRONZE, FX_KEY, FX_STAGING, SILVER
 from marketspark.sources import tables
@@ -176,6 +176,24 @@ def test_catalog_table_is_published_through_the_gate(spark, tmp_path):
     spark.sql("drop table three")
 
 
+def test_bronze_to_silver(spark, documents, tmp_path):
+    target = str(tmp_path / "silver")
+    assert not jobs.bronze_to_silver(spark, str(tmp_path / "no"), str(tmp_path / "none"), target)
+    lineage = {"source": "fx", "ingestion_timestamp": "2026-09-01T00:00:00Z", "ingestion_id": "a"}
+    rate = {"date": "2026-08-24", "base": "eur", "quote": "USD", "rate": 1.0, **lineage}
+    bad = documents({**rate, "rate": -1}, root="bad")
+    with pytest.raises(ValueError, match="silver is empty"):
+        jobs.bronze_to_silver(spark, bad, str(tmp_path / "none"), target)
+    assert tables.read_by_date(spark, target, SILVER) is None
+    good = documents(rate, {**rate, "date": "2026-08-25", "rate": 1.5}, "{broken", root="good")
+    bar = {"date": "2026-08-24", "ticker": "^A", "open": 1, "high": 1, "low": 1, "close": 1, "adj_close": 1,
+           "volume": None, **lineage, "source": "eq"}
+    assert jobs.bronze_to_silver(spark, good, documents(bar, root="bars"), target)
+    rows = layers.ordered(tables.read_by_date(spark, target, SILVER), "silver").collect()
+    assert [(r.date.day, r.instrument, r["return"]) for r in rows] == [
+        (24, "^A", None), (24, "EUR/USD", None), (25, "EUR/USD", 0.5)]
+
+
 def test_an_empty_run_is_refused_before_publishing(spark, tmp_path):
     paths = jobs.Paths(str(tmp_path / "lake"))
     with pytest.raises(ValueError, match="silver"):
