@@ -14,13 +14,15 @@ OBJECT_KEY = r"(^|/)\d{4}/\d{1,2}/\d{1,2}/[^/_]+_[^/_]+\.json$"
 
 def keys_from_paths(paths: DataFrame) -> DataFrame:
     """(date, base, quote) out of ``…/YYYY/MM/DD/BASE_QUOTE.json``; other paths are ignored."""
-    name = "left(split_part(path, '/', -1), length(split_part(path, '/', -1)) - 5)"
-    day = "concat_ws('-', split_part(path, '/', -4), split_part(path, '/', -3), split_part(path, '/', -2))"
+    # The pattern fixes the shape, so plain cuts at the separators give the parts.
+    day = "replace(substring_index(substring_index(path, '/', -4), '/', 3), '/', '-')"
+    name = "substring_index(path, '/', -1)"
     return (
         paths.where(f"path rlike r'{OBJECT_KEY}'")
         .selectExpr(
             f"try_cast({day} as date) as date",
-            f"split_part({name}, '_', 1) as base", f"split_part({name}, '_', 2) as quote",
+            f"substring_index({name}, '_', 1) as base",
+            f"substring_index(substring_index({name}, '_', -1), '.json', 1) as quote",
         )
         .where("date is not null")
     )
