@@ -58,9 +58,11 @@ def land(
     spark = records.sparkSession
     fields = [name for name in schema.fieldNames() if name in records.columns]
     order = [*arrival, *[name for name in fields if name not in keys]]
+    day = "try_cast(date as date)"
+    # A record whose date cannot be read lands as well; staging rejects it with the reason.
+    dated = records.where(f"{day} is null or ({in_window(day, *window)})")
     # Keys are compared as they are stored: the day as ISO text.
-    dated = records.where(in_window("cast(date as date)", *window))
-    dated = dated.withColumn("date", F.col("date").cast("date").cast("string"))
+    dated = dated.withColumn("date", F.expr(f"coalesce(cast({day} as string), cast(date as string))"))
     fresh = keep_first(dated, read_landed(spark, root, schema, window), keys, order)
     append_documents(enrich(fresh.select(*fields), source, run_at), root, grain)
 

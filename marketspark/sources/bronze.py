@@ -72,7 +72,7 @@ def append_documents(df: DataFrame, root: str, grain: str = "day") -> None:
     parts = GRAINS[grain]
     shapes = {"year": "yyyy", "month": "MM", "day": "dd"}
     (
-        df.selectExpr("*", *[f"date_format(date, '{shapes[name]}') as {name}" for name in parts])
+        df.selectExpr("*", *[f"date_format(try_cast(date as date), '{shapes[name]}') as {name}" for name in parts])
         .hint("rebalance", *[F.col(name) for name in parts])
         .write.mode("append").partitionBy(*parts).json(root)
     )
@@ -83,7 +83,8 @@ def read_landed(
 ) -> DataFrame:
     """Records written by ``append_documents``; empty where nothing has landed.
 
-    With a ``window`` only the directories of its days (or months) are read.
+    With a ``window`` only the directories of its days (or months) are read, and those
+    of records without a readable date, which the rules of staging reject.
     """
     try:
         landed = spark.read.schema(with_corrupt(schema)).options(**json_options(False)).json(root)
@@ -93,7 +94,8 @@ def read_landed(
         return spark.createDataFrame([], with_corrupt(schema))
     if window and "year" in landed.columns:
         grain = "day" if "day" in landed.columns else "month"
-        landed = landed.where(in_periods(landed, *[period_value(d, grain) for d in check_window(*window)]))
+        inside = in_periods(landed, *[period_value(d, grain) for d in check_window(*window)])
+        landed = landed.where(f"{inside} or year is null")
     return landed.select(*with_corrupt(schema).fieldNames())
 
 

@@ -194,6 +194,21 @@ def test_bronze_to_silver(spark, documents, tmp_path):
         (24, "^A", None), (24, "EUR/USD", None), (25, "EUR/USD", 0.5)]
 
 
+def test_a_bad_record_does_not_stop_the_run(spark, tmp_path):
+    paths = jobs.Paths(str(tmp_path / "lake"))
+    fetched = spark.createDataFrame(
+        [("2026-08-24", "EUR", "USD", 1.0), ("24.08.2026", "EUR", "USD", 2.0), ("2026-8-25", "EUR", "USD", 3.0),
+         ("2026-08-25", "EUR", None, 3.0)],
+        "date string, base string, quote string, rate double")
+    window = ("2026-08-24", "2026-08-25")
+    for _ in range(2):
+        jobs.run(spark, paths, window, fetched)
+    bronze = read_landed(spark, paths.of("bronze", "rates"), FX_BRONZE, window).collect()
+    assert [r.date for r in bronze].count("24.08.2026") == 1
+    silver = layers.ordered(tables.read_by_date(spark, paths.of("silver", "silver"), SILVER), "silver").collect()
+    assert [(r.date.day, r.rate) for r in silver] == [(24, 1.0), (25, 3.0)]
+
+
 def test_an_empty_run_is_refused_before_publishing(spark, tmp_path):
     paths = jobs.Paths(str(tmp_path / "lake"))
     with pytest.raises(ValueError, match="silver"):
