@@ -7,13 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import bpe, sharding, warc
+from marketspark.llm import bpe, decontaminate, pii, sharding, simhash, toxicity, warc
 from marketspark.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -22,13 +35,22 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY, PATTERN)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_pii": op2_pii,
+    "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_bpe": op5_bpe,
+    "op6_toxicity": op6_toxicity,
     "op10_warc": op10_warc,
 }
 
