@@ -27,6 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketspark.llm.common import ship
 
@@ -267,16 +268,30 @@ def codec(path: str, pattern: str) -> Codec:
         return Codec(load_ranks(file.readlines()), pattern)
 
 
-def _tokens(path: str, pattern: str):
+def _tokens(path: str, pattern: str, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The vocabulary file is part of an installed package, so every worker has it.
         own = codec(path, pattern)
         for batch in batches:
-            ids = [list(chain.from_iterable(e[0] for e in found)) for found in own.batched(batch["text"].to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in batch.schema.names if c != "text"), pa.array(ids, pa.list_(pa.int32()))],
-                [*(c for c in batch.schema.names if c != "text"), "ids"],
-            )
+            texts = [text or "" for text in batch["text"].to_pylist()]
+            start = 0
+            while start < len(texts):  # a bounded number of ids leaves at a time
+                end, size = start, 0
+                while end < len(texts) and size < _CHARS:
+                    size += len(texts[end])
+                    end += 1
+                ids, ends = [], [0]
+                for text, found in zip(texts[start:end], own.entries(texts[start:end]), strict=True):
+                    own_ids = list(chain.from_iterable(e[0] for e in found))
+                    if own.decode(own_ids) != text.encode():
+                        raise ValueError("a text does not survive encoding and decoding")
+                    ids += own_ids
+                    ends.append(len(ids))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, dtype=np.int32)))
+                part = batch.slice(start, end - start)
+                counts = pa.array(np.diff(ends), pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), counts, lists], [*kept, "n_tokens", "ids"])
+                start = end
     return run
 
 
@@ -296,11 +311,12 @@ def _digests(path: str, pattern: str):
     return run
 
 
-def tokenize(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
-    """``key`` and ``ids``, the token ids of each row's whole text."""
+def tokenize(docs: DataFrame, path: str, pattern: str, *columns: str) -> DataFrame:
+    """``columns`` of ``docs``, n_tokens and ids, the token ids of each row's whole text; each list of ids is decoded and compared."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_tokens(path, pattern), f"{key} long, ids array<int>")
+    kept = [c for c in columns if c not in ("n_tokens", "ids")]
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(_tokens(path, pattern, kept), schema)
 
 
 def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

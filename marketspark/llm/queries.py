@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import bpe, decontaminate, pii, sharding, simhash, toxicity, warc
+from marketspark.llm import ann, bpe, ctw, decontaminate, pfp, pii, sharding, simhash, toxicity, warc
 from marketspark.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -40,6 +40,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op8_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_pfp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfp.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -51,6 +63,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_ann": op7_ann,
+    "op8_ctw": op8_ctw,
+    "op9_pfp": op9_pfp,
     "op10_warc": op10_warc,
 }
 
