@@ -1,8 +1,8 @@
 """Toxic spans by a linear-chain conditional random field.
 
-The field has two states, harmless and toxic, over the words of a sentence. A word's features are itself and its first
-letters, so unseen forms of a seen stem count. It is fitted on a bounded sample of labelled documents: up to ``SAMPLE`` of each label, the least by a hash of doc_id,
-of at most ``SAMPLE_CHARS`` characters each. Document labels become word labels there by a test of association (G squared): in toxic
+The field has two states, harmless and toxic, over the words of a sentence. A common word's feature is itself; a rare or unseen
+one's are its first letters, so unseen forms of a stem count. It is fitted on a bounded sample of labelled documents: up to ``SAMPLE`` of each label, the least by a hash of doc_id,
+of at most ``SAMPLE_CHARS`` characters each, without near copies of one another. Document labels become word labels there by a test of association (G squared): in toxic
 documents the words with an associated stem are toxic, all else is harmless.
 
 Scoring covers every word of every text. Forward and backward passes give each word's marginal; the document's score is a logistic
@@ -19,21 +19,24 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketspark.llm.common import ship
 
-SAMPLE = 1500
+SAMPLE = 1200
 SAMPLE_CHARS = 20_000
-_RATIO = 4.0
-_ROUNDS, _RATE, _DECAY = 60, 0.3, 1e-4
+_RATIO, _SHARE = 10.0, 0.02  # of toxic against other documents; of the toxic documents that have a telling feature
+_ROUNDS, _RATE, _DECAY = 40, 0.3, 1e-4
+_COMMON = 5  # documents of the sample
+_FLOOR = 0.1  # smaller marginals are all alike to a document's score
 _STORE = 500_000
 _BATCH = 400_000  # words scored together
 
@@ -41,8 +44,9 @@ _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
-def features(word: str) -> tuple[str, ...]:
-    return (word, word[:4] + "*", word[:5] + "**")
+def features(word: str, common: Container[str]) -> tuple[str, str]:
+    """Two features: a common word and nothing, or the first letters of another."""
+    return (word, "") if word in common else (word[:4] + "*", word[:5] + "**")
 
 
 def sentences(text: str) -> list[list[tuple[str, int, int]]]:
@@ -57,7 +61,7 @@ def sentences(text: str) -> list[list[tuple[str, int, int]]]:
 
 @dataclass
 class Field:
-    """Feature weights of the toxic state, the log odds without features, and the transition scores."""
+    """Feature weights of the toxic state (of every common word), the log odds without features, and the transition scores."""
 
     weights: dict[str, float]
     bias: float
@@ -67,7 +71,7 @@ class Field:
 
     def emission(self, word: str) -> float:
         get = self.weights.get
-        return self.bias + sum(get(f, 0.0) for f in features(word))
+        return self.bias + sum(get(f, 0.0) for f in features(word, self.weights))
 
 
 def passes(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, pairs: bool = False):
@@ -124,18 +128,32 @@ def passes(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, pairs: bo
 
 def document_inputs(marginals: np.ndarray, owners: np.ndarray, documents: int) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of each document's largest marginal, and log(1 + expected toxic words), over its words' ``owners``."""
-    largest, count = np.full(documents, 1e-6), np.zeros(documents)
+    largest, count = np.full(documents, _FLOOR), np.zeros(documents)
     np.maximum.at(largest, owners, marginals)
     np.add.at(count, owners, np.where(marginals >= 0.5, marginals, 0.0))
-    largest = np.clip(largest, 1e-6, 1 - 1e-6)
+    largest = np.clip(largest, _FLOOR, 1 - 1e-6)
     return np.log(largest / (1 - largest)), np.log1p(count)
 
 
-def _associated(texts: list[str], labels: list[int]) -> set[str]:
+def _distinct(texts: list[str]) -> list[int]:
+    """Places of texts that share under half of their eight least shingle hashes with those before: copies would make chance words look telling."""
+    seen: set[int] = set()
+    kept = []
+    for i, text in enumerate(texts):
+        words = _WORD.findall(text.lower())
+        shingles = {" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))}
+        least = sorted(xxhash.xxh64_intdigest(s) for s in shingles)[:8]
+        if 2 * len(seen.intersection(least)) < len(least):
+            kept.append(i)
+        seen.update(least)
+    return kept
+
+
+def _associated(words: list[set[str]], labels: list[int], common: set[str]) -> set[str]:
     """Features that are found in toxic documents beyond chance and far more often than in others."""
     seen = (Counter(), Counter())
-    for text, label in zip(texts, labels, strict=True):
-        seen[label].update({f for s in sentences(text) for w, _, _ in s for f in features(w)})
+    for some, label in zip(words, labels, strict=True):
+        seen[label].update({f for w in some for f in features(w, common) if f})
     sizes = labels.count(0), labels.count(1)
     out, bar = set(), 2 * math.log(len(seen[1]) + 2)  # so strict that few of the features seen pass by chance
     for feature, a in seen[1].items():
@@ -145,7 +163,7 @@ def _associated(texts: list[str], labels: list[int]) -> set[str]:
         g2 = sum(2 * o * math.log(o / x) for o, x in (
             (a, sizes[1] * share), (b, sizes[0] * share), (sizes[1] - a, sizes[1] * (1 - share)), (sizes[0] - b, sizes[0] * (1 - share)),
         ) if o > 0 and x > 0)
-        if g2 >= bar and ratio >= _RATIO:
+        if g2 >= bar and ratio >= _RATIO and a >= _SHARE * sizes[1]:
             out.add(feature)
     return out
 
@@ -154,19 +172,23 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> Fie
     """A field from documents and their labels; ``shares`` are the labels' shares among all labelled documents."""
     if len(set(labels)) < 2:
         return Field({}, 0.0, np.zeros((2, 2)), (0.0, 0.0, 0.0), constant=shares[1])
-    telling = _associated(texts, labels)
-    names: dict[str, int] = {}
-    columns: list[tuple[int, int, int]] = []
+    some = _distinct(texts)
+    texts, labels = [texts[i] for i in some], [labels[i] for i in some]
+    words_of = [{w for s in sentences(text) for w, _, _ in s} for text in texts]
+    common = {w for w, n in Counter(w for some in words_of for w in some).items() if n >= _COMMON}
+    telling = _associated(words_of, labels, common)
+    names: dict[str, int] = {"": 0}
+    columns: list[tuple[int, int]] = []
     lengths, owners, truth = [], [], []
     for d, (text, label) in enumerate(zip(texts, labels, strict=True)):
         for words in sentences(text):
             lengths.append(len(words))
             for word, _, _ in words:
-                own = features(word)
+                own = features(word, common)
                 columns.append(tuple(names.setdefault(f, len(names)) for f in own))
                 truth.append(label and any(f in telling for f in own))
                 owners.append(d)
-    index = np.array(columns).reshape(-1, 3)
+    index = np.array(columns).reshape(-1, 2)
     y = np.array(truth, dtype=float)
     first = np.cumsum(lengths) - lengths
     follow = np.ones(len(y), dtype=bool)
@@ -179,7 +201,8 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> Fie
     for _ in range(_ROUNDS):  # AdaGrad on the log likelihood
         marginals, expected = passes(bias + weights[index].sum(1), np.array(lengths), moves, pairs=True)
         rest = y - marginals
-        grown = sum(np.bincount(index[:, k], rest, len(names)) for k in range(3)) - _DECAY * len(y) / len(names) * weights
+        grown = sum(np.bincount(index[:, k], rest, len(names)) for k in range(2)) - _DECAY * len(y) / len(names) * weights
+        grown[0] = 0.0  # the missing second feature of common words
         squares += grown**2
         weights += _RATE * grown / np.sqrt(squares + 1e-8)
         bias_squares += rest.sum() ** 2
@@ -189,7 +212,7 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> Fie
         moves += _RATE * moved / np.sqrt(move_squares + 1e-8)
     marginals = passes(bias + weights[index].sum(1), np.array(lengths), moves)
     inputs = document_inputs(marginals, np.array(owners), len(texts))
-    kept = {f: float(weights[i]) for f, i in names.items() if abs(weights[i]) > 0.01}
+    kept = {f: float(weights[i]) for f, i in names.items() if f in common or f and abs(weights[i]) > 0.05}
     return Field(kept, float(bias), moves, _calibrate(*inputs, np.array(labels, dtype=float), shares))
 
 
