@@ -212,7 +212,7 @@ def check_publishable(df: DataFrame, name: str) -> DataFrame:
 
 def check_tests(results: DataFrame) -> None:
     """Refuse a table whose declared tests fail. The result has a row per test."""
-    failing = results.where("failures > 0").take(20)
+    failing = results.where("failures > 0").collect()
     if failing:
         raise ValueError("; ".join(
             f"{r.table_name}.{r.column_name} {r.test}: {r.failures}" for r in failing

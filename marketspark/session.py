@@ -52,3 +52,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Delete the files of a table made by ``stored`` that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -34,10 +34,35 @@ def in_periods(table: DataFrame, first: int, last: int) -> str:
     return f"{number} between {first} and {last}"
 
 
+def among_periods(table: DataFrame, values: Sequence[int]) -> str:
+    """Condition that names partitions one by one; the calendar bounds their number."""
+    present = set(table.columns)
+    number = " + ".join(f"{name} * {place}" for name, place in _PLACE.items() if name in present)
+    return f"{number} in ({', '.join(map(str, values))})"
+
+
+def grain_of(table: DataFrame) -> str | None:
+    """Grain of a table read with its partition columns; None if it has none."""
+    return "day" if "day" in table.columns else "month" if "month" in table.columns else None
+
+
+def check_grain(spark: SparkSession, path: str, schema: T.StructType, grain: str, kind: str = "parquet") -> None:
+    """Refuse to write ``grain`` into a table that is partitioned by another one."""
+    try:
+        written = grain_of(spark.read.format(kind).schema(schema).load(path))
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return
+        raise
+    if written not in (None, grain):
+        raise ValueError(f"{path} is partitioned by {written}, not by {grain}")
+
+
 def write_by_date(
-    df: DataFrame, path: str, grain: str = "day", sort: Sequence[str] = (), tasks: int | None = None
+    df: DataFrame, path: str, grain: str = "day", sort: Sequence[str] = (), tasks: int | None = None,
+    replace: bool = False,
 ) -> None:
-    """Replace the date partitions that ``df`` holds and leave all others.
+    """Replace the date partitions that ``df`` holds and leave all others; with ``replace`` no others stay.
 
     The rebalance hint brings each partition together, yet splits one that is much
     larger than the rest and joins small ones, at run time. Where the table has one
@@ -52,7 +77,7 @@ def write_by_date(
         placed = placed.hint("rebalance", *[F.col(name) for name in parts])
     (
         placed.sortWithinPartitions(*parts, *sort)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static" if replace else "dynamic")
         .partitionBy(*parts).parquet(path)
     )
 
@@ -63,11 +88,12 @@ def first_of(day: str, grain: str) -> str:
 
 
 def read_by_date(
-    spark: SparkSession, path: str, schema: T.StructType, bounds: tuple[int, int] | None = None
+    spark: SparkSession, path: str, schema: T.StructType, bounds: tuple[int, int] | None = None,
+    only: Sequence[int] | None = None,
 ) -> DataFrame | None:
     """A table written by ``write_by_date``, or None where nothing is written yet.
 
-    ``bounds`` are partition numbers (see ``period_value``).
+    ``bounds`` are the first and last partition number (see ``period_value``), ``only`` a list of them.
     """
     try:
         table = spark.read.schema(schema).parquet(path)
@@ -77,6 +103,8 @@ def read_by_date(
         raise
     if bounds and "year" in table.columns:
         table = table.where(in_periods(table, *bounds))
+    if only is not None and "year" in table.columns:
+        table = table.where(among_periods(table, only))
     return table.select(*schema.fieldNames())
 
 

@@ -20,7 +20,9 @@ def stage_new_files(
     """Read the files that came since the last run, upsert their valid rows, and stop.
 
     ``checkpoint`` remembers the files read. A batch that is repeated after a failure
-    replaces the same keys with the same rows, so nothing is applied twice.
+    replaces the same keys with the same rows, so nothing is applied twice. The last
+    row of a key by ``order`` wins over all files, so ``files_per_batch`` only sets the
+    size of the steps.
     """
     documents = (
         spark.readStream.schema(with_corrupt(schema))
@@ -30,7 +32,7 @@ def stage_new_files(
     )
     return (
         documents.writeStream
-        .foreachBatch(lambda batch, _: upsert(stage(batch), target, keys, order))
+        .foreachBatch(lambda batch, _: upsert(stage(batch), target, keys, order, keep_latest=True))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
