@@ -7,14 +7,17 @@ from datetime import date, timedelta
 from pyspark.sql import types as T
 
 DAY_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
-DAY_OR_TIME_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
+DAY_OR_TIME_PATTERN = (
+    r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?( ?(Z|UTC|[+-]\d{1,2}:?\d{2}))?)?$"
+)
 
 
 def day(value: str, kind: T.DataType, allow_time: bool = False) -> str:
     """A column as a date; text of any other shape than year-month-day is null."""
     if isinstance(kind, T.StringType):
         shape = DAY_OR_TIME_PATTERN if allow_time else DAY_PATTERN
-        return f"if({value} rlike r'{shape}', try_cast({value} as date), null)"
+        whole = f" and try_cast({value} as timestamp) is not null" if allow_time else ""
+        return f"if({value} rlike r'{shape}'{whole}, try_cast({value} as date), null)"
     return f"cast({value} as date)"
 
 

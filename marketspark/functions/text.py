@@ -8,8 +8,8 @@ BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def literal(text: str) -> str:
-    """A SQL string literal; everything but letters and digits is escaped."""
-    return "'" + "".join(c if c.isascii() and c.isalnum() else f"\\u{ord(c):04x}" for c in text) + "'"
+    """A SQL string literal of any text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def strip(text: str) -> str:

@@ -7,6 +7,8 @@ same batch, is never overwritten.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +39,13 @@ def enrich(df: DataFrame, source: str, run_at: str | None = None) -> DataFrame:
 def keep_first(
     batch: DataFrame, existing: DataFrame, keys: Sequence[str], arrival: Sequence[str]
 ) -> DataFrame:
-    """Records to land: the first arrival of each key that Bronze lacks.
+    """Records to land: the first arrival of each key that Bronze lacks. Nulls in a key equal each other.
 
     Both sides come down to one row per key before they meet.
     """
-    known = existing.select(*keys).distinct()
-    return dedupe(batch, keys, arrival, keep="first").join(known, list(keys), "left_anti")
+    known = existing.selectExpr(*[f"`{key}` as `_known_{key}`" for key in keys]).distinct()
+    same = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_known_{key}")) for key in keys))
+    return dedupe(batch, keys, arrival, keep="first").join(known, same, "left_anti")
 
 
 def landing_summary(
@@ -63,15 +66,23 @@ def landing_summary(
 
 
 def pair_outcomes(
-    universe: DataFrame, batch: DataFrame, existing: DataFrame, start: str, end: str
+    universe: DataFrame, batch: DataFrame, existing: DataFrame, start: str, end: str,
+    failures: DataFrame | None = None,
 ) -> DataFrame:
     """Per configured pair: status, records uploaded, records skipped.
 
     A known pair-day is not fetched and counts as one skip; the second and later
-    records of a fetched pair-day are skipped too. A pair with an invalid code
-    fails without touching the others.
+    records of a fetched pair-day are skipped too. A pair with an invalid code, or
+    one whose fetch the caller reports in ``failures`` (base, quote), fails without
+    touching the others.
     """
-    valid = f"({is_currency('base')}) and ({is_currency('quote')})"
+    if failures is not None:
+        failed = failures.select("base", "quote").distinct().selectExpr("*", "true as _failed")
+        universe = universe.join(failed, ["base", "quote"], "left")
+    else:
+        universe = universe.selectExpr("*", "false as _failed")
+    universe = universe.repartition("base", "quote")  # the spine is exploded by many tasks
+    valid = f"({is_currency('base')}) and ({is_currency('quote')}) and _failed is not true"
     key = list(FX_KEY)
     wanted = universe.selectExpr(
         "base", "quote", f"if({valid}, 'successful', 'failed') as status",

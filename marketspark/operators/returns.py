@@ -50,14 +50,13 @@ def returns_since(rows: DataFrame, earlier: DataFrame, start: str) -> DataFrame:
     """Simple returns of ``rows`` (all dated ``start`` or later) that continue older series.
 
     Of the older rows only the last one of each series matters. It is found by an
-    aggregate that is combined before the shuffle, so the old rows are read in few
-    columns and are neither sorted nor moved.
+    aggregate of fixed-width values that is combined before the shuffle, so the old
+    rows are read in few columns and are not sorted.
     """
     seeds = (
         earlier.where(f"date < date '{start}'")
         .groupBy("asset_type", "instrument", "source")
-        .agg(F.expr("max_by(struct(date, rate, adj_close), date) as seed"))
-        .selectExpr("asset_type", "instrument", "source", "seed.*")
+        .agg(F.expr("max_by(rate, date) as rate"), F.expr("max_by(adj_close, date) as adj_close"), F.expr("max(date) as date"))
     )
     joined = rows.unionByName(seeds, allowMissingColumns=True)
     return simple_returns(joined).where(f"date >= date '{start}'")

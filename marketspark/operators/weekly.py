@@ -17,19 +17,21 @@ def weekly_performance(silver: DataFrame, half_even: bool = False) -> DataFrame:
     """First, last, lowest, highest and mean rate of each pair and week.
 
     Rows without a pair (equities) drop out. First and last follow the date, then
-    the source, never the arrival order. The return uses the unrounded rates.
+    a hash of the source, never the arrival order: one number, so that Spark can hash
+    instead of sorting. The return uses the unrounded rates.
     """
     rates = {
-        "start_rate": "min_by(rate, struct(date, source))",
-        "end_rate": "max_by(rate, struct(date, source))",
+        "start_rate": "min_by(rate, place)",
+        "end_rate": "max_by(rate, place)",
         "min_rate": "min(rate)",
         "max_rate": "max(rate)",
         "avg_rate": "avg(rate)",
     }
+    place = "shiftleft(cast(unix_date(date) as bigint), 32) + (xxhash64(source) & 4294967295)"
     pct = "(try_divide(end_rate, start_rate) - 1) * 100"
     return (
         silver.where("base is not null and quote is not null and rate is not null")
-        .selectExpr(f"{week_start('date')} as week_start", "base", "quote", "rate", "date", "source")
+        .selectExpr(f"{week_start('date')} as week_start", "base", "quote", "rate", f"{place} as place")
         .groupBy("week_start", "base", "quote")
         .agg(*[F.expr(f"{value} as {name}") for name, value in rates.items()])
         .selectExpr(

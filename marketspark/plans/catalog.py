@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def _fx(spark: SparkSession, sf: str) -> DataFrame:
 def _clean_fx(spark: SparkSession, sf: str) -> DataFrame:
     """Raw rates with normalised codes, as a rate service returns them."""
     return given.fx_bronze(spark, sf).selectExpr(
-        "date", f"{currency('base')} as base", f"{currency('quote')} as quote", "rate"
+        "date", f"{currency('base')} as base", f"{currency('quote')} as quote", "rate", "ingestion_id as arrival_no"
     )
 
 
@@ -343,19 +344,37 @@ def medallion_run(spark: SparkSession, sf: str) -> DataFrame:
     rates = _clean_fx(spark, sf)
     jobs.run(
         spark, paths, ALL_DAYS, rates=rates, bars=given.vendor_wide(spark, sf),
-        tickers=[t.strip() for t in given.TICKERS], run_at=RUN_AT, grain="month",
+        tickers=[t.strip() for t in given.TICKERS], run_at=RUN_AT, grain="month", rates_arrival=["arrival_no"],
     )
     return _rounded_wide(tables.read_table(spark, paths.of("gold", "market_data")))
 
 
+def silver_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Two windows, the later one first: Silver is refreshed from the first changed day, as a rebuild would have it."""
+    paths = jobs.Paths(scratch(spark, "refresh"))
+    rates = _clean_fx(spark, sf)
+    for window in ((_next_day(KNOWN_FX_UNTIL), ALL_DAYS[1]), (ALL_DAYS[0], KNOWN_FX_UNTIL)):
+        jobs.run(spark, paths, window, rates=rates, run_at=RUN_AT, grain="month", rates_arrival=["arrival_no"])
+    return _round(tables.read_by_date(spark, paths.of("silver", "silver"), SILVER), "return").select(
+        "date", "instrument", "rate", "return", "source")
+
+
+def _next_day(day: str) -> str:
+    return (date.fromisoformat(day) + timedelta(days=1)).isoformat()
+
+
 def stream_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Two drops of files, a stream run after each; the second reads new files only."""
+    """Two drops of files, a stream run after each; the second reads new files only.
+
+    They share keys, and for a part of them the later row comes in the first drop.
+    """
     root, target, checkpoint = (scratch(spark, name) for name in ("drops", "staging", "offsets"))
     records = given.fx_bronze(spark, sf)
-    for days in (f"date <= date '{KNOWN_FX_UNTIL}'", f"date > date '{KNOWN_FX_UNTIL}'"):
-        bronze.append_documents(records.where(days), root, "month")
+    for part in ("ingestion_id % 2 = 1", "ingestion_id % 2 = 0"):
+        bronze.append_documents(records.where(part), root, "month")
         stage_new_files(
-            spark, root, FX_BRONZE, stage_fx, target, FX_KEY, FX_ORDER, checkpoint, multi_line=False
+            spark, root, FX_BRONZE, stage_fx, target, FX_KEY, FX_ORDER, checkpoint, multi_line=False,
+            files_per_batch=40,
         ).awaitTermination()
     return tables.read_by_date(spark, target, FX_STAGING).select(*FX_KEY, "rate", "ingestion_id")
 
@@ -402,5 +421,6 @@ QUERIES: dict[str, Query] = {
     "silver_partitioned_roundtrip": silver_partitioned_roundtrip,
     "published_gold": published_gold,
     "medallion_run": medallion_run,
+    "silver_refresh": silver_refresh,
     "stream_incremental": stream_incremental,
 }

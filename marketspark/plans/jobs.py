@@ -7,6 +7,7 @@ tables are rebuilt.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -15,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketspark.functions.dates import in_window
+from marketspark.functions.dates import check_window, in_window
 from marketspark.operators.landing import enrich, keep_first
 from marketspark.operators.quality import (
-    DECLARED_TESTS, check_publishable, check_tests, require_columns, run_tests,
+    DECLARED_TESTS, TableTests, attrition, check_publishable, check_tests, equity_rules, fx_rules, rejected,
+    require_columns, run_tests,
 )
 from marketspark.operators.upsert import upsert
 from marketspark.operators.weekly import latest_performance, weekly_performance, weekly_summary
@@ -30,12 +32,13 @@ from marketspark.schemas import (
 from marketspark.session import stored
 from marketspark.sources.bronze import append_documents, documents_if_any, read_landed
 from marketspark.sources.tables import (
-    first_of, period_value, read_by_date, read_table, register, write_by_date, write_table,
+    check_grain, first_of, period_value, read_by_date, read_table, register, write_by_date, write_table,
 )
 from marketspark.sources.vendor import wide_to_long
 
 
 SILVER_SORT = ("asset_type", "instrument")
+LINEAGE = ("source", "ingestion_timestamp", "ingestion_id")
 
 
 @dataclass(frozen=True)
@@ -53,26 +56,51 @@ def land(
     window: tuple[str, str], arrival: Sequence[str] = (), run_at: str | None = None,
     grain: str = "day",
 ) -> None:
-    """Append the records of the window whose key Bronze lacks, the first of each key."""
+    """Append the records of the window whose key Bronze lacks, the first of each key.
+
+    ``arrival`` names the columns that tell which came first; without them it is the
+    order of the rows in ``records``. Records without a full key land once per content,
+    and staging rejects them.
+    """
     require_columns(records, keys, "records to land")
     spark = records.sparkSession
+    check_grain(spark, root, schema, grain, "json")
     fields = [name for name in schema.fieldNames() if name in records.columns]
-    order = [*arrival, *[name for name in fields if name not in keys]]
+    content = [name for name in fields if name not in LINEAGE]
+    records = records.withColumn("_row", F.monotonically_increasing_id())
+    order = [*arrival, "_row"]
     day = "try_cast(date as date)"
     # A record whose date cannot be read lands as well; staging rejects it with the reason.
     dated = records.where(f"{day} is null or ({in_window(day, *window)})")
     # Keys are compared as they are stored: the day as ISO text.
     dated = dated.withColumn("date", F.expr(f"coalesce(cast({day} as string), cast(date as string))"))
-    fresh = keep_first(dated, read_landed(spark, root, schema, window), keys, order)
-    append_documents(enrich(fresh.select(*fields), source, run_at), root, grain)
+    landed = read_landed(spark, root, schema, window)
+    full = " and ".join(f"`{key}` is not null" for key in keys)
+    fresh = keep_first(dated.where(full), landed, keys, order)
+    as_text = lambda df: df.selectExpr("*", *[f"cast(`{name}` as string) as `_text_{name}`" for name in content])
+    partial = keep_first(
+        as_text(dated.where(f"not ({full})")), as_text(landed.where(f"not ({full})")), [f"_text_{name}" for name in content], order)
+    append_documents(enrich(fresh.select(*fields).unionByName(partial.select(*fields)), source, run_at), root, grain)
 
 
 def stage(spark: SparkSession, paths: Paths, window: tuple[str, str]) -> None:
-    """Upsert the window's valid Bronze records into both staging tables."""
-    fx = read_landed(spark, paths.of("bronze", "rates"), FX_BRONZE, window)
-    upsert(stage_fx(fx, window), paths.of("staging", "rates"), FX_KEY, FX_ORDER)
-    bars = read_landed(spark, paths.of("bronze", "market"), EQUITY_BRONZE, window)
-    upsert(stage_equity(bars, window), paths.of("staging", "market"), EQUITY_KEY, EQUITY_ORDER)
+    """Upsert the window's valid Bronze records into both staging tables.
+
+    What the rules reject is kept per window with all reasons and the first one, and
+    so is the number of rows before and after each rule.
+    """
+    folder = f"window={window[0]}_{window[1]}"
+    for name, schema, rules_of, staged_rows, keys, order in (
+        ("rates", FX_BRONZE, fx_rules, stage_fx, FX_KEY, FX_ORDER),
+        ("market", EQUITY_BRONZE, equity_rules, stage_equity, EQUITY_KEY, EQUITY_ORDER),
+    ):
+        landed = read_landed(spark, paths.of("bronze", name), schema, window)
+        rules = rules_of(landed)
+        write_table(rejected(landed, rules), f"{paths.of('rejects', name)}/{folder}")
+        write_table(attrition(landed, rules, name), f"{paths.of('attrition', name)}/{folder}")
+        rows = staged_rows(landed, window)
+        check_tests(run_tests(rows, DECLARED_TESTS["staging_fx" if name == "rates" else "staging_equity"]))
+        upsert(rows, paths.of("staging", name), keys, order)
 
 
 def bronze_to_silver(
@@ -111,9 +139,9 @@ def _from(day: str, grain: str) -> tuple[int, int]:
 
 
 def build_silver(spark: SparkSession, paths: Paths, grain: str = "day") -> None:
-    """Rebuild Silver from all staging, so returns look back past any window."""
+    """Rebuild Silver from all staging, so returns look back past any window; nothing older stays."""
     rows = silver(*staged(spark, paths))
-    write_by_date(rows, paths.of("models", "silver"), grain, SILVER_SORT)
+    write_by_date(rows, paths.of("models", "silver"), grain, SILVER_SORT, replace=True)
 
 
 def refresh_silver(spark: SparkSession, paths: Paths, start: str, grain: str = "day") -> None:
@@ -124,7 +152,8 @@ def refresh_silver(spark: SparkSession, paths: Paths, start: str, grain: str = "
     """
     start = first_of(start, grain)
     path = paths.of("models", "silver")
-    built = read_by_date(spark, path, SILVER)
+    earlier = period_value(date.min, grain), period_value(date.fromisoformat(start), grain)
+    built = read_by_date(spark, path, SILVER, earlier)
     if built is None:
         build_silver(spark, paths, grain)
         return
@@ -132,12 +161,12 @@ def refresh_silver(spark: SparkSession, paths: Paths, start: str, grain: str = "
     write_by_date(rows, path, grain, SILVER_SORT)
 
 
-def publish(spark: SparkSession, paths: Paths, layer: str, table: str, tests: str | None = None) -> None:
+def publish(spark: SparkSession, paths: Paths, layer: str, table: str, tests: str | TableTests | None = None) -> None:
     """Copy a built table to its published folder, once it passes the gate."""
     write_table(gate(read_table(spark, paths.of("models", table)), table, tests), paths.of(layer, table))
 
 
-def publish_table(spark: SparkSession, name: str, path: str, tests: str | None = None) -> None:
+def publish_table(spark: SparkSession, name: str, path: str, tests: str | TableTests | None = None) -> None:
     """Copy a catalog table to a folder, once it passes the gate."""
     write_table(gate(spark.table(name), name, tests), path)
 
@@ -152,22 +181,23 @@ def publish_silver(
     built = read_by_date(spark, paths.of("models", "silver"), SILVER, bounds)
     if built is None:
         raise ValueError("silver is not built")
-    write_by_date(gate(built, "silver", "silver"), target, grain, SILVER_SORT)
+    write_by_date(gate(built, "silver", "silver"), target, grain, SILVER_SORT, replace=not fresh)
 
 
-def gate(built: DataFrame, table: str, tests: str | None = None) -> DataFrame:
+def gate(built: DataFrame, table: str, tests: str | TableTests | None = None) -> DataFrame:
     """Refuse an empty or malformed table, and one that fails its declared tests."""
     check_publishable(built, table)
     if tests:
-        check_tests(run_tests(built, DECLARED_TESTS[tests]))
+        check_tests(run_tests(built, tests if isinstance(tests, TableTests) else DECLARED_TESTS[tests]))
     return built
 
 
-def build_gold(spark: SparkSession, paths: Paths, window: tuple[str, str]) -> None:
+def build_gold(spark: SparkSession, paths: Paths, window: tuple[str, str], grain: str = "day") -> None:
     """Build the daily wide tables: the market table for the window, returns for all days."""
-    rows = read_by_date(spark, paths.of("models", "silver"), SILVER)
-    write_table(gold_market(rows, window), paths.of("models", "market_data"))
-    write_table(gold_returns(rows), paths.of("models", "daily_returns"))
+    path = paths.of("models", "silver")
+    bounds = tuple(period_value(date.fromisoformat(day), grain) for day in window)
+    write_table(gold_market(read_by_date(spark, path, SILVER, bounds), window), paths.of("models", "market_data"))
+    write_table(gold_returns(read_by_date(spark, path, SILVER)), paths.of("models", "daily_returns"))
 
 
 def build_weekly(spark: SparkSession, paths: Paths) -> None:
@@ -190,36 +220,59 @@ def run_analytics(spark: SparkSession, paths: Paths) -> None:
     write_table(weekly_summary(weekly), paths.of("analytics", "weekly_summary"))
 
 
+def _note(spark: SparkSession, paths: Paths, run_id: str, start: str, done: bool) -> None:
+    spark.createDataFrame([(run_id, start, done)], "run string, start string, done boolean").coalesce(1).write.mode(
+        "append").parquet(paths.of("state", "runs"))
+
+
+def changed_from(spark: SparkSession, paths: Paths) -> str | None:
+    """First day of all windows whose run has begun and not ended: Silver may lack them."""
+    runs = spark.read.schema("run string, start string, done boolean").parquet(paths.of("state", "runs"))
+    open_runs = runs.groupBy("run").agg(F.min("start").alias("start"), F.max("done").alias("done")).where("not done")
+    return open_runs.agg(F.min("start")).first()[0]
+
+
 def run(
     spark: SparkSession, paths: Paths, window: tuple[str, str],
     rates: DataFrame | None = None, rates_source: str = "fx",
     bars: DataFrame | None = None, bars_source: str = "equity", tickers: Sequence[str] = (),
     run_at: str | None = None, grain: str = "day", since: str | None = None,
+    rates_arrival: Sequence[str] = (), rebuild: bool = False,
 ) -> None:
     """One window from fetched records to published tables.
 
-    ``rates`` are records (date, base, quote, rate); ``bars`` is the vendor's wide
-    frame. Staging accumulates over runs, Silver covers all of it, and the market
-    table holds the window only. Silver is rebuilt whole unless ``since`` names the
-    first day that changed since its last build; use that where every earlier window
-    has run to its end. ``grain`` sets the directories of Bronze and Silver;
-    months suit long histories of few instruments.
+    ``rates`` are records (date, base, quote, rate), in order of arrival or with
+    ``rates_arrival`` columns; ``bars`` is the vendor's wide frame. Staging accumulates
+    over runs, Silver covers all of it, and the market table holds the window only.
+    Silver is rebuilt from the first changed day on: the start of this window, or of an
+    earlier one whose run did not end, or ``since`` if that is earlier still. ``rebuild``
+    rebuilds it whole. ``grain`` sets the directories of Bronze and Silver; months suit
+    long histories of few instruments. A table of another grain is refused.
     """
+    first, _ = check_window(*window)
+    if since and date.fromisoformat(since) > first:
+        raise ValueError(f"since ({since}) is later than the start of the window ({window[0]})")
+    for layer in ("models", "silver"):
+        check_grain(spark, paths.of(layer, "silver"), SILVER, grain)
+    run_id = uuid.uuid4().hex
+    _note(spark, paths, run_id, min(since or window[0], window[0]), False)
     if rates is not None:
-        land(rates, paths.of("bronze", "rates"), FX_BRONZE, FX_KEY, rates_source, window,
+        land(rates, paths.of("bronze", "rates"), FX_BRONZE, FX_KEY, rates_source, window, rates_arrival,
              run_at=run_at, grain=grain)
     if bars is not None:
         long = wide_to_long(bars, tickers)
         land(long, paths.of("bronze", "market"), EQUITY_BRONZE, ("date", "ticker"), bars_source,
              window, run_at=run_at, grain=grain)
     stage(spark, paths, window)
-    if since:
-        refresh_silver(spark, paths, since, grain)
+    start = None if rebuild else changed_from(spark, paths)
+    if start:
+        refresh_silver(spark, paths, start, grain)
     else:
         build_silver(spark, paths, grain)
-    publish_silver(spark, paths, grain, since)
-    build_gold(spark, paths, window)
+    publish_silver(spark, paths, grain, start)
+    build_gold(spark, paths, window, grain)
     publish(spark, paths, "gold", "market_data", tests="gold_market")
-    publish(spark, paths, "gold", "daily_returns")
+    publish(spark, paths, "gold", "daily_returns", tests=TableTests("daily_returns", ("date",), unique=(("date",),)))
     build_weekly(spark, paths)
     run_analytics(spark, paths)
+    _note(spark, paths, run_id, window[0], True)

@@ -246,11 +246,12 @@ _OUTCOMES = _with(FX_BRONZE, f"""batch as (
   from wanted group by base, quote
   union all select 'E1R', 'USD', 'failed', 0, 0)""")
 
-_RUN_STAGES = _with(FX_BRONZE, EQUITY_BRONZE, _LONG, f"""landed as (
-  select date, upper(trim(base)) as base, upper(trim(quote)) as quote, min(rate) as rate
+_LANDED = (f"""landed as (
+  select date, upper(trim(base)) as base, upper(trim(quote)) as quote, arg_min(rate, ingestion_id) as rate
   from fx_bronze group by all)""", f"""fx_stage as (
   select date, base, quote, rate, 'fx' as source, 0 as ingestion_timestamp, 0 as ingestion_id
-  from landed where {_all(FX_RULES)})""", f"""equity_stage as (
+  from landed where {_all(FX_RULES)})""")
+_RUN_STAGES = _with(FX_BRONZE, EQUITY_BRONZE, _LONG, *_LANDED, f"""equity_stage as (
   select date, ticker as instrument, open, high, low, close, adj_close, volume,
     'equity' as source, 0 as ingestion_timestamp, 0 as ingestion_id
   from long_bars where {_all(EQUITY_RULES)})""", UNIFIED, _kept("desc"), _levels())
@@ -357,6 +358,8 @@ union all select {_FX_KEY}, rate, ingestion_id from batch""",
     + f'select {_COLUMNS}, round("return", {q.DIGITS}) as "return", source from silver',
     "published_gold": _with(*_DEDUPED, _levels()) + _wide("vols", _MARKET),
     "medallion_run": _RUN_STAGES + _wide("vols", _MARKET),
+    "silver_refresh": _with(FX_BRONZE, *_LANDED, _UNIFIED_FX, _kept("desc"), SILVER)
+    + f'select date, instrument, rate, round("return", {q.DIGITS}) as "return", source from silver',
     "stream_incremental": _with(FX_BRONZE, FX_STAGE,
     "newest as (" + _newest("fx_stage", _FX_KEY, _TEXT_ID) + ")")
     + f"select {_FX_KEY}, rate, cast(ingestion_id as varchar) as ingestion_id from newest",
