@@ -61,3 +61,8 @@ def test_scan_reads_needed_columns_and_filters(spark):
 def test_top_k_is_not_a_full_sort(spark):
     text = plan(spark, "top_performers")
     assert "TakeOrderedAndProject" in text and "Subquery" in text
+
+
+def test_weekly_hashes(spark):
+    text = plan(spark, "weekly_performance")
+    assert "HashAggregate" in text and "SortAggregate" not in text

@@ -122,3 +122,19 @@ def test_publish_gate(spark):
         q.check_publishable(spark.range(0), "t")
     with pytest.raises(ValueError, match="repeats"):
         q.check_publishable(spark.range(1).selectExpr("id", "id"), "t")
+
+
+def test_junk_after_a_date_and_any_text_as_a_literal(spark):
+    from marketspark.functions.dates import day
+    from marketspark.functions.text import literal
+    from pyspark.sql import types as T
+
+    shown = {
+        "2026-08-01": True, "2026-08-01 12:30:00": True, "2026-08-01T12:30:00.5Z": True, "2026-08-01T12:30:00+02:00": True,
+        "2026-08-01 garbage": False, "2026-08-01Tjunk": False, "2026-08-01 25:00:00": False, "2026-08-01T": False,
+    }
+    rows = spark.createDataFrame([(t,) for t in shown], "t string")
+    got = {r.t: r.d is not None for r in rows.selectExpr("t", f"{day('t', T.StringType(), allow_time=True)} as d").collect()}
+    assert got == shown
+    for text in ("a\U0001f600b", "it's", "back\\slash \\n", '"', "\n\t", ""):
+        assert spark.range(1).selectExpr(f"{literal(text)} as x").first().x == text

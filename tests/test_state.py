@@ -71,9 +71,9 @@ def test_nothing_written_yet(spark, tmp_path):
     assert read_landed(spark, str(tmp_path / "none"), FX_BRONZE).count() == 0
 
 
-def records(spark, *rows):
+def records(spark, *rows, at="2026-09-01T00:00:00Z"):
     return spark.createDataFrame(
-        [(f"2026-{m:02d}-{d:02d}", b, "USD", rate, "fx", "2026-09-01T00:00:00Z", str(i))
+        [(f"2026-{m:02d}-{d:02d}", b, "USD", rate, "fx", at, str(i))
          for i, (m, d, b, rate) in enumerate(rows)], FX_BRONZE)
 
 
@@ -88,13 +88,90 @@ def test_stream_reads_new_files_once_and_equals_batch(spark, tmp_path):
 
     append_documents(records(spark, (8, 24, "EUR", 1.0), (8, 24, "E1R", 1.0), (8, 25, "EUR", 2.0)), root)
     assert run() == 3
-    append_documents(records(spark, (8, 24, "GBP", 3.0), (8, 25, "EUR", 2.5)), root)
+    append_documents(records(spark, (8, 24, "GBP", 3.0), (8, 25, "EUR", 2.5), at="2026-09-02T00:00:00Z"), root)
     assert run() == 2
     assert run() == 0
     expected = [(8, 24, "EUR", 1.0), (8, 24, "GBP", 3.0), (8, 25, "EUR", 2.5)]
     assert content(spark, target, FX_STAGING) == expected
 
 
+@pytest.mark.parametrize("files", [1, 100])
+def test_the_stream_does_not_depend_on_the_size_of_its_steps(spark, tmp_path, files):
+    root, target = str(tmp_path / "bronze"), str(tmp_path / "staging")
+    # the later record of a key lies in the earlier file
+    for number, at in enumerate(("2026-09-03", "2026-09-02", "2026-09-01")):
+        append_documents(records(spark, (8, 24, "EUR", 10.0 - number), (8, 25 + number, "GBP", 1.0), at=f"{at}T00:00:00Z"), root)
+    stage_new_files(spark, root, FX_BRONZE, stage_fx, target, FX_KEY, FX_ORDER, str(tmp_path / "offsets"),
+                    multi_line=False, files_per_batch=files).awaitTermination()
+    assert content(spark, target, FX_STAGING) == [
+        (8, 24, "EUR", 10.0), (8, 25, "GBP", 1.0), (8, 26, "GBP", 1.0), (8, 27, "GBP", 1.0)]
+
+
+def test_upsert_reads_touched_partitions_only_and_leaves_no_copy(spark, tmp_path):
+    path = str(tmp_path / "table")
+    upsert(batch(spark, (1, 1, "EUR", 1.0), (6, 1, "EUR", 2.0), (12, 1, "EUR", 3.0)), path, FX_KEY, FX_ORDER)
+    only = tables.read_by_date(spark, path, batch(spark, (1, 1, "EUR", 1.0)).schema, only=[20260100, 20261200])
+    scan = only._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan
+    assert sorted(r.rate for r in only.collect()) == [1.0, 3.0]
+    from pathlib import Path
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("batch-*"))
+    upsert(batch(spark, (6, 1, "EUR", 9.0)), path, FX_KEY, FX_ORDER)
+    assert set(shared.glob("batch-*")) == before
+
+
+def test_first_arrival_lands_whatever_its_value(spark, tmp_path):
+    paths = jobs.Paths(str(tmp_path / "lake"))
+    window = ("2026-08-24", "2026-08-25")
+    fetched = spark.createDataFrame(
+        [("2026-08-24", "EUR", "USD", 9.0), ("2026-08-24", "EUR", "USD", 2.0), ("2026-08-25", "EUR", None, 3.0),
+         ("2026-08-25", "EUR", None, 4.0), ("2026-08-25", "EUR", None, 3.0)],
+        "date string, base string, quote string, rate double").coalesce(1)
+    for _ in range(3):
+        jobs.run(spark, paths, window, fetched)
+        bronze = read_landed(spark, paths.of("bronze", "rates"), FX_BRONZE).collect()
+        assert sorted((r.date, r.rate) for r in bronze) == [("2026-08-24", 9.0), ("2026-08-25", 3.0), ("2026-08-25", 4.0)]
+    rejects = tables.read_table(spark, paths.of("rejects", "rates")).collect()
+    assert sorted((r.rate, r.first_reason) for r in rejects) == [(3.0, "required"), (4.0, "required")]
+    steps = tables.read_table(spark, paths.of("attrition", "rates")).where("rows_removed > 0").collect()
+    assert [(r.rule, r.rows_before, r.rows_after) for r in steps] == [("required", 3, 1)]
+
+
+def test_windows_out_of_order_and_refusals(spark, tmp_path):
+    paths = jobs.Paths(str(tmp_path / "lake"))
+    jobs.run(spark, paths, ("2026-08-28", "2026-08-28"), rates(spark, (28, "EUR", 2.0)))
+    jobs.run(spark, paths, ("2026-08-03", "2026-08-03"), rates(spark, (3, "EUR", 1.0)))
+    silver = tables.read_by_date(spark, paths.of("silver", "silver"), SILVER)
+    assert sorted((r.date.day, r["return"]) for r in silver.collect()) == [(3, None), (28, 1.0)]
+    with pytest.raises(ValueError, match="later than the start"):
+        jobs.run(spark, paths, ("2026-08-01", "2026-08-31"), rates(spark, (4, "EUR", 1.0)), since="2026-08-28")
+    with pytest.raises(ValueError, match="partitioned by day"):
+        jobs.run(spark, paths, ("2026-08-01", "2026-08-31"), rates(spark, (4, "EUR", 1.0)), grain="month")
+    assert read_landed(spark, paths.of("bronze", "rates"), FX_BRONZE).count() == 2
+
+
+def test_a_rebuild_keeps_no_stale_partition(spark, tmp_path):
+    paths = jobs.Paths(str(tmp_path / "lake"))
+    source = lambda *rows: batch(spark, *rows).selectExpr("*", "'fx' as source").select(*FX_STAGING.fieldNames())
+    tables.write_by_date(source((8, 3, "EUR", 1.0), (9, 4, "EUR", 2.0)), paths.of("staging", "rates"), "month")
+    jobs.build_silver(spark, paths)
+    tables.write_by_date(source((8, 3, "EUR", 1.0)), paths.of("staging", "rates"), "month", replace=True)
+    jobs.build_silver(spark, paths)
+    assert tables.read_by_date(spark, paths.of("models", "silver"), SILVER).count() == 1
+
+
+def test_an_unfinished_run_is_made_up_for(spark, tmp_path):
+    paths = jobs.Paths(str(tmp_path / "lake"))
+    jobs.run(spark, paths, ("2026-08-28", "2026-08-28"), rates(spark, (28, "EUR", 2.0)))
+    jobs._note(spark, paths, "lost", "2026-08-03", False)  # it staged, and then the driver went away
+    source = batch(spark, (8, 3, "EUR", 1.0)).selectExpr("*", "'fx' as source").select(*FX_STAGING.fieldNames())
+    upsert(source, paths.of("staging", "rates"), FX_KEY, FX_ORDER)
+    jobs.run(spark, paths, ("2026-08-29", "2026-08-29"), rates(spark, (29, "EUR", 4.0)))
+    silver = tables.read_by_date(spark, paths.of("silver", "silver"), SILVER)
+    assert sorted((r.date.day, r["return"]) for r in silver.collect()) == [(3, None), (28, 1.0), (29, 1.0)]
+
+
 BAR = ("Open", "High", "Low", "Close", "Adj Close", "Volume")
 
 
