@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketspark.llm import ann, bpe, ctw, decontaminate, pfp, pii, sharding, simhash, toxicity, warc
 from marketspark.llm.common import table
+from marketspark.llm.oracle import ORACLE  # noqa: F401
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -67,6 +68,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ctw": op8_ctw,
     "op9_pfp": op9_pfp,
     "op10_warc": op10_warc,
-}
-
-ORACLE: dict[str, str] = {}
+}
\ No newline at end of file
