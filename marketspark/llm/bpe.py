@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from marketspark.llm.common import ship
 
 _NONE = 1 << 60
-_STORE = 300_000  # pieces, and twice as many matches, that a worker remembers before it starts afresh
+_PIECES, _MATCHES = 250_000, 700_000  # a worker remembers so many before it starts afresh
 _CHARS = 2_000_000  # texts are encoded together up to so many characters, or one by one if longer
 
 
@@ -218,8 +218,10 @@ class Codec:
 
     def entries(self, texts: list[str]) -> Iterator[list[Entry]]:
         """For each text the entries that make it up, in order."""
-        if len(self._pieces) > _STORE or len(self._matches) > 2 * _STORE:
-            self._pieces, self._matches = {}, {}
+        if len(self._pieces) > _PIECES:
+            self._pieces = {}
+        if len(self._matches) > _MATCHES:
+            self._matches = {}
         cut = [text.split(" ") for text in texts]
         known = self._pieces
         fresh = {p: self._split(p) for p in set().union(*(c[1:] for c in cut)) if p not in known}
