@@ -349,6 +349,58 @@ def medallion_run(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_wide(tables.read_table(spark, paths.of("gold", "market_data")))
 
 
+def medallion_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run over uncleaned rates keeps apart, with the first failing rule of each record."""
+    paths = jobs.Paths(scratch(spark, "dirty"))
+    rates = given.fx_bronze(spark, sf).selectExpr("date", "base", "quote", "rate", "ingestion_id as arrival_no")
+    jobs.land(rates, paths.of("bronze", "rates"), FX_BRONZE, FX_KEY, "fx", ALL_DAYS, ["arrival_no"], RUN_AT, "month")
+    jobs.stage(spark, paths, ALL_DAYS)
+    return tables.read_table(spark, paths.of("rejects", "rates")).select("date", "base", "quote", "rate", "first_reason")
+
+
+def bronze_to_silver_job(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON documents of both feeds to a Silver table by month, with no staging between."""
+    rates, bars, target = (scratch(spark, name) for name in ("rates", "bars", "silver"))
+    for records, path in ((given.fx_bronze(spark, sf), rates), (given.equity_bronze(spark, sf), bars)):
+        # Documents hold ids as text; at one width they sort as the numbers do.
+        padded = F.lpad(F.col("ingestion_id").cast("string"), 12, "0")
+        bronze.append_documents(records.withColumn("ingestion_id", padded), path, "month")
+    jobs.bronze_to_silver(spark, rates, bars, target, multi_line=False, grain="month")
+    return tables.read_by_date(spark, target, SILVER).select(*FX_KEY, "asset_type", "instrument", "rate", "adj_close", "source")
+
+
+def _analysed(spark: SparkSession, sf: str) -> jobs.Paths:
+    """Silver published, the weekly job and the analytics job run on it."""
+    paths = jobs.Paths(scratch(spark, "analysed"))
+    rows = dedupe(layers.unify_fx(_fx(spark, sf)), SILVER_KEY, SILVER_ORDER)
+    tables.write_by_date(rows.select(*SILVER.fieldNames()), paths.of("silver", "silver"), "month")
+    jobs.build_weekly(spark, paths)
+    jobs.run_analytics(spark, paths)
+    return paths
+
+
+def weekly_job(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_table(spark, _analysed(spark, sf).of("gold", "weekly_performance"))
+
+
+def analytics_latest(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_table(spark, _analysed(spark, sf).of("analytics", "latest_performance"))
+
+
+def analytics_summary(spark: SparkSession, sf: str) -> DataFrame:
+    summary = tables.read_table(spark, _analysed(spark, sf).of("analytics", "weekly_summary"))
+    return _round(summary, "avg_weekly_return_pct")
+
+
+def object_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Months that hold documents, by their paths alone."""
+    root = scratch(spark, "listing")
+    bronze.append_documents(given.fx_bronze(spark, sf), root, "month")
+    month = "regexp_extract(path, r'year=(\\d+)/month=(\\d+)/', {})"
+    return bronze.object_paths(spark, root).selectExpr(
+        f"cast({month.format(1)} as int) as year", f"cast({month.format(2)} as int) as month").distinct()
+
+
 def silver_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Two windows, the later one first: Silver is refreshed from the first changed day, as a rebuild would have it."""
     paths = jobs.Paths(scratch(spark, "refresh"))
@@ -421,6 +473,12 @@ QUERIES: dict[str, Query] = {
     "silver_partitioned_roundtrip": silver_partitioned_roundtrip,
     "published_gold": published_gold,
     "medallion_run": medallion_run,
+    "medallion_rejects": medallion_rejects,
+    "bronze_to_silver_job": bronze_to_silver_job,
+    "weekly_job": weekly_job,
+    "analytics_latest": analytics_latest,
+    "analytics_summary": analytics_summary,
+    "object_listing": object_listing,
     "silver_refresh": silver_refresh,
     "stream_incremental": stream_incremental,
 }

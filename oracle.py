@@ -358,6 +358,24 @@ union all select {_FX_KEY}, rate, ingestion_id from batch""",
     + f'select {_COLUMNS}, round("return", {q.DIGITS}) as "return", source from silver',
     "published_gold": _with(*_DEDUPED, _levels()) + _wide("vols", _MARKET),
     "medallion_run": _RUN_STAGES + _wide("vols", _MARKET),
+    "medallion_rejects": _with(FX_BRONZE, """landed as (
+  select date, base, quote, arg_min(rate, ingestion_id) as rate from fx_bronze
+  where date is not null and base is not null and quote is not null group by all
+  union all
+  select distinct date, base, quote, rate from fx_bronze where date is null or base is null or quote is null)""")
+    + "select cast(date as varchar) as date, base, quote, rate, case "
+    + " ".join(f"when not coalesce({rule}, false) then '{name}'" for name, rule in FX_RULES.items())
+    + f" end as first_reason from landed where not coalesce({_all(FX_RULES)}, false)",
+    "bronze_to_silver_job": _with(*_DEDUPED)
+    + f"select {_FX_KEY}, asset_type, instrument, rate, adj_close, source from kept",
+    "weekly_job": _WEEKLY + "select * from weekly",
+    "analytics_latest": _WEEKLY + f"select * from weekly where {_LATEST}",
+    "analytics_summary": _WEEKLY + f"""select week_start, count(*) as pair_count,
+  round(avg(weekly_return_pct), {q.DIGITS}) as avg_weekly_return_pct,
+  max(weekly_return_pct) as best_weekly_return_pct, min(weekly_return_pct) as worst_weekly_return_pct
+from weekly group by week_start""",
+    "object_listing": _with(FX_BRONZE)
+    + "select distinct cast(year(date) as int) as year, cast(month(date) as int) as month from fx_bronze",
     "silver_refresh": _with(FX_BRONZE, *_LANDED, _UNIFIED_FX, _kept("desc"), SILVER)
     + f'select date, instrument, rate, round("return", {q.DIGITS}) as "return", source from silver',
     "stream_incremental": _with(FX_BRONZE, FX_STAGE,
