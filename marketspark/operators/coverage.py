@@ -61,7 +61,8 @@ def present_days(keys: DataFrame, start: str, end: str) -> DataFrame:
 
 def missing_dates(universe: DataFrame, keys: DataFrame, start: str, end: str) -> DataFrame:
     """Days of the closed window without a record, per configured pair."""
-    wanted = universe.selectExpr(f"{spine(start, end)} as date", "base", "quote")
+    # Dealt out first, so that many tasks explode the days.
+    wanted = universe.repartition("base", "quote").selectExpr(f"{spine(start, end)} as date", "base", "quote")
     return wanted.join(present_days(keys, start, end), list(FX_KEY), "left_anti")
 
 
@@ -70,7 +71,8 @@ def missing_report(universe: DataFrame, keys: DataFrame, start: str, end: str) -
 
     A list is at most as long as the window.
     """
-    wanted = universe.selectExpr(f"{spine(start, end)} as date", "base", "quote")
+    # Dealt out first, so that many tasks explode the days.
+    wanted = universe.repartition("base", "quote").selectExpr(f"{spine(start, end)} as date", "base", "quote")
     found = present_days(keys, start, end).selectExpr("*", "true as found")
     return (
         wanted.join(found, list(FX_KEY), "left")

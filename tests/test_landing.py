@@ -72,6 +72,9 @@ def test_one_bad_pair_does_not_stop_the_others(spark):
     assert {(r.base, r.status): (r.uploaded, r.skipped) for r in outcomes.collect()} == {
         ("EUR", "successful"): (1, 2), ("E1R", "failed"): (0, 0), ("AUD", "successful"): (0, 0)}
     assert tuple(landing.outcome_totals(outcomes).first()) == (2, 1, 1, 2)
+    # a fetch that the caller reports as failed
+    told = landing.pair_outcomes(universe, batch.limit(0), batch.limit(0), "2026-08-24", "2026-08-26", pair_frame(spark, [("AUD", "USD")]))
+    assert {r.base for r in told.where("status = 'failed'").collect()} == {"E1R", "AUD"}
 
 
 def test_enrich(spark):
