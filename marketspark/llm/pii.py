@@ -31,6 +31,7 @@ from marketspark.llm.common import keep, ship
 from marketspark.llm.decontaminate import text_key
 
 KINDS = ("email", "ip", "card", "phone")
+CUE = 40
 SUPPORT = 3  # distinct base values that a pattern needs
 SURE = 0.8
 ROUNDS = 4
@@ -98,19 +99,22 @@ def _fits(kind: int, value: str) -> bool:
 
 
 def _pattern(text: str, start: int) -> str | None:
-    """What stands to the left: ``=`` and the attached text, or ``w`` and the word before; None at the beginning."""
+    """What stands to the left: ``=`` and the attached text, or ``w`` and the word before.
+
+    None at the beginning of the text, and for more than ``CUE`` characters, which are no cue.
+    """
     a = start
-    while a > 0 and start - a < 40 and text[a - 1] not in _SPACE:
+    while a > 0 and start - a <= CUE and text[a - 1] not in _SPACE:
         a -= 1
     if a < start:
-        return "=" + text[a:start]
+        return "=" + text[a:start] if start - a <= CUE else None
     end = a
     while end > 0 and text[end - 1] in _SPACE:
         end -= 1
     a = end
-    while a > 0 and end - a < 40 and text[a - 1] not in _SPACE:
+    while a > 0 and end - a <= CUE and text[a - 1] not in _SPACE:
         a -= 1
-    return "w" + text[a:end] if a < end else None
+    return "w" + text[a:end] if 0 < end - a <= CUE else None
 
 
 def mentions(text: str, spans: list[Span]) -> list[tuple[int | None, int, int, str, str]]:
