@@ -18,8 +18,9 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
-from collections.abc import Container, Iterator
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,8 +38,9 @@ _RATIO, _SHARE = 10.0, 0.02  # of toxic against other documents; of the toxic do
 _ROUNDS, _RATE, _DECAY = 40, 0.3, 1e-4
 _COMMON = 5  # documents of the sample
 _FLOOR = 0.1  # smaller marginals are all alike to a document's score
-_STORE = 500_000
-_BATCH = 400_000  # words scored together
+_STORE = 300_000
+_BATCH = 100_000  # words scored together, about
+_CELLS = 250_000  # words and fillings of one array
 
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -90,7 +92,7 @@ def passes(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, pairs: bo
     for size in np.unique(classes):
         group = order[classes == size]
         longest = int(lengths[group].max())
-        rows = max(1, 4_000_000 // longest)
+        rows = max(1, _CELLS // longest)
         for k in range(0, len(group), rows):
             some = group[k:k + rows]
             inside = np.arange(longest) < lengths[some][:, None]
@@ -149,7 +151,7 @@ def _distinct(texts: list[str]) -> list[int]:
     return kept
 
 
-def _associated(words: list[set[str]], labels: list[int], common: set[str]) -> set[str]:
+def _associated(words: Iterable[set[str]], labels: list[int], common: set[str]) -> set[str]:
     """Features that are found in toxic documents beyond chance and far more often than in others."""
     seen = (Counter(), Counter())
     for some, label in zip(words, labels, strict=True):
@@ -174,21 +176,23 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> Fie
         return Field({}, 0.0, np.zeros((2, 2)), (0.0, 0.0, 0.0), constant=shares[1])
     some = _distinct(texts)
     texts, labels = [texts[i] for i in some], [labels[i] for i in some]
-    words_of = [{w for s in sentences(text) for w, _, _ in s} for text in texts]
-    common = {w for w, n in Counter(w for some in words_of for w in some).items() if n >= _COMMON}
-    telling = _associated(words_of, labels, common)
+    def words_of(text: str) -> set[str]:
+        return {w for s in sentences(text) for w, _, _ in s}
+
+    common = {w for w, n in Counter(w for text in texts for w in words_of(text)).items() if n >= _COMMON}
+    telling = _associated(map(words_of, texts), labels, common)
     names: dict[str, int] = {"": 0}
-    columns: list[tuple[int, int]] = []
-    lengths, owners, truth = [], [], []
+    columns, lengths, owners, truth = array("i"), array("i"), array("i"), array("b")
     for d, (text, label) in enumerate(zip(texts, labels, strict=True)):
         for words in sentences(text):
             lengths.append(len(words))
             for word, _, _ in words:
                 own = features(word, common)
-                columns.append(tuple(names.setdefault(f, len(names)) for f in own))
-                truth.append(label and any(f in telling for f in own))
+                columns.extend(names.setdefault(f, len(names)) for f in own)
+                truth.append(int(label and any(f in telling for f in own)))
                 owners.append(d)
-    index = np.array(columns).reshape(-1, 2)
+    index = np.frombuffer(columns, dtype=np.int32).reshape(-1, 2)
+    lengths = np.array(lengths)
     y = np.array(truth, dtype=float)
     first = np.cumsum(lengths) - lengths
     follow = np.ones(len(y), dtype=bool)
@@ -199,7 +203,7 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> Fie
     weights, bias, moves = np.zeros(len(names)), math.log((y.sum() + 1) / (len(y) - y.sum() + 1)), np.zeros((2, 2))
     squares, bias_squares, move_squares = np.zeros(len(names)), 0.0, np.zeros((2, 2))
     for _ in range(_ROUNDS):  # AdaGrad on the log likelihood
-        marginals, expected = passes(bias + weights[index].sum(1), np.array(lengths), moves, pairs=True)
+        marginals, expected = passes(bias + weights[index[:, 0]] + weights[index[:, 1]], lengths, moves, pairs=True)
         rest = y - marginals
         grown = sum(np.bincount(index[:, k], rest, len(names)) for k in range(2)) - _DECAY * len(y) / len(names) * weights
         grown[0] = 0.0  # the missing second feature of common words
@@ -210,7 +214,7 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> Fie
         moved = seen_moves - expected
         move_squares += moved**2
         moves += _RATE * moved / np.sqrt(move_squares + 1e-8)
-    marginals = passes(bias + weights[index].sum(1), np.array(lengths), moves)
+    marginals = passes(bias + weights[index[:, 0]] + weights[index[:, 1]], lengths, moves)
     inputs = document_inputs(marginals, np.array(owners), len(texts))
     kept = {f: float(weights[i]) for f, i in names.items() if f in common or f and abs(weights[i]) > 0.05}
     return Field(kept, float(bias), moves, _calibrate(*inputs, np.array(labels, dtype=float), shares))
