@@ -6,7 +6,7 @@ weighted probability of a context is half its own estimate and half the product
 trained tree follows how much each depth counts on the way from the root; a text is scored by those mixtures. Contexts that training never
 met end the way: their parent's estimate stands for them. A text ends in a zero byte, which is scored too, and begins after ``DEPTH`` zero bytes.
 
-All is derived from counts of strings of DEPTH + 1 bytes over all documents. Blocks of documents of bounded size send
+All is derived from counts of strings of DEPTH + 1 bytes over all documents. Texts stay in one table, bucketed by block in the shared folder. Blocks of documents of bounded size send
 their distinct strings, Spark sums them, and contexts are weighted in buckets: a bucket holds whole subtrees from depth ``SPLIT`` on, each of at most
 256 ** (DEPTH - SPLIT + 1) strings whatever the corpus; the at most 256 ** SPLIT contexts above are summed by Spark. Each block then gets back the values of its own strings and words and
 scores its documents. Words travel as 63-bit hashes in the same tables.
@@ -18,21 +18,24 @@ Only doc_id and text are read, so clashing columns do not matter.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.llm.common import keep, ship
+from marketspark.llm.pfp import block_table
 from marketspark.llm.toxicity import remainder
 
 DEPTH, SPLIT = 5, 3
-BLOCK_BYTES = 48 << 20
+BLOCK_BYTES = 56 << 20
 SLICE = 4 << 20
 BUCKET = 400_000
 _WORD_BIT = -(1 << 63)
@@ -124,65 +127,32 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return unique, np.bincount(inverse, np.concatenate(counts), len(unique)).astype(np.int64)
 
 
-def _blocks(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = 0
-        for batch in batches:
-            numbers = []
-            for part, text in zip(batch["part"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                numbers.append((part << 24) + seen // size)
-                seen += len(text.encode()) + 1
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["text"], batch["held_out"], pa.array(numbers, pa.int64())],
-                ["doc_id", "text", "held_out", "block"])
-    return run
-
-
 def _counted(depth: int):
-    def emit(block: int, keys: list, counts: list, words: Counter, others: set) -> Iterator[pa.RecordBatch]:
+    """A block's strings and words, each once, with the number in training texts."""
+    def run(table: pa.Table) -> pa.Table:
+        keys, counts, words, others = [], [], Counter(), set()
+        for held_out in (False, True):
+            texts = [t.encode() for t in table.filter(pa.compute.equal(table["held_out"], held_out))["text"].to_pylist()]
+            for packed, _, _ in _packed(texts, depth):
+                unique, n = np.unique(packed, return_counts=True)
+                keys.append(unique)
+                counts.append(n * (not held_out))
+                if sum(map(len, keys)) > 4_000_000:
+                    key, n = _summed(keys, counts)
+                    keys, counts = [key], [n]
+            for text in texts:
+                if held_out:
+                    others.update(words_of(text))
+                    others.add(b"")
+                else:
+                    words.update(words_of(text))
+                    words[b""] += 1
         for word in others:
             words.setdefault(word, 0)
         keys.append(np.array([word_key(w) for w in words], dtype=np.int64))
         counts.append(np.array(list(words.values()), dtype=np.int64))
         unique, n = _summed(keys, counts)
-        for k in range(0, len(unique), 100_000):
-            part = unique[k:k + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(part), block)), pa.array(part), pa.array(n[k:k + 100_000])], ["block", "key", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, counts, words, others = None, [], [], Counter(), set()
-        for batch in batches:
-            rows = list(zip(*(batch[c].to_pylist() for c in ("block", "held_out", "text")), strict=True))
-            start = 0
-            while start < len(rows):
-                block = rows[start][0]
-                end = start
-                while end < len(rows) and rows[end][0] == block:
-                    end += 1
-                if now is not None and block != now:
-                    yield from emit(now, keys, counts, words, others)
-                    keys, counts, words, others = [], [], Counter(), set()
-                now = block
-                for held_out in (False, True):
-                    texts = [t.encode() for _, h, t in rows[start:end] if h == held_out]
-                    for packed, _, _ in _packed(texts, depth):
-                        unique, n = np.unique(packed, return_counts=True)
-                        keys.append(unique)
-                        counts.append(n * (not held_out))
-                    for text in texts:
-                        if held_out:
-                            others.update(words_of(text))
-                            others.add(b"")
-                        else:
-                            words.update(words_of(text))
-                            words[b""] += 1
-                if sum(map(len, keys)) > 4_000_000:
-                    key, n = _summed(keys, counts)
-                    keys, counts = [key], [n]
-                start = end
-        if now is not None:
-            yield from emit(now, keys, counts, words, others)
+        return pa.table({"block": np.full(len(unique), table["block"][0].as_py()), "key": unique, "n": n})
     return run
 
 
@@ -326,7 +296,7 @@ def values_of(counts: DataFrame, depth: int = DEPTH, split: int = SPLIT) -> Data
     return dealt.groupBy("bucket").cogroup(upper.groupBy("bucket")).applyInArrow(_logs_of(split, depth), "key long, value double")
 
 
-def _score(depth: int, unknown: float, scale: float):
+def _score(depth: int, scale: float):
     def run(docs: pa.Table, values: pa.Table) -> pa.Table:
         key, value = values["key"].to_numpy(), values["value"].to_numpy()
         order = np.argsort(key)
@@ -336,16 +306,22 @@ def _score(depth: int, unknown: float, scale: float):
         for packed, first, index in _packed(texts, depth):
             logs = value[np.searchsorted(key, packed)]
             scores[index] += np.add.reduceat(logs, first)
-        cut = [words_of(t) for t in texts]
-        distinct = list({b""}.union(*cut))
+        distinct = {b""}
+        for text in texts:
+            distinct.update(words_of(text))
+        distinct = list(distinct)
         counts = value[np.searchsorted(key, np.array([word_key(w) for w in distinct], dtype=np.int64))]
         log_of = dict(zip(distinct, (np.log10((counts + 0.5) / scale) if scale else np.zeros(len(distinct))).tolist(), strict=True))
-        n_of = dict(zip(distinct, (counts > 0).tolist(), strict=True))
+        known = set(itertools.compress(distinct, (counts > 0).tolist()))
+        tokens, met, bases = [], [], []
+        for text in texts:  # cut again: the words of a whole block would not fit beside it
+            words = [*words_of(text), b""]
+            tokens.append(len(words))
+            met.append(sum(w in known for w in words))
+            bases.append(math.fsum(map(log_of.__getitem__, words)))
         return pa.table({
             "doc_id": docs["doc_id"], "held_out": docs["held_out"],
-            "n_tokens": pa.array([len(w) + 1 for w in cut], pa.int64()),
-            "n_known": pa.array([sum(map(n_of.__getitem__, w)) + n_of[b""] for w in cut], pa.int64()),
-            "base_score": pa.array([math.fsum(map(log_of.__getitem__, [*w, b""])) for w in cut], pa.float64()),
+            "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(met, pa.int64()), "base_score": pa.array(bases, pa.float64()),
             "score": pa.array(scores), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
         })
     return run
@@ -357,19 +333,19 @@ def score(docs: DataFrame, depth: int = DEPTH, split: int = SPLIT) -> DataFrame:
     Learns from rows whose crc32(doc_id as text) mod 5 is not 1.
     """
     ship(docs.sparkSession)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        (remainder(F.col("doc_id")) == 1).alias("held_out"), F.spark_partition_id().alias("part"))
-    blocks = keep(rows.mapInArrow(_blocks(BLOCK_BYTES), "doc_id long, text string, held_out boolean, block long"), "blocks")
-    sent = keep(blocks.select("block", "held_out", "text").mapInArrow(_counted(depth), "block long, key long, n long"), "strings")
+    # Partitions are joined, not cut, so that a block is large and its strings are sent once.
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    texts = block_table(docs.coalesce(max(1, math.ceil(total / BLOCK_BYTES))), 3 * BLOCK_BYTES // 2)
+    blocks = texts.withColumn("held_out", remainder(F.col("doc_id")) == 1)
+    sent = keep(blocks.groupBy("block").applyInArrow(_counted(depth), "block long, key long, n long"), "strings")
     summed = keep(sent.groupBy("key").agg(F.sum("n").alias("n")), "counts")
     tokens = summed.where("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     scale = tokens["n"] + 0.5 * (tokens["v"] + 1) if tokens["n"] else 0.0
     logs = values_of(summed.where("key >= 0"), depth, split)
     values = logs.unionByName(summed.where("key < 0").select("key", F.col("n").cast("double").alias("value")))
-    own = sent.select("block", "key").distinct().join(values, "key").select("block", "key", "value")
+    own = sent.select("block", "key").join(values, "key").select("block", "key", "value")
     scored = blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(
-        _score(depth, 0.0, float(scale)),
+        _score(depth, float(scale)),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens["n"]).cast("bigint").alias("train_tokens"), "base_score", "score",
