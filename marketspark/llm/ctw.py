@@ -18,7 +18,6 @@ Only doc_id and text are read, so clashing columns do not matter.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -35,8 +34,10 @@ from marketspark.llm.pfp import block_table
 from marketspark.llm.toxicity import remainder
 
 DEPTH, SPLIT = 5, 3
-BLOCK_BYTES = 56 << 20
-SLICE = 4 << 20
+BLOCK_BYTES = 36 << 20
+SLICE = 1 << 20
+ROWS = 256
+MERGED = 1_000_000  # strings gathered before they are summed
 BUCKET = 400_000
 _WORD_BIT = -(1 << 63)
 
@@ -127,32 +128,38 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return unique, np.bincount(inverse, np.concatenate(counts), len(unique)).astype(np.int64)
 
 
+def _parts(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """A few rows of a block at a time: beside the block itself only they are held as Python objects."""
+    return iter(table.combine_chunks().to_batches(max_chunksize=ROWS))
+
+
 def _counted(depth: int):
     """A block's strings and words, each once, with the number in training texts."""
     def run(table: pa.Table) -> pa.Table:
-        keys, counts, words, others = [], [], Counter(), set()
-        for held_out in (False, True):
-            texts = [t.encode() for t in table.filter(pa.compute.equal(table["held_out"], held_out))["text"].to_pylist()]
-            for packed, _, _ in _packed(texts, depth):
-                unique, n = np.unique(packed, return_counts=True)
-                keys.append(unique)
-                counts.append(n * (not held_out))
-                if sum(map(len, keys)) > 4_000_000:
-                    key, n = _summed(keys, counts)
-                    keys, counts = [key], [n]
-            for text in texts:
-                if held_out:
-                    others.update(words_of(text))
-                    others.add(b"")
-                else:
-                    words.update(words_of(text))
-                    words[b""] += 1
-        for word in others:
-            words.setdefault(word, 0)
-        keys.append(np.array([word_key(w) for w in words], dtype=np.int64))
-        counts.append(np.array(list(words.values()), dtype=np.int64))
+        keys, counts, words = [], [], Counter()
+        block = table["block"][0].as_py()
+        for part in _parts(table.select(["held_out", "text"])):
+            for held_out in (False, True):
+                texts = [t.encode() for t in part.filter(pa.compute.equal(part["held_out"], held_out))["text"].to_pylist()]
+                for packed, _, _ in _packed(texts, depth):
+                    unique, n = np.unique(packed, return_counts=True)
+                    keys.append(unique)
+                    counts.append(n * (not held_out))
+                    if sum(map(len, keys)) > MERGED + len(keys[0]):
+                        key, n = _summed(keys, counts)
+                        keys, counts = [key], [n]
+                for text in texts:
+                    if held_out:
+                        for word in {b"", *words_of(text)}:
+                            words.setdefault(word, 0)
+                    else:
+                        words.update(words_of(text))
+                        words[b""] += 1
+        keys.append(np.fromiter(map(word_key, words), dtype=np.int64, count=len(words)))
+        counts.append(np.fromiter(words.values(), dtype=np.int64, count=len(words)))
+        del words
         unique, n = _summed(keys, counts)
-        return pa.table({"block": np.full(len(unique), table["block"][0].as_py()), "key": unique, "n": n})
+        return pa.table({"block": np.full(len(unique), block), "key": unique, "n": n})
     return run
 
 
@@ -301,28 +308,29 @@ def _score(depth: int, scale: float):
         key, value = values["key"].to_numpy(), values["value"].to_numpy()
         order = np.argsort(key)
         key, value = key[order], value[order]
-        texts = [t.encode() for t in docs["text"].to_pylist()]
-        scores = np.zeros(len(texts))
-        for packed, first, index in _packed(texts, depth):
-            logs = value[np.searchsorted(key, packed)]
-            scores[index] += np.add.reduceat(logs, first)
-        distinct = {b""}
-        for text in texts:
-            distinct.update(words_of(text))
-        distinct = list(distinct)
-        counts = value[np.searchsorted(key, np.array([word_key(w) for w in distinct], dtype=np.int64))]
-        log_of = dict(zip(distinct, (np.log10((counts + 0.5) / scale) if scale else np.zeros(len(distinct))).tolist(), strict=True))
-        known = set(itertools.compress(distinct, (counts > 0).tolist()))
-        tokens, met, bases = [], [], []
-        for text in texts:  # cut again: the words of a whole block would not fit beside it
-            words = [*words_of(text), b""]
-            tokens.append(len(words))
-            met.append(sum(w in known for w in words))
-            bases.append(math.fsum(map(log_of.__getitem__, words)))
+        logs_of: dict[bytes, float] = {}  # of the block's words that training met; the others share one value
+        unknown = math.log10(0.5 / scale) if scale else 0.0
+        tokens, met, bases, scores, sizes = [], [], [], [], []
+        for part in _parts(docs.select(["text"])):
+            texts = [t.encode() for t in part["text"].to_pylist()]
+            own = np.zeros(len(texts))
+            for packed, first, index in _packed(texts, depth):
+                own[index] += np.add.reduceat(value[np.searchsorted(key, packed)], first)
+            scores += own.tolist()
+            cut = [[*words_of(t), b""] for t in texts]
+            fresh = [w for w in set().union(*cut) if w not in logs_of]
+            counts = value[np.searchsorted(key, np.fromiter(map(word_key, fresh), dtype=np.int64, count=len(fresh)))]
+            logs_of.update((w, math.log10((c + 0.5) / scale)) for w, c in zip(fresh, counts.tolist(), strict=True) if c > 0)
+            for text, words in zip(texts, cut, strict=True):
+                known = [x for x in map(logs_of.get, words) if x is not None]
+                tokens.append(len(words))
+                met.append(len(known))
+                bases.append(math.fsum(known) + unknown * (len(words) - len(known)))
+                sizes.append(len(text))
         return pa.table({
             "doc_id": docs["doc_id"], "held_out": docs["held_out"],
             "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(met, pa.int64()), "base_score": pa.array(bases, pa.float64()),
-            "score": pa.array(scores), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+            "score": pa.array(scores, pa.float64()), "n_bytes": pa.array(sizes, pa.int64()),
         })
     return run
 
