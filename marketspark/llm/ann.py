@@ -3,8 +3,11 @@
 A vector is represented by its ``POSTED`` nearest pivots, in order. Vectors are dealt into blocks of bounded size; each block posts its
 vectors in one inverted file per pivot, with the pivot's place. A query walks the files of its own nearest pivots; of the
 footrule distance between both orders (places beyond the posted ones count as the first of them) only shared pivots
-change the sum, so a walk adds up the exact footrule of every vector it meets. The nearest ``SHARE`` of each block by footrule are ranked
-again by the inner product of the original vectors in double precision.
+change the sum, so a walk adds up the exact footrule of every vector it meets. The nearest ``SHARE`` of each block by footrule, and
+all that tie with the last of them, are ranked again by the inner product of the original vectors in double precision.
+
+Equal vectors of a block are posted once. Of each such class the ``top`` rows of smallest vec_id, and one more as a query excludes its own
+row, stand for all: no other row of the class can be among the nearest.
 
 Pivots are a documented sample: the first ``PIVOTS`` distinct vectors among ``PIVOT_ROWS`` rows by a hash of the row. Every row is indexed. Queries and blocks meet in
 pairs of bounded size, so the work is queries times vectors at a small constant, and memory is bounded.
@@ -63,13 +66,17 @@ def search_block(key, queries: pd.DataFrame, block: pd.DataFrame, centres: np.nd
     none = pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
     if not len(queries) or not len(block):
         return none
-    block = block.sort_values("row", kind="stable")
-    vectors, wanted = np.stack(block["embedding"].to_numpy()), np.stack(queries["embedding"].to_numpy())
+    block = block.sort_values(["vec_id", "row"], kind="stable", na_position="last")
+    wanted, whole = np.stack(queries["embedding"].to_numpy()), np.stack(block["embedding"].to_numpy())
+    _, first, classes = np.unique(whole.view(f"V{whole.strides[0]}").ravel(), return_index=True, return_inverse=True)
+    vectors = whole[first]
+    chosen = (pd.Series(classes).groupby(classes).cumcount() <= top).to_numpy()
+    block, classes = block[chosen], classes[chosen]
     ids, missing, rows = block["vec_id"].fillna(0).to_numpy(), block["vec_id"].isna().to_numpy(), block["row"].to_numpy()
     posted = min(POSTED, len(centres))
     table = places(vectors, centres, posted)
     files = [(f, table[f, p]) for p in range(len(centres)) for f in [np.flatnonzero(table[:, p])]]
-    count = min(len(vectors), max(LEAST, top + 1, math.ceil(SHARE * len(vectors))))
+    count = min(len(vectors), max(LEAST, top + 1, math.ceil(SHARE * len(whole))))
     out = []
     for vector, own, row, query in zip(wanted, places(wanted, centres, posted), queries["row"], queries["vec_id"], strict=True):
         # Footrule: a constant less twice the sum, over shared pivots, of the smaller remainder.
@@ -77,9 +84,11 @@ def search_block(key, queries: pd.DataFrame, block: pd.DataFrame, centres: np.nd
         for p in np.flatnonzero(own):
             at, rest = files[p]
             shared[at] += np.minimum(rest, own[p])
-        near = np.argpartition(-shared, count - 1)[:count] if count < len(vectors) else np.arange(len(vectors))
-        near = near[rows[near] != row]
-        scores = (vectors[near] * vector).sum(axis=1)
+        taken = shared >= np.partition(shared, -count)[-count]
+        scores = np.full(len(vectors), -np.inf)
+        scores[taken] = (vectors[taken] * vector).sum(axis=1)
+        near = np.flatnonzero(taken[classes] & (rows != row))
+        scores = scores[classes[near]]
         best = np.lexsort((rows[near], ids[near], missing[near], -scores))[:top]
         out.append(pd.DataFrame({
             "query_row": row, "query_id": query, "vec_id": block["vec_id"].to_numpy()[near[best]], "score": scores[best]}))

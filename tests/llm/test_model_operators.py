@@ -239,3 +239,21 @@ def test_repeats(spark):
 def test_one_letter_texts_are_whole():
     parse = next(iter(pfp.parses([b"a" * 100, b"b" * 49, b"c" * 50])))
     assert len(parse.first) == 52 and SimpleNamespace(n=set(parse.owner.tolist())).n == {0, 2}
+
+
+def test_nearest_with_a_third_of_the_rows_equal(spark):
+    draw = np.random.default_rng(4)
+    data = draw.normal(size=(3000, 24)).astype(np.float32)
+    same = draw.permutation(3000)[:1000]
+    data[same] = 2 * data[0]
+    got = ann.nearest(vectors(spark, [(i, v.tolist()) for i, v in enumerate(data)])).collect()
+    found = {q: [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] for q in range(0, 3000, 20)}
+    members, right = set(same.tolist()), 0
+    for q, own in found.items():
+        scores = (data.astype(float) * data[q].astype(float)).sum(1)
+        scores[q] = -np.inf
+        best = np.lexsort((np.arange(3000), -scores))[:20].tolist()
+        right += len(set(own) & set(best))
+        if q in members:
+            assert own == sorted(members - {q})[:20] == best
+    assert right / (20 * len(found)) >= 0.9
