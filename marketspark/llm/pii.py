@@ -1,10 +1,12 @@
 """Personal data: fixed forms, and identifiers found by bootstrapped contexts.
 
 Base spans are the four forms below. They seed a bootstrap over the corpus. Each identifier-like mention hangs on a
-lexical pattern: the text attached to its left (as in ``tel:``), or else the word before it. Patterns and the
+lexical patterns: the text attached to its left (as in ``tel:``), or else the word before it. Of more than ``CUE`` characters the
+last ones are the pattern. Attached text and long words have shorter endings as patterns besides, from the last label with its punctuation on
+(as in ``phone=`` after a URL), so a cue is found whatever stands before it. Patterns and the
 values they introduce form a graph, which Spark scores in rounds: a pattern's confidence in a kind is the mean score of all
 that it introduces over the whole corpus, ordinary words counting 0; a value's score is one less the product of its
-patterns' doubts; base values keep score 1. A mention that no base form matches is added if its pattern and value end above ``SURE``, and
+patterns' doubts, where patterns with one shortest ending are one witness, the surest of them; base values keep score 1. A mention that no base form matches is added if its pattern and value end above ``SURE``, and
 it has the digits or the @ of that kind.
 
 The forms are searched in time proportional to the text, whatever stands in it: a digit run or a local part is tried once, not from
@@ -46,6 +48,9 @@ _NO_DIGIT = re.compile("[^0-9]+")
 _NUMERIC = re.compile(r"[0-9().\x20-]{7,}+")  # a run that may hold a written number
 _AT = re.compile(r"@")
 _SPACE = " \t\n\x0b\f\r"
+# The last label of a cue with the punctuation after it; letters beyond ASCII may be unspaced text, so two lengths of it. Python's and Java's.
+_LABELS = [rf"(?:[A-Za-z0-9]+|[^\x00-\x7F]{{1,{n}}})?[\x00-/:-@\[-`{{-\x7F]*" for n in (4, 2)]
+_ENDINGS = [re.compile(label + r"\Z") for label in _LABELS]
 
 Span = tuple[int, int, int]  # place in KINDS, start, end
 
@@ -98,27 +103,35 @@ def _fits(kind: int, value: str) -> bool:
     )
 
 
-def _pattern(text: str, start: int) -> str | None:
-    """What stands to the left: ``=`` and the attached text, or ``w`` and the word before.
+def _endings(cue: str) -> list[str]:
+    """The last ``CUE`` characters, and their own endings, longest first."""
+    cue = cue[-CUE:]
+    return list(dict.fromkeys([cue, *(ending.search(cue)[0] for ending in _ENDINGS)]))
 
-    None at the beginning of the text, and for more than ``CUE`` characters, which are no cue.
+
+def _patterns(text: str, start: int) -> list[str]:
+    """What stands to the left, longest first: ``=`` and endings of the attached text, or ``w`` and the word before.
+
+    Of a word of more than ``CUE`` characters, ``v`` and its endings. None at the beginning of the text.
     """
     a = start
-    while a > 0 and start - a <= CUE and text[a - 1] not in _SPACE:
+    while a > 0 and start - a < CUE and text[a - 1] not in _SPACE:
         a -= 1
     if a < start:
-        return "=" + text[a:start] if start - a <= CUE else None
+        return ["=" + e for e in _endings(text[a:start])]
     end = a
     while end > 0 and text[end - 1] in _SPACE:
         end -= 1
     a = end
     while a > 0 and end - a <= CUE and text[a - 1] not in _SPACE:
         a -= 1
-    return "w" + text[a:end] if 0 < end - a <= CUE else None
+    if end - a > CUE:
+        return ["v" + e for e in _endings(text[a:end])]
+    return ["w" + text[a:end]] if a < end else []
 
 
-def mentions(text: str, spans: list[Span]) -> list[tuple[int | None, int, int, str, str]]:
-    """Base spans, and identifier-like mentions (kind None) clear of them: kind, start, end, value, pattern."""
+def mentions(text: str, spans: list[Span]) -> list[tuple[int | None, int, int, str, list[str]]]:
+    """Base spans, and identifier-like mentions (kind None) clear of them: kind, start, end, value, patterns."""
     found = [(k, a, b) for k, a, b in spans]
     starts, ends = [], []  # of the base spans, overlapping ones joined
     for a, b in sorted((a, b) for _, a, b in spans):
@@ -148,9 +161,9 @@ def mentions(text: str, spans: list[Span]) -> list[tuple[int | None, int, int, s
             found.append((None, a, b))
     out = []
     for kind, a, b in found:
-        pattern = _pattern(text, a)
-        if pattern is not None:
-            out.append((kind, a, b, text[a:b], pattern))
+        patterns = _patterns(text, a)
+        if patterns:
+            out.append((kind, a, b, text[a:b], patterns))
     return out
 
 
@@ -158,12 +171,12 @@ def _show(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-_MENTION = "array<struct<kind:int,start:int,end:int,value:string,pattern:string,fits:array<int>>>"
+_MENTION = "array<struct<kind:int,start:int,end:int,value:string,patterns:array<string>,fits:array<int>>>"
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind_type = pa.list_(pa.struct([
-        ("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("pattern", pa.string()),
+        ("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("patterns", pa.list_(pa.string())),
         ("fits", pa.list_(pa.int32())),
     ]))
     span_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -174,7 +187,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes.append(hashlib.sha256(_show(spans).encode()).hexdigest())
             bases.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
             found.append([
-                {"kind": k, "start": a, "end": b, "value": v, "pattern": p,
+                {"kind": k, "start": a, "end": b, "value": v, "patterns": p,
                  "fits": [] if k is not None else [i for i in range(len(KINDS)) if _fits(i, v)]}
                 for k, a, b, v, p in mentions(text or "", spans)
             ])
@@ -194,27 +207,35 @@ def searched(docs: DataFrame) -> DataFrame:
     return keep(rows.mapInArrow(_search, schema), "mentions")
 
 
+def _words(word: str) -> F.Column:
+    """The patterns of a column of words before others, as in :func:`_patterns`."""
+    tail = F.expr(f"right({word}, {CUE})")
+    endings = F.array_distinct(F.array(tail, *(F.regexp_extract(tail, label + r"\z", 0) for label in _LABELS)))
+    return F.when(F.length(word) <= CUE, F.array(F.concat(F.lit("w"), word))).otherwise(
+        F.transform(endings, lambda e: F.concat(F.lit("v"), e)))
+
+
 def learn(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Scored patterns (pattern, kind, confidence) and values (value, kind, score) after the rounds."""
-    each = found.select(F.explode("mentions").alias("m")).select("m.*")
+    each = found.select(F.explode("mentions").alias("m")).select("m.kind", "m.value", "m.patterns").select(
+        "kind", "value", F.expr("element_at(patterns, -1)").alias("family"), F.explode("patterns").alias("pattern"))
     supported = (
         each.where("kind is not null").groupBy("pattern", "kind").agg(F.countDistinct("value").alias("seeds"))
         .where(f"seeds >= {SUPPORT}").select("pattern", "kind")
     )
     supported = keep(supported, "patterns")
     # How often a pattern's word stands before any word of the corpus.
-    words = keep(supported.where("pattern like 'w%'").select(F.expr("substr(pattern, 2)").alias("word")).distinct(), "words")
+    words = keep(supported.where("pattern not like '=%'").select("pattern").distinct(), "words")
     before = docs.select(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\x0B\f\r]+").alias("w")).select(
-        F.explode(F.expr("slice(w, 1, greatest(0, size(w) - 1))")).alias("word"))
-    before = before.join(words, "word").groupBy("word").agg(F.count("*").alias("n")).select(
-        F.concat(F.lit("w"), "word").alias("pattern"), "n")
-    introduced = each.join(supported.select("pattern").distinct(), "pattern").groupBy("pattern", "value").agg(
+        F.explode(F.expr("slice(w, 1, greatest(0, size(w) - 1))")).alias("word")).where("word <> ''")
+    before = before.select(F.explode(_words("word")).alias("pattern")).join(words, "pattern").groupBy("pattern").agg(F.count("*").alias("n"))
+    introduced = each.join(supported.select("pattern").distinct(), "pattern").groupBy("pattern", "family", "value").agg(
         F.count("*").alias("times"), F.max("kind").alias("kind"))
     attached = introduced.groupBy("pattern").agg(F.sum("times").alias("introduced"))
     totals = attached.join(before, "pattern", "left").select("pattern", F.greatest("introduced", F.coalesce("n", F.lit(0))).alias("total"))
     edges = keep(
         introduced.withColumnRenamed("kind", "own").join(supported, "pattern").join(totals, "pattern")
-        .select("pattern", "kind", "value", "times", "total", F.expr("own <=> kind").alias("seed")), "edges")
+        .select("pattern", "family", "kind", "value", "times", "total", F.expr("own <=> kind").alias("seed")), "edges")
     values = edges.groupBy("value", "kind").agg(F.max("seed").alias("seed")).select(
         "value", "kind", "seed", F.col("seed").cast("double").alias("score"))
     for _ in range(ROUNDS):
@@ -223,7 +244,8 @@ def learn(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
         patterns = keep(patterns, "patterns")
         doubt = F.exp(F.sum(F.expr("ln(greatest(1e-9, 1 - confidence))")))
         values = keep(
-            edges.join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg(
+            edges.join(patterns, ["pattern", "kind"]).groupBy("value", "kind", "family").agg(
+                F.max("seed").alias("seed"), F.max("confidence").alias("confidence")).groupBy("value", "kind").agg(
                 F.max("seed").alias("seed"), F.round(1 - doubt, 6).alias("score"))
             .withColumn("score", F.expr("if(seed, 1D, score)")), "values")
     return patterns, values
@@ -233,6 +255,7 @@ def added(docs: DataFrame, found: DataFrame) -> DataFrame:
     """key and ``extra``, the spans that sure patterns add to a text."""
     patterns, values = learn(docs, found)
     open_mentions = found.select("key", F.explode("mentions").alias("m")).select("key", "m.*").where("kind is null").drop("kind")
+    open_mentions = open_mentions.withColumn("pattern", F.explode("patterns"))
     sure = open_mentions.join(patterns.where(f"confidence >= {SURE}"), "pattern").where("array_contains(fits, kind)")
     sure = sure.join(values.where(f"score >= {SURE}").select("value", "kind"), ["value", "kind"])
     # One kind per mention: the most confident, then the first listed.

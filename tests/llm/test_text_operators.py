@@ -227,3 +227,24 @@ def test_bootstrap(spark):
 def test_redaction_recounts_characters(spark):
     docs = spark.createDataFrame([(1, "mail a@b.cd", 99), (2, None, None)], "doc_id long, text string, n_chars long")
     assert sorted(pii.redacted(docs).collect()) == [(1, "mail [EMAIL]", 12), (2, None, None)]
+
+
+def test_long_cues(spark):
+    url, line = "https://www.example.com/account/contact?user={}&lang=en&phone=", "{{\"id\":{},\"note\":\"a compact line of values\",\"phone\":\""
+    unspaced, word = "说明文字没有任何空格因此提示前面的附着文本总是超过四十个字符而且每一次都不相同第{}号联系电话", "w" * 50 + "/{}/fax= "
+    docs, expected = [], {}
+    for n, cue in enumerate((url, line, unspaced, word)):
+        docs += [(100 * n + i, f"see {cue.format(i)}+1 555 01{n} {1000 + i}") for i in range(8)]
+        docs.append((100 * n + 50, f"see {cue.format(50)}555 01{n} 7777"))
+        start = 4 + len(cue.format(50))
+        expected[100 * n + 50] = f"phone:{start}:{start + 12}"
+    got = {r.doc_id: r.spans for r in pii.personal_data(table(spark, docs)).collect()}
+    assert {i: got[i] for i in expected} == expected
+
+
+def test_endings_are_the_same_in_both_languages(spark):
+    draw = random.Random(10)
+    bits = ["a", "Z9", "é", "电话", "\U0001f600", ":", "=", "_", "\x7f", "\x85", "\u2028", "^", "`", "{", "(", "phone", "x" * 39]
+    words = ["".join(draw.choice(bits) for _ in range(draw.randint(1, 30))) for _ in range(500)]
+    got = spark.createDataFrame([(w,) for w in words], "word string").select("word", pii._words("word").alias("p")).collect()
+    assert len(got) == 500 and all(r.p == pii._patterns(r.word + " ", len(r.word) + 1) for r in got)
