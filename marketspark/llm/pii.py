@@ -6,7 +6,10 @@ last ones are the pattern. Attached text and long words have shorter endings as
 (as in ``phone=`` after a URL), so a cue is found whatever stands before it. Patterns and the
 values they introduce form a graph, which Spark scores in rounds: a pattern's confidence in a kind is the mean score of all
 that it introduces over the whole corpus, ordinary words counting 0; a value's score is one less the product of its
-patterns' doubts, where patterns with one shortest ending are one witness, the surest of them; base values keep score 1. A mention that no base form matches is added if its pattern and value end above ``SURE``, and
+patterns' doubts, where patterns with one shortest ending are one witness, the surest of them; base values keep score 1.
+Values that end above ``SURE`` for a kind they have the form of are seeds from then on, support patterns of their own, and the graph is scored anew,
+until no pattern is added. In one scoring of ``ROUNDS`` rounds a pattern whose other values stand nowhere else needs seeds in a third of
+what it introduces. A mention that no base form matches is added if its pattern and value end above ``SURE``, and
 it has the digits or the @ of that kind.
 
 The forms are searched in time proportional to the text, whatever stands in it: a digit run or a local part is tried once, not from
@@ -34,7 +37,7 @@ from marketspark.llm.decontaminate import text_key
 
 KINDS = ("email", "ip", "card", "phone")
 CUE = 40
-SUPPORT = 3  # distinct base values that a pattern needs
+SUPPORT = 3  # distinct seeds that a pattern needs
 SURE = 0.8
 ROUNDS = 4
 
@@ -216,26 +219,39 @@ def _words(word: str) -> F.Column:
 
 
 def learn(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Scored patterns (pattern, kind, confidence) and values (value, kind, score) after the rounds."""
-    each = found.select(F.explode("mentions").alias("m")).select("m.kind", "m.value", "m.patterns").select(
-        "kind", "value", F.expr("element_at(patterns, -1)").alias("family"), F.explode("patterns").alias("pattern"))
-    supported = (
-        each.where("kind is not null").groupBy("pattern", "kind").agg(F.countDistinct("value").alias("seeds"))
-        .where(f"seeds >= {SUPPORT}").select("pattern", "kind")
-    )
-    supported = keep(supported, "patterns")
+    """Scored patterns (pattern, kind, confidence) and values (value, kind, score) after the last rounds."""
+    each = found.select(F.explode("mentions").alias("m")).select("m.kind", "m.value", "m.fits", "m.patterns").select(
+        "kind", "value", "fits", F.expr("element_at(patterns, -1)").alias("family"), F.explode("patterns").alias("pattern"))
+    pairs = keep(each.groupBy("pattern", "family", "value").agg(
+        F.count("*").alias("times"), F.max("kind").alias("own"), F.max("fits").alias("fits")), "pairs")
+    # No other pattern can ever have the support.
+    able = keep(pairs.groupBy("pattern").agg(F.sum("times").alias("introduced"), F.count("*").alias("n")).where(f"n >= {SUPPORT}").drop("n"), "able")
     # How often a pattern's word stands before any word of the corpus.
-    words = keep(supported.where("pattern not like '=%'").select("pattern").distinct(), "words")
+    words = able.where("pattern not like '=%'").select("pattern")
     before = docs.select(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\x0B\f\r]+").alias("w")).select(
         F.explode(F.expr("slice(w, 1, greatest(0, size(w) - 1))")).alias("word")).where("word <> ''")
     before = before.select(F.explode(_words("word")).alias("pattern")).join(words, "pattern").groupBy("pattern").agg(F.count("*").alias("n"))
-    introduced = each.join(supported.select("pattern").distinct(), "pattern").groupBy("pattern", "family", "value").agg(
-        F.count("*").alias("times"), F.max("kind").alias("kind"))
-    attached = introduced.groupBy("pattern").agg(F.sum("times").alias("introduced"))
-    totals = attached.join(before, "pattern", "left").select("pattern", F.greatest("introduced", F.coalesce("n", F.lit(0))).alias("total"))
+    totals = able.join(before, "pattern", "left").select("pattern", F.greatest("introduced", F.coalesce("n", F.lit(0))).alias("total"))
+    known = keep(pairs.join(totals, "pattern"), "known")
+    seeds = keep(pairs.where("own is not null").select("value", F.col("own").alias("kind")).distinct(), "seeds")
+    count = None
+    while True:
+        supported = keep(
+            known.join(seeds, "value").groupBy("pattern", "kind").agg(F.count("*").alias("n")).where(f"n >= {SUPPORT}").drop("n"), "patterns")
+        # Seeds only become more, so as many patterns are the same ones.
+        last, count = count, supported.count()
+        if count == last:
+            return patterns, values
+        patterns, values = _scored(known, supported, seeds)
+        sure = values.where(f"score >= {SURE} and array_contains(fits, kind)").select("value", "kind")
+        seeds = keep(seeds.union(sure).distinct(), "seeds")
+
+
+def _scored(known: DataFrame, supported: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The supported patterns and their values, scored in ``ROUNDS`` rounds from the seeds."""
     edges = keep(
-        introduced.withColumnRenamed("kind", "own").join(supported, "pattern").join(totals, "pattern")
-        .select("pattern", "family", "kind", "value", "times", "total", F.expr("own <=> kind").alias("seed")), "edges")
+        known.drop("own").join(supported, "pattern").join(seeds.withColumn("seed", F.lit(True)), ["value", "kind"], "left")
+        .withColumn("seed", F.coalesce("seed", F.lit(False))), "edges")
     values = edges.groupBy("value", "kind").agg(F.max("seed").alias("seed")).select(
         "value", "kind", "seed", F.col("seed").cast("double").alias("score"))
     for _ in range(ROUNDS):
@@ -245,8 +261,8 @@ def learn(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
         doubt = F.exp(F.sum(F.expr("ln(greatest(1e-9, 1 - confidence))")))
         values = keep(
             edges.join(patterns, ["pattern", "kind"]).groupBy("value", "kind", "family").agg(
-                F.max("seed").alias("seed"), F.max("confidence").alias("confidence")).groupBy("value", "kind").agg(
-                F.max("seed").alias("seed"), F.round(1 - doubt, 6).alias("score"))
+                F.max("seed").alias("seed"), F.max("fits").alias("fits"), F.max("confidence").alias("confidence")).groupBy("value", "kind").agg(
+                F.max("seed").alias("seed"), F.max("fits").alias("fits"), F.round(1 - doubt, 6).alias("score"))
             .withColumn("score", F.expr("if(seed, 1D, score)")), "values")
     return patterns, values
 

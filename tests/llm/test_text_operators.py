@@ -248,3 +248,12 @@ def test_endings_are_the_same_in_both_languages(spark):
     words = ["".join(draw.choice(bits) for _ in range(draw.randint(1, 30))) for _ in range(500)]
     got = spark.createDataFrame([(w,) for w in words], "word string").select("word", pii._words("word").alias("p")).collect()
     assert len(got) == 500 and all(r.p == pii._patterns(r.word + " ", len(r.word) + 1) for r in got)
+
+
+def test_found_values_support_patterns(spark):
+    docs = [(i, f"at tel: +1 555 010 {1000 + i}") for i in range(8)] + [(10 + i, f"at tel: 555 010 {2000 + i}") for i in range(4)]
+    docs += [(20 + i, f"at Fon: 555 010 {2000 + i}") for i in range(4)] + [(30 + i, f"at Fon: 555 010 {3000 + i}") for i in range(3)]
+    docs += [(40 + i, f"at Rufnr: 555 010 {3000 + i}") for i in range(3)] + [(50, "at Rufnr: 555 010 4000"), (51, "at Los: 555 010 4001")]
+    got = {r.doc_id: r.spans for r in pii.personal_data(table(spark, docs)).collect()}
+    for i, t in docs:
+        assert got[i] == ("" if i == 51 else f"phone:{t.index(': ') + 2}:{len(t)}"), t
