@@ -108,23 +108,36 @@ def matches(docs: DataFrame, items: DataFrame, words: int = WORDS, drivers: int
 
 def near_matches(docs: DataFrame, items: DataFrame, slop: int, words: int = WORDS, drivers: int = DRIVERS) -> DataFrame:
     """Proximity matches: key, phrase and ``at`` of every posting of the phrase's rarest term that has
-    each other driving term within ``slop`` words, in any order."""
+    each other term of the phrase within ``slop`` words, in any order. The ``drivers`` rarest terms find the candidates; a phrase with a
+    term that no text has is no match, and a term that a phrase repeats need occur once."""
     terms = phrases(items, words).select("phrase", F.posexplode("terms").alias("offset", "word")).select(
         "phrase", "offset", F.lower("word").alias("term")).distinct()
     counted = frequencies(docs, keep(terms.select("term").distinct(), "vocabulary"))
     rare = Window.partitionBy("phrase").orderBy("n", "offset")
-    one = terms.groupBy("phrase", "term").agg(F.min("offset").alias("offset")).join(counted, "term")
-    driving = keep(one.withColumn("rank", F.row_number().over(rare)).where(f"rank <= {drivers}"), "drivers")
+    one = terms.groupBy("phrase", "term").agg(F.min("offset").alias("offset")).join(counted, "term", "left").withColumn(
+        "n", F.coalesce("n", F.lit(0)))
+    ranked = one.select("*", F.row_number().over(rare).alias("rank"), F.min("n").over(Window.partitionBy("phrase")).alias("least"))
+    ranked = keep(ranked.where("least > 0").drop("least"), "ranked")
+    driving = ranked.where(f"rank <= {drivers}")
     wanted = driving.groupBy("term").agg(F.lit(False).alias("rarest"))
     index = keep(postings(docs, keep(wanted, "terms"), words).select("key", "term", "at").distinct(), "postings")
     starts = index.join(driving.where("rank = 1").select("phrase", "term"), "term").select("phrase", "key", "at")
-    needed = starts.join(driving.where("rank > 1").select("phrase", "term"), "phrase")
+    candidates = keep(_surrounded(starts, driving.where("rank > 1"), index, slop), "candidates")
+    rest = ranked.where(f"rank > {drivers}")
+    texts = docs.withColumn("key", text_key(F.col("text"))).join(candidates.select("key").distinct(), "key", "left_semi").select("text")
+    others = rest.select("term").distinct().withColumn("rarest", F.lit(False))
+    return _surrounded(candidates, rest, postings(texts, others, words).select("key", "term", "at").distinct(), slop)
+
+
+def _surrounded(starts: DataFrame, terms: DataFrame, index: DataFrame, slop: int) -> DataFrame:
+    """The starts (key, phrase, at) that have each of their phrase's terms within ``slop`` words."""
+    needed = starts.join(terms.select("phrase", "term"), "phrase")
     close = needed.join(index.withColumnRenamed("at", "other"), ["key", "term"]).where(f"abs(other - at) <= {slop}")
     agreed = close.groupBy("phrase", "key", "at").agg(F.countDistinct("term").alias("n"))
-    count = driving.groupBy("phrase").agg((F.count("*") - 1).alias("wanted"))
+    count = terms.groupBy("phrase").agg(F.count("*").alias("wanted"))
     return (
-        starts.join(count, "phrase").join(agreed, ["phrase", "key", "at"], "left")
-        .where("coalesce(n, 0) = wanted").select("key", "phrase", "at")
+        starts.join(count, "phrase", "left").join(agreed, ["phrase", "key", "at"], "left")
+        .where("coalesce(n, 0) = coalesce(wanted, 0)").select("key", "phrase", "at")
     )
 
 

@@ -257,3 +257,11 @@ def test_found_values_support_patterns(spark):
     got = {r.doc_id: r.spans for r in pii.personal_data(table(spark, docs)).collect()}
     for i, t in docs:
         assert got[i] == ("" if i == 51 else f"phone:{t.index(': ') + 2}:{len(t)}"), t
+
+
+def test_proximity_of_all_terms(spark):
+    docs = spark.createDataFrame([(1, "zeta beta gamma alpha delta"), (2, "alpha beta gamma x"), (3, "delta zeta"), (4, "delta zeta")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "alpha beta gamma delta zeta"), (2, "alpha beta gamma absent")], "item_id long, text string")
+    keys = {r.key: r.doc_id for r in docs.select("doc_id", decontaminate.text_key(F.col("text")).alias("key")).collect()}
+    found = decontaminate.near_matches(docs, items, 5).collect()
+    assert {(keys[r.key], r.phrase) for r in found} == {(1, "alpha beta gamma delta zeta")}
