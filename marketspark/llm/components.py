@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates the large and the small star (Kiveris and others, 2014): each round links a node's neighbours to the least of them,
     so chains shorten geometrically. A node with very many links costs a partial minimum and a join that AQE can split.
-    Each round is a written table.
+    Each round is a written table, and every join a sort-merge join: both sides grow with the links.
+    Links with a null end are left out; no links give no nodes.
     """
     stars = keep(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "links")
@@ -21,9 +22,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(lowest.hint("merge"), "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = keep(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
         discard(stars)
         stars = after

@@ -9,6 +9,9 @@ Lists longer than ``LONG`` are not paired. Their fingerprints go another exact w
 posted under every value within d/2 flipped bits, and all that meet at a value are linked to the least of them. Two fingerprints
 are within d bits exactly if they meet so. That takes rows in proportion to the fingerprints, not to their pairs.
 
+All joins here are sort-merge joins by hint: every side grows with the documents, and Spark's size estimate knows neither
+the fan-out of an explode nor how far a stored table is compressed, so it would broadcast them.
+
 Defined cases: a null or empty text, or one of white space only, has fingerprint 0 and is linked like any other. Texts
 of fewer words than the shingle have one shingle. Very long texts are summed in slices. Repeated rows and
 equal fingerprints are one node. A null doc_id never names a component, unless all of its are null. An empty table gives an empty
@@ -101,14 +104,14 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     posts = prints.select("fingerprint").distinct().select(
         "fingerprint", F.explode(F.expr(f"array({', '.join(keys)})")).alias("post"))
     sizes = posts.groupBy("post").agg(F.count("*").alias("n")).where("n > 1")
-    shared = keep(posts.join(sizes, "post"), "posts")
+    shared = keep(posts.join(sizes.hint("merge"), "post"), "posts")
 
     short = shared.where(F.col("n") <= LONG)
     left = short.select("post", F.col("fingerprint").alias("a"))
     right = short.select("post", F.col("fingerprint").alias("b"))
     differing = "(a ^ b)"
     tally = " + ".join(f"if((shiftrightunsigned({differing}, {8 * i}) & 255) = 0, 1, 0)" for i in range(8))
-    pairs = left.join(right, "post").where(
+    pairs = left.join(right.hint("merge"), "post").where(
         f"a < b and {tally} >= {8 - max_bits} and bit_count({differing}) <= {max_bits}").select("a", "b").distinct()
 
     # Values within half the bits (near) and, for odd numbers, one bit more: a near and any other are within max_bits.
@@ -118,31 +121,31 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = spread.repartition(parts).select(
         F.col("fingerprint").alias("a"),
-        F.posexplode(F.array(*(F.lit(m).cast("bigint") for m in masks))).alias("number", "mask"),
+        F.posexplode(F.expr(f"array({', '.join(f'cast({m} as bigint)' for m in masks)})")).alias("number", "mask"),
     ).select("a", F.expr("a ^ mask").alias("value"), (F.col("number") < near).alias("near"))
     hubs = at.where("near").groupBy("value").agg(F.min("a").alias("b"))
-    return pairs.unionByName(at.join(hubs, "value").where("a <> b").select("a", "b").distinct())
+    return pairs.unionByName(at.hint("merge").join(hubs, "value").where("a <> b").select("a", "b").distinct())
 
 
 def groups(prints: DataFrame, max_bits: int) -> DataFrame:
     """``fingerprint`` and ``root`` of every distinct fingerprint; root is the same within a component."""
     found = components(links(prints, max_bits)).withColumnRenamed("node", "fingerprint")
     alone = prints.select("fingerprint").distinct()
-    return alone.join(found, "fingerprint", "left").select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+    return alone.join(found.hint("merge"), "fingerprint", "left").select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
 
 
 def label(prints: DataFrame, max_bits: int) -> DataFrame:
     """fingerprint and component_id, the least doc_id of the component, from rows of doc_id and fingerprint."""
     firsts = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    rooted = groups(prints, max_bits).join(firsts, "fingerprint")
+    rooted = groups(prints, max_bits).join(firsts.hint("merge"), "fingerprint")
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(ids, "root").select("fingerprint", "component_id")
+    return rooted.join(ids.hint("merge"), "root").select("fingerprint", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """doc_id, fingerprint as 16 hex digits, component_id of every row of doc_id and text."""
     prints = keep(fingerprints(docs, shingle, "doc_id"), "prints")
-    return prints.join(label(prints, max_bits), "fingerprint").select(
+    return prints.join(label(prints, max_bits).hint("merge"), "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -156,6 +159,6 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     doc_id = F.col(f"c{names.index('doc_id')}")
     first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), F.col("row"))).alias("first")
     firsts = stored.groupBy("fingerprint").agg(first)
-    chosen = groups(stored, max_bits).join(firsts, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
-    kept = stored.join(chosen.select(F.col("first.row").alias("row")), "row", "left_semi")
+    chosen = groups(stored, max_bits).join(firsts.hint("merge"), "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
+    kept = stored.join(chosen.select(F.col("first.row").alias("row")).hint("merge"), "row", "left_semi")
     return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
