@@ -67,4 +67,46 @@ select page_id, octet_length(encode(html))::bigint as payload_bytes,
 from payloads
 """
 
-ORACLE = {"op1_decontamination": DECONTAMINATION, "op9_pfp": REPEATS, "op10_warc": ARCHIVE}
+FILTER_AUDIT = r"""
+with docs as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+judged as (
+  select doc_id, part,
+    case when len(w) < 200 then 'A' else '' end || case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end
+    || case when 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) then 'C' else '' end
+    || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+    || case when min(doc_id) over (partition by t) < doc_id then 'E' else '' end as fails
+  from docs),
+marked as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels where doc_id is not null group by doc_id),
+counted as (
+  select part, fails, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+  from judged left join marked using (doc_id) group by part, fails),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select p.x || q.x || r.x || s.x || t.x as filter_order from letters p, letters q, letters r, letters s, letters t
+  where p.x <> q.x and r.x not in (p.x, q.x) and s.x not in (p.x, q.x, r.x) and t.x not in (p.x, q.x, r.x, s.x)),
+steps as (
+  select filter_order, step, substr(filter_order, step, 1) as own, substr(filter_order, 1, step - 1) as before
+  from (select filter_order, unnest(range(1, 6)) as step from orders)),
+sums as (
+  select part, filter_order, step, own,
+    sum(n) filter (where translate(fails, before || own, '') = fails) as kept,
+    sum(n) filter (where contains(fails, own) and translate(fails, before, '') = fails) as removed,
+    sum(n) filter (where contains(fails, own) and translate(fails, before, '') <> fails) as redundant,
+    sum(n) filter (where fails = own) as unique_fails,
+    sum(good) filter (where contains(fails, own) and translate(fails, before, '') = fails) as good_lost,
+    sum(toxic) filter (where contains(fails, own) and translate(fails, before, '') = fails) as toxic_lost
+  from counted, steps group by part, filter_order, step, own)
+select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+  coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+  coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  (sum(coalesce(removed, 0)) over (partition by part, own))::bigint as shapley
+from sums
+"""
+
+ORACLE = {
+    "op1_decontamination": DECONTAMINATION, "op9_pfp": REPEATS, "op10_warc": ARCHIVE, "op13_filter_audit": FILTER_AUDIT,
+}

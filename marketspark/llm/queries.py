@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import ann, bpe, ctw, decontaminate, pfp, pii, sharding, simhash, toxicity, warc
+from marketspark.llm import ann, audit, bpe, ctw, decontaminate, pfp, pii, sharding, simhash, toxicity, warc
 from marketspark.llm.common import table
 from marketspark.llm.oracle import ORACLE  # noqa: F401
 
@@ -57,6 +57,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_pii": op2_pii,
@@ -68,4 +72,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ctw": op8_ctw,
     "op9_pfp": op9_pfp,
     "op10_warc": op10_warc,
+    "op13_filter_audit": op13_filter_audit,
 }
\ No newline at end of file
