@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import ann, audit, bpe, ctw, decontaminate, pfp, pii, sharding, simhash, toxicity, warc
+from marketspark.llm import (
+    alignment, ann, audit, bpe, ctw, decontaminate, licenses, pfp, pii, sharding, simhash, toxicity, warc,
+)
 from marketspark.llm.common import table
 from marketspark.llm.oracle import ORACLE  # noqa: F401
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +61,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE, PIECE_BPE)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
@@ -72,5 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ctw": op8_ctw,
     "op9_pfp": op9_pfp,
     "op10_warc": op10_warc,
+    "op11_licenses": op11_licenses,
+    "op12_alignment": op12_alignment,
     "op13_filter_audit": op13_filter_audit,
 }
\ No newline at end of file
