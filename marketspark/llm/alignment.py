@@ -6,13 +6,13 @@ of a chunk are worked level by level in arrays.
 
 Where groups are known, links follow: between two neighbouring ends of either tokenizer lies exactly one pair of overlapping tokens.
 
-Pairs are counted over the corpus without moving links. A task gathers about ``BLOCK_BYTES`` of text into a block, numbers the block's distinct pairs by
+Pairs are counted over the corpus without moving links. A task gathers about ``block_bytes`` of text into a block, numbers the block's distinct pairs by
 frequency and keeps each text's links as sorted, coded numbers. Each block sends its distinct pairs with their sums; Spark adds them up, finds the highest count of each id of B (one row per
 id, so bounded by that vocabulary), and hands every block the counts of its own pairs, from which the texts' sums follow.
 
 Defined cases: null and empty texts, and those whose tokens do not spell the blank and the text (B rewrites some characters), have no tokens: zeros and an empty
 digest. A null doc_id is kept. Repeated rows count each. Strings of special tokens are ordinary text. A very long text is encoded whole, as its tokens demand, and is a chunk and, beyond
-``BLOCK_BYTES``, a block of its own. Ties for an id's highest count all are best. An empty table gives an empty result. Other columns are not read.
+the size of a block, a block of its own. Ties for an id's highest count all are best. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -247,7 +247,7 @@ def _block(number: int, parts: list[tuple[list, Aligned]]) -> Iterator[pa.Record
             [{"block": number, "pairs": pairs[order].astype("<i8").tobytes(), "sums": sums[order].astype("<i8").tobytes()}], schema=_LAYOUT)
 
 
-def _blocks(path_a: str, path_b: str):
+def _blocks(path_a: str, path_b: str, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoders(path_a, path_b)
         numbers = count(TaskContext.get().partitionId() << 32)
@@ -255,7 +255,7 @@ def _blocks(path_a: str, path_b: str):
         for ids, texts, size in _chunks(batches):
             parts.append((ids, align_texts(enc, texts)))
             held += size
-            if held >= BLOCK_BYTES:
+            if held >= block_bytes:
                 yield from _block(next(numbers), parts)
                 parts, held = [], 0
         if parts:
@@ -293,10 +293,10 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, groups_sha256, n_best, count_sum of every row of doc_id and text."""
     ship(docs.sparkSession)
-    blocks = keep(_texts(docs).mapInArrow(_blocks(path_a, path_b), _BLOCKS), "aligned")
+    blocks = keep(_texts(docs).mapInArrow(_blocks(path_a, path_b, block_bytes), _BLOCKS), "aligned")
     sent = blocks.where("pairs is not null").select("block", "pairs", "sums").mapInArrow(
         _pairs, "block long, place int, pair long, n long")
     counts = keep(sent.groupBy("pair").agg(F.sum("n").alias("n")), "counts")
@@ -310,10 +310,10 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return texts.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(_summed, layout)
 
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def pair_counts(docs: DataFrame, path_a: str, path_b: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """a_id, b_id, n: how many links of the corpus hold the ids linked."""
     ship(docs.sparkSession)
-    blocks = _texts(docs).mapInArrow(_blocks(path_a, path_b), _BLOCKS)
+    blocks = _texts(docs).mapInArrow(_blocks(path_a, path_b, block_bytes), _BLOCKS)
     sent = blocks.where("pairs is not null").select("block", "pairs", "sums").mapInArrow(_pairs, "block long, place int, pair long, n long")
     return sent.groupBy("pair").agg(F.sum("n").alias("n")).select(
         F.expr(f"cast(shiftright(pair, {_SHIFT}) as int) as a_id"), F.expr(f"cast(pair & {(1 << _SHIFT) - 1} as int) as b_id"), "n")

@@ -2,12 +2,15 @@
 
 The documents are a stream of files, read in micro-batches until none is left. A document's verdict is a mask of the filters it
 fails. Filters A to D see the text alone; E fails a text that a row of smaller doc_id has as well, and that is known for certain only when all
-files are in. Every text is therefore a key (its SHA-256) with a state: the least doc_id so far, its mask, and how many rows of each part have it. A row with a
+files are in. Every text is therefore known by its SHA-256 in a state: the least doc_id so far, its mask, and how many rows of each part have it. A row with a
 larger id fails E for good. A row with a smaller id takes the place; the rows it displaces are retracted from their counter (-1) and
 counted again with E (+1). The changes are an append-only table; its sums are the counters, whatever the order of files or the size of steps.
 
-Rows that meet a smaller id of their text within one Arrow batch fail E for certain and pass the state by under a salt, so a text that a third of all rows share
-sends its key one row a batch.
+A call into Python for every text would cost milliseconds each, so texts are dealt by their digest to a few buckets per shuffle partition, and a bucket's state holds its texts. More
+partitions make smaller states.
+
+Rows that meet a smaller id of their text within one Arrow batch fail E for certain; they are dealt to all buckets alike, so a text that a third of all rows share
+sends its bucket one row a batch.
 
 Counters hold one row per part and mask (32 at most), so all orders are arithmetic on them: a filter removes the masks that have its bit and none before it.
 
@@ -21,6 +24,7 @@ doc_id do not make each other fail E. Several labels of one doc_id count as 1 if
 from __future__ import annotations
 
 import hashlib
+import io
 import json
 from collections import Counter
 from collections.abc import Iterator
@@ -28,6 +32,7 @@ from itertools import permutations
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.ipc  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -38,11 +43,13 @@ from marketspark.session import scratch
 FILTERS = "ABCDE"
 REPEATED = 1 << FILTERS.index("E")
 STEPS = 8  # micro-batches that the files are dealt to
+BUCKETS = 2  # states per shuffle partition
 _UPPER = bytes(range(65, 91))
 _MARKS = b"#$%&*|"
-_ROWS = "key binary, named boolean, doc_id long, part string, mask int, n long"
-_STATE = "doc_id long, mask int, parts string"
+_ROWS = "bucket int, digest binary, named boolean, doc_id long, part string, mask int, n long"
+_STATE = "texts binary"
 _CHANGES = "named boolean, doc_id long, part string, mask int, delta long"
+_KNOWN = pa.schema([("digest", pa.binary(32)), ("doc_id", pa.int64()), ("mask", pa.int32()), ("part", pa.string()), ("n", pa.int64())])
 
 
 def text_mask(text: bytes, points: int) -> int:
@@ -58,58 +65,84 @@ def text_mask(text: bytes, points: int) -> int:
     return sum(1 << i for i, failed in enumerate(fails) if failed)
 
 
-def _marked(salts: int):
-    """One row per text, id and part of a batch: least ids under the text's key, all others, whose verdict stands, under a salt."""
+def _marked(buckets: int):
+    """One row per text, id and part of a batch: least ids with their digest, all others, whose verdict stands, without."""
+    layout = pa.schema([
+        ("bucket", pa.int32()), ("digest", pa.binary()), ("named", pa.bool_()), ("doc_id", pa.int64()), ("part", pa.string()),
+        ("mask", pa.int32()), ("n", pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, least = Counter(), {}
-            for doc_id, text, part in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "part")), strict=True):
-                raw = (text or "").encode()
-                key = hashlib.sha256(raw).digest()
-                rows[key, doc_id, part, text_mask(raw, len(text or ""))] += 1
-                if doc_id is not None and doc_id <= least.get(key, doc_id):
-                    least[key] = doc_id
+            for doc_id, text, part in zip(batch["doc_id"].to_pylist(), batch["text"], batch["part"].to_pylist(), strict=True):
+                text = text.as_py() or ""
+                raw = text.encode()
+                digest = hashlib.sha256(raw).digest()
+                rows[digest, doc_id, part, text_mask(raw, len(text))] += 1
+                if doc_id is not None and doc_id <= least.get(digest, doc_id):
+                    least[digest] = doc_id
             out = []
-            for i, ((key, doc_id, part, mask), n) in enumerate(rows.items()):
+            for i, ((digest, doc_id, part, mask), n) in enumerate(rows.items()):
                 if doc_id is None:
-                    out.append(((i % salts).to_bytes(4), False, 0, part, mask, n))
-                elif doc_id > least[key]:
-                    out.append(((i % salts).to_bytes(4), True, doc_id, part, mask | REPEATED, n))
+                    out.append((i % buckets, None, False, 0, part, mask, n))
+                elif doc_id > least[digest]:
+                    out.append((i % buckets, None, True, doc_id, part, mask | REPEATED, n))
                 else:
-                    out.append((key, True, doc_id, part, mask, n))
-            columns = zip(*out, strict=True) if out else [[]] * 6
-            types = (pa.binary(), pa.bool_(), pa.int64(), pa.string(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["key", "named", "doc_id", "part", "mask", "n"])
+                    out.append((int.from_bytes(digest[:8]) % buckets, digest, True, doc_id, part, mask, n))
+            columns = zip(*out, strict=True) if out else [[]] * len(layout)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, layout.types, strict=True)], schema=layout)
     return run
 
 
+Known = dict[bytes, tuple[int, int, Counter]]  # by digest: least doc_id, mask, rows of each part
+
+
+def freeze(texts: Known) -> bytes:
+    rows = [(digest, doc_id, mask, part, n) for digest, (doc_id, mask, parts) in texts.items() for part, n in parts.items()]
+    table = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KNOWN.types, strict=True)], schema=_KNOWN)
+    out = io.BytesIO()
+    with pa.ipc.new_stream(out, _KNOWN) as stream:
+        stream.write(table)
+    return out.getvalue()
+
+
+def thaw(frozen: bytes) -> Known:
+    texts: Known = {}
+    for digest, doc_id, mask, part, n in zip(*(c.to_pylist() for c in pa.ipc.open_stream(frozen).read_all().columns), strict=True):
+        texts.setdefault(digest, (doc_id, mask, Counter()))[2][part] += n
+    return texts
+
+
+def verdicts(rows: Iterator[tuple], texts: Known) -> list[tuple]:
+    """Changes of the counters by rows (digest, doc_id, part, mask, n); ``texts`` is updated."""
+    out = []
+    for digest, doc_id, part, mask, n in rows:
+        least, _, parts = texts.get(digest, (None, mask, Counter()))
+        if least is not None and doc_id > least:
+            out.append((True, doc_id, part, mask | REPEATED, n))
+            continue
+        if least != doc_id:
+            for displaced, k in parts.items():
+                out += [(True, least, displaced, mask, -k), (True, least, displaced, mask | REPEATED, k)]
+            parts = Counter()
+            texts[digest] = doc_id, mask, parts
+        parts[part] += n
+        out.append((True, doc_id, part, mask, n))
+    return out
+
+
 def _changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of the counters by the rows of one key; the state of a text is updated."""
+    """Changes of the counters by the rows of one bucket; its state is updated."""
     names = ["named", "doc_id", "part", "mask", "delta"]
-    if len(key[0]) == 4:  # salted: verdicts that stand
-        for frame in frames:
-            yield frame.rename(columns={"n": "delta"})[names]
-        return
-    least, mask, parts = None, 0, Counter()
-    if state.exists:
-        least, mask, known = state.get
-        parts.update(json.loads(known))
+    texts = thaw(state.get[0]) if state.exists else {}
     for frame in frames:
-        out = []
-        for doc_id, part, own, n in zip(*(frame[c].tolist() for c in ("doc_id", "part", "mask", "n")), strict=True):
-            if least is not None and doc_id > least:
-                out.append((True, doc_id, part, own | REPEATED, n))
-                continue
-            if least is not None and doc_id < least:
-                out += [(True, least, p, mask, -k) for p, k in parts.items()]
-                out += [(True, least, p, mask | REPEATED, k) for p, k in parts.items()]
-                parts.clear()
-            least, mask = doc_id, own
-            parts[part] += n
-            out.append((True, doc_id, part, own, n))
-        yield pd.DataFrame(out, columns=names)
-    state.update((least, mask, json.dumps(parts)))
+        stands = frame["digest"].isna()
+        yield frame[stands].rename(columns={"n": "delta"})[names]
+        rest = frame[~stands]
+        columns = (rest[c].tolist() for c in ("digest", "doc_id", "part", "mask", "n"))
+        yield pd.DataFrame(verdicts(zip(*columns, strict=True), texts), columns=names)
+    if texts:
+        state.update((freeze(texts),))
 
 
 def _pattern(path: str) -> str:
@@ -129,12 +162,12 @@ def changes(spark: SparkSession, path: str, steps: int = STEPS) -> DataFrame:
     target, offsets = scratch(spark, "changes"), scratch(spark, "offsets")
     folder = spark._jvm.org.apache.hadoop.fs.Path(target)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-    salts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(_pattern(path))
     rows = source.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"))
-    found = rows.mapInArrow(_marked(salts), _ROWS).groupBy("key").applyInPandasWithState(
+    found = rows.mapInArrow(_marked(buckets), _ROWS).groupBy("bucket").applyInPandasWithState(
         _changes, _CHANGES, _STATE, "append", GroupStateTimeout.NoTimeout)
     found.writeStream.format("parquet").option("path", target).option("checkpointLocation", offsets).trigger(
         availableNow=True).start().awaitTermination()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -168,3 +169,63 @@ def word_scores(docs, training):
     total = sum(counts.values())
     scale = total + 0.5 * (len(counts) + 1)
     return [(len(ws), sum(counts[w] > 0 for w in ws), total, sum(math.log10((counts[w] + 0.5) / scale) for w in ws)) for ws in words]
+
+
+def aligned(texts, encode_a, encode_b):
+    """Per text: n_a, n_b, n_groups, n_links, digest, n_best, count_sum. The encoders give (id, bytes) lists."""
+    found = []
+    for text in texts:
+        whole = b" " + (text or "").encode()
+        a, b = (encode(text) if text else [] for encode in (encode_a, encode_b))
+        if b"".join(x for _, x in a) != whole or b"".join(x for _, x in b) != whole:
+            a, b = [], []
+        spans = []
+        for tokens in (a, b):
+            place, out = 0, []
+            for i, x in tokens:
+                out.append((place, place + len(x), i))
+                place += len(x)
+            spans.append(out)
+        cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
+        groups = []
+        for start, stop in zip([0, *cuts], cuts, strict=False):
+            sides = [",".join(str(i) for s, e, i in side if start <= s and e <= stop) for side in spans]
+            groups.append("|".join(sides))
+        links = [(i, j) for s, e, i in spans[0] for t, f, j in spans[1] if s < f and t < e]
+        found.append((len(a), len(b), len(cuts), hashlib.sha256(";".join(groups).encode()).hexdigest() if a else "", links))
+    counts = Counter(link for *_, links in found for link in links)
+    top = {}
+    for (_, j), n in counts.items():
+        top[j] = max(n, top.get(j, 0))
+    return [
+        (n_a, n_b, n_groups, len(links), digest, sum(counts[x] == top[x[1]] for x in links), sum(counts[x] for x in links))
+        for n_a, n_b, n_groups, digest, links in found]
+
+
+def audit(docs, labels):
+    """docs: doc_id, text, lang; labels: doc_id, quality, toxic. (part, order, step) -> the seven counts."""
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    fails, known = [], {}
+    for doc_id, text, _ in docs:
+        if doc_id is not None:
+            known[text or ""] = min(doc_id, known.get(text or "", doc_id))
+    for doc_id, text, lang in docs:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        failed = {
+            "A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words), "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)), "E": doc_id is not None and known[text] < doc_id}
+        fails.append((lang or "", doc_id, {k for k, v in failed.items() if v}))
+    out, removed_by = {}, Counter()
+    for order in itertools.permutations("ABCDE"):
+        for step, own in enumerate(order, 1):
+            before = set(order[:step - 1])
+            for part in {p for p, _, _ in fails}:
+                rows = [(i, f) for p, i, f in fails if p == part]
+                removed = [(i, f) for i, f in rows if own in f and not f & before]
+                removed_by[part, own] += len(removed)
+                out[part, "".join(order), step] = [
+                    sum(not f & {own, *before} for _, f in rows), len(removed), sum(own in f and bool(f & before) for _, f in rows),
+                    sum(f == {own} for _, f in rows), sum(i in good for i, _ in removed), sum(i in toxic for i, _ in removed)]
+    return {(p, o, s): (*v, removed_by[p, o[s - 1]]) for (p, o, s), v in out.items()}
