@@ -4,6 +4,9 @@ Divide and conquer: an interval of one tokenizer's tokens looks, from its middle
 ends too; the interval is cut there and both parts go on; an interval without such an end is a leaf, a group. The intervals of all texts
 of a chunk are worked level by level in arrays.
 
+Where both tokenizers treat the words on either side of a single blank alone (this is read from their files), a worker encodes a word once and
+remembers its ids; else texts are encoded whole.
+
 Where groups are known, links follow: between two neighbouring ends of either tokenizer lies exactly one pair of overlapping tokens.
 
 Pairs are counted over the corpus without moving links. A task gathers about ``block_bytes`` of text into a block, numbers the block's distinct pairs by
@@ -18,6 +21,7 @@ the size of a block, a block of its own. Ties for an id's highest count all are
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 from marketspark.llm.common import keep, ship
 
 CHUNK_BYTES = 1 << 20
+WORDS = 300_000  # remembered at most, before a chunk
 BLOCK_BYTES = 16 << 20
 ROWS = 100_000  # rows of an emitted batch
 _SHIFT = 16  # ids of B are below 2 ** 16
@@ -45,8 +50,26 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+def cuttable(path_a: str, model_b: bytes, pieces_b: list[str]) -> bool:
+    """Whether both tokenizers treat what stands on either side of a single blank alone.
+
+    A splits texts by the byte-level pattern, in which no match reaches over a blank between two other characters. B merges within
+    what a blank begins if no piece has a blank behind another character, and rewrites nothing before.
+    """
+    from sentencepiece import sentencepiece_model_pb2
+
+    with open(path_a) as file:
+        layout = json.load(file)
+    split = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    own = layout["pre_tokenizer"] or {}
+    plain_a = layout["normalizer"] is None and all(own.get(k) == v for k, v in split.items()) and all(t["special"] for t in layout["added_tokens"])
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model_b).normalizer_spec
+    plain_b = not spec.precompiled_charsmap and not spec.remove_extra_whitespaces and spec.add_dummy_prefix
+    return plain_a and plain_b and not any("▁" in p.lstrip("▁") for p in pieces_b)
+
+
 class Encoders:
-    """Both tokenizers, the bytes of their ids, and the texts that digests are made of."""
+    """Both tokenizers, the bytes of their ids, the texts that digests are made of, and the tokens of the words met so far."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
@@ -72,18 +95,68 @@ class Encoders:
         self.texts = [f"{i}{mark}".encode() for i in range(len(self.bytes_a)) for mark in (",", "|")]
         self.of_b = len(self.texts)
         self.texts += [f"{i}{mark}".encode() for i in range(len(pieces)) for mark in (",", ";", "")]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of every text by both; none where they do not spell a blank and the text."""
-        ids_a = [e.ids for e in self._a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
-        ids_b = self._b.encode(texts, num_threads=1)
-        for i, text in enumerate(texts):
-            whole = b" " + text.encode()
-            if not text or any(
-                    b"".join(map(table.__getitem__, ids)) != whole
-                    for table, ids in ((self.bytes_a, ids_a[i]), (self.bytes_b, ids_b[i]))):
-                ids_a[i], ids_b[i] = [], []
-        return ids_a, ids_b
+        self._cut = cuttable(path_a, self._b.serialized_model_proto(), pieces)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._words: dict[str, int] = {}
+        self._flat = [np.empty(0, dtype=np.int64)] * 2  # ids of the words one after the other, by A and by B
+        self._sizes = [np.empty(0, dtype=np.int64)] * 2
+        self._spelled = np.empty(0, dtype=bool)
+
+    def _split(self, text: str) -> list[str]:
+        """Parts of a text that follow single blanks between characters that are no white space; blanks left out."""
+        if not self._cut:
+            return [text]
+        parts = text.split(" ")
+        loose = [not p or p[0].isspace() or p[-1].isspace() for p in parts]
+        if True not in loose:
+            return parts
+        out, before = [parts[0]], loose[0]
+        for part, own in zip(parts[1:], loose[1:], strict=True):
+            if before or own:
+                out[-1] += " " + part
+            else:
+                out.append(part)
+            before = own
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of new words, and whether they spell a blank and the word."""
+        lists = [e.ids for e in self._a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)], self._b.encode(words, num_threads=1)
+        spelled = [
+            all(b"".join(map(table.__getitem__, ids)) == whole for table, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+            for whole, a, b in zip((f" {w}".encode() for w in words), *lists, strict=True)]
+        self._words.update(zip(words, range(len(self._words), len(self._words) + len(words)), strict=True))
+        self._spelled = np.concatenate([self._spelled, spelled])
+        for side, found in enumerate(lists):
+            self._sizes[side] = np.concatenate([self._sizes[side], [len(ids) for ids in found]]).astype(np.int64)
+            self._flat[side] = np.concatenate([self._flat[side], np.fromiter((i for ids in found for i in ids), dtype=np.int64)])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts by both, and how many each text has; none where they do not spell a blank and the text."""
+        if len(self._words) > WORDS:
+            self._forget()
+        cut = [self._split(t) for t in texts]
+        fresh = list(dict.fromkeys(w for words in cut for w in words if w not in self._words))
+        if fresh:
+            self._learn(fresh)
+        count = np.array([len(words) for words in cut])
+        word = np.fromiter((self._words[w] for words in cut for w in words), dtype=np.int64, count=int(count.sum()))
+        first = np.cumsum(count) - count
+        whole = np.logical_and.reduceat(self._spelled[word], first) & np.array([bool(t) for t in texts])
+        word = word[np.repeat(whole, count)]
+        out = []
+        for flat, sizes in zip(self._flat, self._sizes, strict=True):
+            n = sizes[word]
+            starts = (np.cumsum(sizes) - sizes)[word]
+            out.append(flat[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+            per_text = np.zeros(len(texts), dtype=np.int64)
+            if len(n):
+                kept = np.where(whole, count, 0)[whole]
+                per_text[whole] = np.add.reduceat(n, np.cumsum(kept) - kept)
+            out.append(per_text)
+        return out[0], out[2], out[1], out[3]
 
 
 @lru_cache(maxsize=2)
@@ -91,6 +164,13 @@ def encoders(path_a: str, path_b: str) -> Encoders:
     return Encoders(path_a, path_b)
 
 
+def ranks_of(points: np.ndarray, marked: np.ndarray, size: int) -> np.ndarray:
+    """How many of the ``marked`` offsets are smaller than each of ``points``; all are at most ``size``."""
+    flags = np.zeros(size + 1, dtype=np.int64)
+    flags[marked] = 1
+    return (np.cumsum(flags) - flags)[points]
+
+
 def common_ends(ea: np.ndarray, eb: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Mask of the ends ``ea`` that are in ``eb`` as well; both ascend. first and last: places of each text's tokens, whose last ends are common."""
     shared = np.zeros(len(ea), dtype=bool)
@@ -151,9 +231,7 @@ class Aligned:
 
 
 def align_texts(enc: Encoders, texts: list[str]) -> Aligned:
-    lists_a, lists_b = enc.encode(texts)
-    n_a, n_b = (np.array([len(x) for x in lists], dtype=np.int64) for lists in (lists_a, lists_b))
-    a, b = (np.fromiter((i for x in lists for i in x), dtype=np.int64, count=int(n.sum())) for lists, n in ((lists_a, n_a), (lists_b, n_b)))
+    a, b, n_a, n_b = enc.encode(texts)
     some = n_a > 0
     if not len(a):
         none = np.zeros(len(texts), dtype=np.int64)
@@ -163,14 +241,15 @@ def align_texts(enc: Encoders, texts: list[str]) -> Aligned:
     stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
     shared = common_ends(ea, eb, (stop_a - n_a)[some], stop_a[some] - 1)
     cuts = ea[shared]
-    group_a, group_b = np.cumsum(shared) - shared, np.searchsorted(cuts, eb)
+    size = int(ea[-1])
+    group_a, group_b = np.cumsum(shared) - shared, ranks_of(eb, cuts, size)
     ends = ea[stop_a[some] - 1]  # of texts
     n_groups = np.zeros(len(texts), dtype=np.int64)
     n_groups[some] = np.diff(np.searchsorted(cuts, ends, "right"), prepend=0)
 
     last_b = cuts[group_b] == eb
     points = np.sort(np.concatenate([ea, eb[~last_b]]), kind="stable")
-    links = (a[np.searchsorted(ea, points)] << _SHIFT) | b[np.searchsorted(eb, points)]
+    links = (a[ranks_of(points, ea, size)] << _SHIFT) | b[ranks_of(points, eb, size)]
     n_links = np.zeros(len(texts), dtype=np.int64)
     n_links[some] = np.diff(np.searchsorted(points, ends, "right"), prepend=0)
 

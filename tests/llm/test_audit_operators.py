@@ -133,16 +133,39 @@ def test_alignment(spark, block):
 
 
 def test_texts_that_do_not_align_have_no_tokens():
-    enc = alignment.encoders(*PATHS)
-    enc_b = enc.bytes_b
-    try:
-        enc.bytes_b = [x.replace(b"a", b"b") for x in enc_b]  # B spells other bytes
-        x = alignment.align_texts(enc, ["a word", "onion"])
-    finally:
-        enc.bytes_b = enc_b
+    enc = alignment.Encoders(*PATHS)
+    enc.bytes_b = [x.replace(b"a", b"b") for x in enc.bytes_b]  # B spells other bytes
+    x = alignment.align_texts(enc, ["a word", "onion", "to be or not to be, a"])
     assert x.n_a[0] == x.n_b[0] == x.n_groups[0] == x.n_links[0] == 0 and x.digests[0] == "" and x.n_a[1] > 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("ab' 1.\n\té　▁\x1cs")), max_size=25), min_size=1, max_size=5))
+def test_words_alone_have_the_ids_of_whole_texts(texts):
+    enc = alignment.encoders(*PATHS)
+    a, b, n_a, n_b = enc.encode(texts)
+    wanted = plain_tokens(texts)
+    assert n_a.tolist() == [len(x) for x, _ in wanted] and n_b.tolist() == [len(y) for _, y in wanted]
+    assert a.tolist() == [i for x, _ in wanted for i in x] and b.tolist() == [i for _, y in wanted for i in y]
+
+
+def plain_tokens(texts):
+    enc, out = alignment.encoders(*PATHS), []
+    for text in texts:
+        a, b = enc._a.encode(" " + text, add_special_tokens=False).ids, enc._b.encode(text)
+        whole = (" " + text).encode()
+        good = text and b"".join(enc.bytes_a[i] for i in a) == whole == b"".join(enc.bytes_b[i] for i in b)
+        out.append((a, b) if good else ([], []))
+    return out
+
+
+def test_every_text_of_the_given_tables_has_the_same_ids(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    a, b, n_a, n_b = alignment.Encoders(*PATHS).encode(texts)
+    wanted = plain_tokens(texts)
+    assert a.tolist() == [i for x, _ in wanted for i in x] and b.tolist() == [i for _, y in wanted for i in y]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.sets(st.integers(1, 60)), st.sets(st.integers(1, 60)), st.integers(61, 70)), min_size=1, max_size=4))
 def test_common_ends(texts):
