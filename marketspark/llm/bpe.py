@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -32,8 +32,9 @@ from pyspark.sql import types as T
 from marketspark.llm.common import ship
 
 _NONE = 1 << 60
-_PIECES, _MATCHES = 250_000, 700_000  # a worker remembers so many before it starts afresh
-_CHARS = 2_000_000  # texts are encoded together up to so many characters, or one by one if longer
+_PIECES, _MATCHES = 200_000, 60_000  # a worker remembers so many before it starts afresh; matches serve new pieces only
+_ROWS = 512  # rows held as Python objects
+_CHARS = 1_000_000  # texts are encoded together up to so many characters, or one by one if longer
 
 
 def load_ranks(lines: list[bytes]) -> dict[bytes, int]:
@@ -252,7 +253,7 @@ class Codec:
     def decode(self, ids: tuple[int, ...] | list[int]) -> bytes:
         return b"".join(map(self._bytes_of.__getitem__, ids))
 
-    def batched(self, texts: list[str | None]) -> Iterator[list[Entry]]:
+    def batched(self, texts: Iterable[str | None]) -> Iterator[list[Entry]]:
         """As :meth:`entries`, in groups of a bounded size."""
         group, size = [], 0
         for text in texts:
@@ -275,25 +276,27 @@ def _tokens(path: str, pattern: str, kept: list[str]):
         # The vocabulary file is part of an installed package, so every worker has it.
         own = codec(path, pattern)
         for batch in batches:
-            texts = [text or "" for text in batch["text"].to_pylist()]
-            start = 0
-            while start < len(texts):  # a bounded number of ids leaves at a time
-                end, size = start, 0
-                while end < len(texts) and size < _CHARS:
-                    size += len(texts[end])
-                    end += 1
-                ids, ends = [], [0]
-                for text, found in zip(texts[start:end], own.entries(texts[start:end]), strict=True):
-                    own_ids = list(chain.from_iterable(e[0] for e in found))
-                    if own.decode(own_ids) != text.encode():
-                        raise ValueError("a text does not survive encoding and decoding")
-                    ids += own_ids
-                    ends.append(len(ids))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, dtype=np.int32)))
-                part = batch.slice(start, end - start)
-                counts = pa.array(np.diff(ends), pa.int64())
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), counts, lists], [*kept, "n_tokens", "ids"])
-                start = end
+            for k in range(0, batch.num_rows, _ROWS):
+                rows = batch.slice(k, _ROWS)
+                texts = [text or "" for text in rows["text"].to_pylist()]
+                start = 0
+                while start < len(texts):  # a bounded number of ids leaves at a time
+                    end, size = start, 0
+                    while end < len(texts) and size < _CHARS:
+                        size += len(texts[end])
+                        end += 1
+                    ids, ends = [], [0]
+                    for text, found in zip(texts[start:end], own.entries(texts[start:end]), strict=True):
+                        own_ids = list(chain.from_iterable(e[0] for e in found))
+                        if own.decode(own_ids) != text.encode():
+                            raise ValueError("a text does not survive encoding and decoding")
+                        ids += own_ids
+                        ends.append(len(ids))
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, dtype=np.int32)))
+                    part = rows.slice(start, end - start)
+                    counts = pa.array(np.diff(ends), pa.int64())
+                    yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), counts, lists], [*kept, "n_tokens", "ids"])
+                    start = end
     return run
 
 
@@ -302,7 +305,7 @@ def _digests(path: str, pattern: str):
         own = codec(path, pattern)
         for batch in batches:
             counts, hashed, decoded = [], [], []
-            for found in own.batched(batch["text"].to_pylist()):
+            for found in own.batched(text.as_py() for text in batch["text"]):
                 counts.append(sum(len(e[0]) for e in found))
                 hashed.append(hashlib.sha256(" ".join([e[1] for e in found if e[1]]).encode()).hexdigest())
                 decoded.append(hashlib.sha256(b"".join([e[2] for e in found])).hexdigest())

@@ -185,7 +185,8 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
         hashes, bases, found = [], [], []
-        for text in batch["text"].to_pylist():
+        for value in batch["text"]:
+            text = value.as_py()
             spans = base_spans(text or "")
             hashes.append(hashlib.sha256(_show(spans).encode()).hexdigest())
             bases.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])

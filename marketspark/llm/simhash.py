@@ -59,7 +59,7 @@ def fingerprint(text: str | None, shingle: int) -> int:
 def _fingerprints(shingle: int, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(text, shingle) for text in batch["text"].to_pylist()]
+            prints = [fingerprint(text.as_py(), shingle) for text in batch["text"]]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in kept), pa.array(prints, pa.int64())], [*kept, "fingerprint"])
     return run

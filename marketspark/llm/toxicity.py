@@ -267,10 +267,11 @@ def _scored(shared, text_name: str, kept: list[str]):
         field, emissions = shared.value, {}
         for batch in batches:
             out, group, size = [], [], 0
-            for text in batch[text_name].to_pylist():
+            for value in batch[text_name]:
+                text = value.as_py()
                 group.append(text)
                 size += len(text or "")
-                if size >= 5 * _BATCH:
+                if size >= 2 * _BATCH:
                     out += score_texts(field, group, emissions)
                     group, size = [], 0
             out += score_texts(field, group, emissions) if group else []
