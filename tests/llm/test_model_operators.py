@@ -257,3 +257,31 @@ def test_nearest_with_a_third_of_the_rows_equal(spark):
         if q in members:
             assert own == sorted(members - {q})[:20] == best
     assert right / (20 * len(found)) >= 0.9
+
+
+def _recall(spark, data, every=20):
+    got = ann.nearest(vectors(spark, [(i, v.tolist()) for i, v in enumerate(data)]), every).collect()
+    right = 0
+    for q in range(0, len(data), every):
+        scores = (data.astype(np.float32).astype(float) * data[q].astype(np.float32).astype(float)).sum(1)
+        scores[q] = -np.inf
+        right += len({r.vec_id for r in got if r.query_id == q} & set(np.lexsort((np.arange(len(data)), -scores))[:20].tolist()))
+    return right / len(got)
+
+
+def test_nearest_of_unequal_norms_and_near_copies(spark):
+    draw = np.random.default_rng(6)
+    data = draw.normal(size=(4000, 32))
+    assert _recall(spark, data * np.exp(0.5 * draw.normal(size=(4000, 1))), 100) >= 0.9
+    data[draw.permutation(4000)[:1300]] = data[0] + 1e-3 * draw.normal(size=(1300, 32))
+    assert _recall(spark, data, 100) >= 0.95
+
+
+def test_vectors_of_other_lengths_are_searched_among_their_own(spark):
+    draw = np.random.default_rng(7)
+    rows = [(i, draw.normal(size=3 + i % 2).tolist()) for i in range(200)] + [(200, [1.0])]
+    got = ann.nearest(vectors(spark, rows)).collect()
+    assert {r.query_id for r in got} == set(range(0, 200, 20)) and len(got) == 10 * 20
+    assert all(r.query_id % 2 == r.vec_id % 2 for r in got)
+    repeated = ann.nearest(vectors(spark, [(0, [1.0, 2.0])] * 3 + [(1, [0.5, 0.5])])).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in repeated) == sorted([(0, 1, 0), (0, 2, 0), (0, 3, 1)] * 3)
