@@ -23,10 +23,10 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,8 @@ from marketspark.llm.common import keep, ship
 
 CHUNK_BYTES = 1 << 20
 WORDS = 300_000  # remembered at most, before a chunk
-BLOCK_BYTES = 16 << 20
+LOOSE = -1
+BLOCK_BYTES = 8 << 20
 ROWS = 100_000  # rows of an emitted batch
 _SHIFT = 16  # ids of B are below 2 ** 16
 
@@ -99,21 +100,48 @@ class Encoders:
         self._forget()
 
     def _forget(self) -> None:
-        self._words: dict[str, int] = {}
-        self._flat = [np.empty(0, dtype=np.int64)] * 2  # ids of the words one after the other, by A and by B
+        self._words: dict[str, int] = {}  # number of a word, or LOOSE
+        self._flat = [np.empty(0, dtype=np.int32)] * 2  # ids of the words one after the other, by A and by B
         self._sizes = [np.empty(0, dtype=np.int64)] * 2
         self._spelled = np.empty(0, dtype=bool)
 
-    def _split(self, text: str) -> list[str]:
-        """Parts of a text that follow single blanks between characters that are no white space; blanks left out."""
-        if not self._cut:
-            return [text]
-        parts = text.split(" ")
-        loose = [not p or p[0].isspace() or p[-1].isspace() for p in parts]
-        if True not in loose:
-            return parts
-        out, before = [parts[0]], loose[0]
-        for part, own in zip(parts[1:], loose[1:], strict=True):
+    def _meet(self, words: Iterable[str]) -> None:
+        """Learn words that are new. Those with white space at an end are no words: the blank beside them is no place to cut."""
+        fresh = []
+        for word in words:
+            if self._cut and (not word or word[0].isspace() or word[-1].isspace()):
+                self._words[word] = LOOSE
+            else:
+                fresh.append(word)
+        if fresh:
+            self._learn(fresh)
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of words, and whether they spell a blank and the word."""
+        whole = [f" {w}".encode() for w in words]
+        lengths = np.array([len(w) for w in whole], dtype=np.int64)
+        spelled = np.ones(len(words), dtype=bool)
+        lists = [e.ids for e in self._a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)], self._b.encode(words, num_threads=1)
+        for side, (found, table, sizes) in enumerate(zip(lists, (self.bytes_a, self.bytes_b), (self.size_a, self.size_b), strict=True)):
+            n = np.array([len(ids) for ids in found], dtype=np.int64)
+            flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(n.sum()))
+            self._sizes[side] = np.concatenate([self._sizes[side], n])
+            self._flat[side] = np.concatenate([self._flat[side], flat])
+            ends = np.concatenate([[0], np.cumsum(sizes[flat])])
+            places = np.cumsum(n)
+            # All are spelled if they are as long and their bytes in a row are the same; else each is looked at.
+            same_length = np.array_equal(ends[places] - ends[places - n], lengths)
+            if not same_length or b"".join(map(table.__getitem__, flat.tolist())) != b"".join(whole):
+                spelled &= [b"".join(map(table.__getitem__, ids)) == w for ids, w in zip(found, whole, strict=True)]
+        known = len(self._spelled)
+        self._words.update(zip(words, range(known, known + len(words)), strict=True))
+        self._spelled = np.concatenate([self._spelled, spelled])
+
+    def _joined(self, parts: list[str]) -> list[str]:
+        """Parts of a text with those beside a loose one put together again."""
+        out, before = [parts[0]], self._words[parts[0]] == LOOSE
+        for part in parts[1:]:
+            own = self._words[part] == LOOSE
             if before or own:
                 out[-1] += " " + part
             else:
@@ -121,28 +149,30 @@ class Encoders:
             before = own
         return out
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of new words, and whether they spell a blank and the word."""
-        lists = [e.ids for e in self._a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)], self._b.encode(words, num_threads=1)
-        spelled = [
-            all(b"".join(map(table.__getitem__, ids)) == whole for table, ids in ((self.bytes_a, a), (self.bytes_b, b)))
-            for whole, a, b in zip((f" {w}".encode() for w in words), *lists, strict=True)]
-        self._words.update(zip(words, range(len(self._words), len(self._words) + len(words)), strict=True))
-        self._spelled = np.concatenate([self._spelled, spelled])
-        for side, found in enumerate(lists):
-            self._sizes[side] = np.concatenate([self._sizes[side], [len(ids) for ids in found]]).astype(np.int64)
-            self._flat[side] = np.concatenate([self._flat[side], np.fromiter((i for ids in found for i in ids), dtype=np.int64)])
+    def _numbers(self, texts: list[str]) -> list[list[int]]:
+        """Numbers of the words that make up each text."""
+        known = self._words
+        cut = [t.split(" ") if self._cut else [t] for t in texts]
+        self._meet({w for parts in cut for w in parts if w not in known})
+        out = [list(map(known.__getitem__, parts)) for parts in cut]
+        loose = [i for i, numbers in enumerate(out) if LOOSE in numbers]
+        if loose:
+            joined = {i: self._joined(cut[i]) for i in loose}
+            # What is left together is encoded whole, with white space at its ends if a text has it there.
+            self._learn(list({w for parts in joined.values() for w in parts if known.get(w, LOOSE) == LOOSE}))
+            for i, parts in joined.items():
+                out[i] = list(map(known.__getitem__, parts))
+            for word in [w for parts in joined.values() for w in parts if not w or w[0].isspace() or w[-1].isspace()]:
+                known[word] = LOOSE  # for other texts it stands beside a blank
+        return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts by both, and how many each text has; none where they do not spell a blank and the text."""
-        if len(self._words) > WORDS:
+        if max(len(self._words), len(self._spelled)) > WORDS:
             self._forget()
-        cut = [self._split(t) for t in texts]
-        fresh = list(dict.fromkeys(w for words in cut for w in words if w not in self._words))
-        if fresh:
-            self._learn(fresh)
-        count = np.array([len(words) for words in cut])
-        word = np.fromiter((self._words[w] for words in cut for w in words), dtype=np.int64, count=int(count.sum()))
+        numbers = self._numbers(texts)
+        count = np.array([len(x) for x in numbers])
+        word = np.fromiter(chain.from_iterable(numbers), dtype=np.int64, count=int(count.sum()))
         first = np.cumsum(count) - count
         whole = np.logical_and.reduceat(self._spelled[word], first) & np.array([bool(t) for t in texts])
         word = word[np.repeat(whole, count)]
@@ -153,7 +183,7 @@ class Encoders:
             out.append(flat[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())])
             per_text = np.zeros(len(texts), dtype=np.int64)
             if len(n):
-                kept = np.where(whole, count, 0)[whole]
+                kept = count[whole]
                 per_text[whole] = np.add.reduceat(n, np.cumsum(kept) - kept)
             out.append(per_text)
         return out[0], out[2], out[1], out[3]
@@ -166,9 +196,9 @@ def encoders(path_a: str, path_b: str) -> Encoders:
 
 def ranks_of(points: np.ndarray, marked: np.ndarray, size: int) -> np.ndarray:
     """How many of the ``marked`` offsets are smaller than each of ``points``; all are at most ``size``."""
-    flags = np.zeros(size + 1, dtype=np.int64)
+    flags = np.zeros(size + 1, dtype=np.int8)
     flags[marked] = 1
-    return (np.cumsum(flags) - flags)[points]
+    return (np.cumsum(flags, dtype=np.int32) - flags)[points]
 
 
 def common_ends(ea: np.ndarray, eb: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -237,7 +267,8 @@ def align_texts(enc: Encoders, texts: list[str]) -> Aligned:
         none = np.zeros(len(texts), dtype=np.int64)
         empty = np.empty(0, dtype=np.int64)
         return Aligned(n_a, n_b, none, none, [""] * len(texts), empty, a, b, empty, empty, empty)
-    ea, eb = np.cumsum(enc.size_a[a]), np.cumsum(enc.size_b[b])
+    kind = np.int32 if sum(map(len, texts)) < 1 << 28 else np.int64  # smaller arrays are searched faster
+    ea, eb = np.cumsum(enc.size_a[a], dtype=kind), np.cumsum(enc.size_b[b], dtype=kind)
     stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
     shared = common_ends(ea, eb, (stop_a - n_a)[some], stop_a[some] - 1)
     cuts = ea[shared]
@@ -249,13 +280,13 @@ def align_texts(enc: Encoders, texts: list[str]) -> Aligned:
 
     last_b = cuts[group_b] == eb
     points = np.sort(np.concatenate([ea, eb[~last_b]]), kind="stable")
-    links = (a[ranks_of(points, ea, size)] << _SHIFT) | b[ranks_of(points, eb, size)]
+    links = (a[ranks_of(points, ea, size)].astype(np.uint32) << _SHIFT) | b[ranks_of(points, eb, size)].astype(np.uint32)
     n_links = np.zeros(len(texts), dtype=np.int64)
     n_links[some] = np.diff(np.searchsorted(points, ends, "right"), prepend=0)
 
     # Digests: the ids of a group by A, then those by B.
     groups = np.arange(len(cuts))
-    code = np.empty(len(a) + len(b), dtype=np.int64)
+    code = np.empty(len(a) + len(b), dtype=np.int32)
     code[np.arange(len(a)) + np.searchsorted(group_b, groups)[group_a]] = 2 * a + shared
     mark = last_b.astype(np.int64)
     mark[stop_b[some] - 1] = 2
