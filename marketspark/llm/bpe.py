@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from marketspark.llm.common import ship
 
 _NONE = 1 << 60
-_PIECES, _MATCHES = 200_000, 60_000  # a worker remembers so many before it starts afresh; matches serve new pieces only
+_PIECES, _MATCHES = 250_000, 150_000  # a worker remembers so many before it starts afresh; matches serve new pieces only
 _ROWS = 512  # rows held as Python objects
 _CHARS = 1_000_000  # texts are encoded together up to so many characters, or one by one if longer
 
@@ -100,6 +100,7 @@ class Forest:
     """Merges many short matches at once; row i of every array belongs to match i."""
 
     WIDTH = 32
+    ROWS = 8192  # merged together
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self._base = max(ranks.values()) + 1
@@ -193,8 +194,9 @@ class Codec:
                 known[match] = tuple(merge(raw, self.ranks))
             else:
                 short.append((match, raw))
-        if short:
-            self._matches.update(zip((m for m, _ in short), self._forest.merge([r for _, r in short]), strict=True))
+        for k in range(0, len(short), Forest.ROWS):
+            part = short[k:k + Forest.ROWS]
+            self._matches.update(zip((m for m, _ in part), self._forest.merge([r for _, r in part]), strict=True))
 
     def _entry(self, matches: list[str]) -> Entry:
         ids = tuple(chain.from_iterable(map(self._matches.__getitem__, matches)))
