@@ -10,6 +10,7 @@ from marketspark.functions.text import pair_name
 from marketspark.schemas import FX_KEY
 
 OBJECT_KEY = r"(^|/)\d{4}/\d{1,2}/\d{1,2}/[^/_]+_[^/_]+\.json$"
+FOLDER_KEY = r"(^|/)year=\d{4}/month=\d{1,2}/day=\d{1,2}/key=[^/_]+_[^/_]+/[^/]+$"
 
 
 def keys_from_paths(paths: DataFrame) -> DataFrame:
@@ -28,6 +29,19 @@ def keys_from_paths(paths: DataFrame) -> DataFrame:
     )
 
 
+def keys_from_folders(paths: DataFrame) -> DataFrame:
+    """(date, base, quote) out of ``…/year=/month=/day=/key=BASE_QUOTE/file``; other paths are ignored."""
+    part = lambda name: f"substring_index(substring_index(path, '/{name}=', -1), '/', 1)"
+    return (
+        paths.where(f"path rlike r'{FOLDER_KEY}'")
+        .selectExpr(
+            f"try_cast({part('year')} || '-' || {part('month')} || '-' || {part('day')} as date) as date",
+            f"substring_index({part('key')}, '_', 1) as base", f"substring_index({part('key')}, '_', -1) as quote",
+        )
+        .where("date is not null")
+    )
+
+
 def coverage(keys: DataFrame) -> DataFrame:
     """Records, range, span and distinct days per pair.
 

@@ -97,6 +97,23 @@ def equity_rules(df: DataFrame) -> list[Rule]:
     ]
 
 
+def require_casts(df: DataFrame, casts: dict[str, str], record: Sequence[str]) -> DataFrame:
+    """Fail on the first value that its cast in ``casts`` cannot read, naming the record and the field.
+
+    A missing value passes; a field that kept its document from being parsed whole does not.
+    """
+    named = ", ', {0}=', coalesce(cast(`{0}` as string), 'null')"
+    label = "".join(named.format(name) for name in record)
+    for field, cast in casts.items():
+        bad = f"`{field}` is not null and ({cast}) is null"
+        if CORRUPT in df.columns:
+            bad = f"({bad}) or (`{field}` is null and {CORRUPT} is not null)"
+        text = f"concat('{field} cannot be read: ', coalesce(cast(`{field}` as string), 'not of its type'){label})"
+        # A value that is not deterministic keeps Spark from moving later filters below this one, where they would hide it.
+        df = df.where(f"if({bad}, cast(raise_error({text}) as boolean), monotonically_increasing_id() >= 0)")
+    return df
+
+
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that pass every rule. One conjunction, so simple parts reach the scan."""
     return df.where(_every(rule.passes for rule in rules))

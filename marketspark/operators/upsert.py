@@ -28,7 +28,7 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Seque
 
 def upsert(
     batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], grain: str = "month",
-    keep_latest: bool = False,
+    keep_latest: bool = False, replaced: Sequence[str] | None = None,
 ) -> None:
     """Apply ``batch`` to the table at ``path``; the last row per key wins.
 
@@ -45,6 +45,6 @@ def upsert(
     touched = sorted(r[0] for r in batch.selectExpr(period(grain)).distinct().collect())  # one per day or month
     if touched:
         target = read_by_date(spark, path, batch.schema, only=touched)
-        rows = batch if target is None else merge(target, batch, keys, order if keep_latest else None)
+        rows = batch if target is None else merge(target, batch, replaced or keys, order if keep_latest else None)
         write_by_date(rows, path, grain)
     drop_stored(batch)

@@ -13,18 +13,22 @@ from marketspark.functions.text import currency, safe_ticker, strip
 from marketspark.operators import coverage as cov
 from marketspark.operators import landing, quality, weekly
 from marketspark.operators.dedupe import SILVER_ORDER, dedupe
+from marketspark.operators.quarantine import read_quarantine
 from marketspark.operators.returns import LEVEL, daily_levels, log_returns
 from marketspark.operators.upsert import upsert
-from marketspark.plans import jobs, layers
+from marketspark.plans import jobs, layers, models
 from marketspark.plans.staging import FX_ORDER, stage_equity, stage_fx
-from marketspark.schemas import DEFAULT_PAIRS, FX_BRONZE, FX_KEY, FX_STAGING, SILVER, SILVER_KEY
-from marketspark.session import scratch, stored
+from marketspark.schemas import DEFAULT_PAIRS, EVENT_BRONZE, FX_BRONZE, FX_KEY, FX_STAGING, GOLD_INSTRUMENTS, SILVER, SILVER_KEY
+from marketspark.session import drop_stored, scratch, stored
 from marketspark.sources import bronze, tables, universe
 from marketspark.sources import testtables as given
+from marketspark.sources.index import indexed_paths, update_index
 from marketspark.sources.vendor import wide_to_long
-from marketspark.streaming.landing import stage_new_files
+from marketspark.sources.versions import positions, publish_version
+from marketspark.streaming.landing import land_new_files, stage_new_files
 
 DIGITS = 9  # computed doubles are compared at nine digits
+DOCUMENT_FILES = "*.txt"  # what Spark's text writer calls them
 QUARTER = ("1997-01-06", "1997-03-31")
 ALL_DAYS = ("1995-01-01", "2001-12-31")
 SPINE = ("2024-01-01", "2024-02-04")
@@ -32,6 +36,7 @@ RUN_AT = "2024-02-05T00:00:00+00:00"
 REVISED_FROM = "1997-01-01"
 REVISION = 1.01
 KNOWN_FX_UNTIL = "1998-06-30"
+FAILED_QUOTE = "CHF"  # pairs quoted in it are reported as not fetched
 KNOWN_EVENTS_UNTIL = "2024-01-15"
 SQL_SURFACE = (
     "SELECT week_start, base, quote, weekly_return_pct FROM weekly_performance "
@@ -78,6 +83,13 @@ def _round(df: DataFrame, *names: str) -> DataFrame:
     ])
 
 
+def _document_store(spark: SparkSession, sf: str) -> str:
+    """A folder of one JSON document per file, some of them damaged."""
+    root = scratch(spark, "documents")
+    bronze.write_document_files(given.rate_documents(spark, sf), root)
+    return root
+
+
 # Silver
 
 def silver_unified(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,9 +138,13 @@ def equity_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rule_attrition(spark: SparkSession, sf: str) -> DataFrame:
+    """Both feeds as tables, and rates as documents, where the rules of form find something."""
     records, bars = given.fx_bronze(spark, sf), given.equity_bronze(spark, sf)
-    return quality.attrition(records, quality.fx_rules(records), "FX").unionByName(
-        quality.attrition(bars, quality.equity_rules(bars), "EQUITY")
+    documents = bronze.parse_documents(given.rate_documents(spark, sf), FX_BRONZE)
+    return layers.stack(
+        quality.attrition(records, quality.fx_rules(records), "FX"),
+        quality.attrition(bars, quality.equity_rules(bars), "EQUITY"),
+        quality.attrition(documents, quality.fx_rules(documents), "DOCUMENTS"),
     )
 
 
@@ -338,6 +354,48 @@ def published_gold(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_wide(tables.read_table(spark, paths.of("gold", "market_data")))
 
 
+def published_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A reader that opened the table before the next publishing, and one after it."""
+    root = scratch(spark, "versions")
+    rows = stored(_silver(spark, sf), "silver")
+    publish_version(layers.gold_market(rows, (ALL_DAYS[0], KNOWN_FX_UNTIL)), root)
+    opened = tables.read_table(spark, root)
+    publish_version(layers.gold_market(rows), root)
+    drop_stored(rows)
+    summary = "'{}' as reader", "count(*) as days", "min(date) as first_day", "max(date) as last_day", "count(eur_usd) as levels"
+    return opened.selectExpr(summary[0].format("before"), *summary[1:]).unionByName(
+        tables.read_table(spark, root).selectExpr(summary[0].format("after"), *summary[1:]))
+
+
+def _runs_out_of_order(spark: SparkSession, sf: str) -> jobs.Paths:
+    """Later days of the euro pairs, then the earlier ones, then one quarter of the other pairs."""
+    paths = jobs.Paths(scratch(spark, "maintained"))
+    rates, euro = _clean_fx(spark, sf), F.col("base") == "EUR"
+    for window, some in (
+        ((_next_day(KNOWN_FX_UNTIL), ALL_DAYS[1]), euro), ((ALL_DAYS[0], KNOWN_FX_UNTIL), euro), (QUARTER, ~euro),
+    ):
+        jobs.run(
+            spark, paths, window, rates=rates.where(some), run_at=RUN_AT, grain="month", rates_arrival=["arrival_no"],
+            pairs=universe.pair_frame(spark, universe.parse_pairs(DEFAULT_PAIRS)),
+            failures=rates.where(some & (F.col("quote") == FAILED_QUOTE)).select("base", "quote"), run_key=window[0])
+    return paths
+
+
+def maintained_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily returns and weeks after windows out of order; each run rewrote only what it changed."""
+    paths = _runs_out_of_order(spark, sf)
+    names = list(GOLD_INSTRUMENTS.values())
+    returns = jobs.read_returns(spark, paths).unpivot("date", names, "name", "value").where("value is not null")
+    weeks = jobs.read_weekly(spark, paths).selectExpr(
+        "'weekly' as table_name", "week_start as date", "base || '/' || quote as name", "weekly_return_pct as value")
+    return _round(returns.selectExpr("'returns' as table_name", "date", "name", "value").unionByName(weeks), "value")
+
+
+def run_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every configured pair in each of those runs; the caller reported one as failed."""
+    return jobs.read_outcomes(spark, _runs_out_of_order(spark, sf))
+
+
 def medallion_run(spark: SparkSession, sf: str) -> DataFrame:
     """Landing to publishing, over all days; the published market table."""
     paths = jobs.Paths(scratch(spark, "medallion"))
@@ -349,13 +407,45 @@ def medallion_run(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_wide(tables.read_table(spark, paths.of("gold", "market_data")))
 
 
-def medallion_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    """What a run over uncleaned rates keeps apart, with the first failing rule of each record."""
+def _overlapping_windows(spark: SparkSession, sf: str) -> jobs.Paths:
+    """Uncleaned rates, landed and staged in two windows that share two years."""
     paths = jobs.Paths(scratch(spark, "dirty"))
     rates = given.fx_bronze(spark, sf).selectExpr("date", "base", "quote", "rate", "ingestion_id as arrival_no")
-    jobs.land(rates, paths.of("bronze", "rates"), FX_BRONZE, FX_KEY, "fx", ALL_DAYS, ["arrival_no"], RUN_AT, "month")
-    jobs.stage(spark, paths, ALL_DAYS)
-    return tables.read_table(spark, paths.of("rejects", "rates")).select("date", "base", "quote", "rate", "first_reason")
+    for window in ((ALL_DAYS[0], KNOWN_FX_UNTIL), (REVISED_FROM, ALL_DAYS[1])):
+        jobs.land(rates, paths.of("bronze", "rates"), FX_BRONZE, FX_KEY, "fx", window, ["arrival_no"], RUN_AT, "month")
+        jobs.stage(spark, paths, window)
+    return paths
+
+
+def medallion_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What runs over uncleaned rates keep apart, each record once, with its first failing rule."""
+    return jobs.rejects(spark, _overlapping_windows(spark, sf), "rates").select("date", "base", "quote", "rate", "first_reason")
+
+
+def medallion_attrition(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows before and after each rule, added up over the days; shared days count once."""
+    return jobs.attrition(spark, _overlapping_windows(spark, sf), "rates").where("rule not in ('readable', 'rate_type')").drop("step")
+
+
+def _documents_to_silver(spark: SparkSession, sf: str) -> tuple[str, str]:
+    root, target, dead = _document_store(spark, sf), scratch(spark, "silver"), scratch(spark, "quarantine")
+    for _ in range(2):  # again: nothing is added
+        jobs.bronze_to_silver(spark, root, f"{root}-none", target, grain="month", dead=dead, pattern=DOCUMENT_FILES)
+    return target, dead
+
+
+def bronze_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Dead letters of a folder of one document per file, read twice."""
+    _, dead = _documents_to_silver(spark, sf)
+    number = r"""cast(regexp_extract(document, '"ingestion_id": ?"(\\d+)"', 1) as bigint) as ingestion_id"""
+    return read_quarantine(spark, dead).selectExpr(
+        "feed", number, "array_join(reject_reasons, ',') as reject_reasons", "first_reason", "copies")
+
+
+def documents_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver from the readable documents of the same folder."""
+    target, _ = _documents_to_silver(spark, sf)
+    return tables.read_by_date(spark, target, SILVER).select("date", "base", "quote", "rate", "source")
 
 
 def bronze_to_silver_job(spark: SparkSession, sf: str) -> DataFrame:
@@ -380,7 +470,7 @@ def _analysed(spark: SparkSession, sf: str) -> jobs.Paths:
 
 
 def weekly_job(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.read_table(spark, _analysed(spark, sf).of("gold", "weekly_performance"))
+    return jobs.read_weekly(spark, _analysed(spark, sf))
 
 
 def analytics_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -431,6 +521,54 @@ def stream_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_by_date(spark, target, FX_STAGING).select(*FX_KEY, "rate", "ingestion_id")
 
 
+def stream_keep_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drops with common keys, landed after each: what came first stays, whenever it was recorded."""
+    root, target, checkpoint = (scratch(spark, name) for name in ("drops", "bronze", "offsets"))
+    records = given.event_records(spark, sf).withColumn("date", F.col("date").cast("string")).withColumn(
+        "arrived_at", F.date_format("arrived_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    for part in ("arrival_no % 2 = 1", "arrival_no % 2 = 0"):
+        bronze.append_documents(records.where(part), root, "month")
+        land_new_files(
+            spark, root, EVENT_BRONZE, FX_KEY, ("arrived_at", "arrival_no"), target, checkpoint, "events", RUN_AT,
+            multi_line=False, grain="month").awaitTermination()
+    landed = bronze.read_landed(spark, target, EVENT_BRONZE)
+    return landed.selectExpr("cast(date as date) as date", "base", "quote", "rate", "arrival_no")
+
+
+def declared_models(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide market table and all it is made of, built through the catalog, twice: the second time staging is merged."""
+    root = scratch(spark, "models")
+    database = f"market_{root[-32:]}"
+    spark.sql(f"create database `{database}` location '{root}/{database}'")
+    sources = {"bronze_fx": given.fx_bronze(spark, sf), "bronze_equity": given.equity_bronze(spark, sf)}
+    for _ in range(2):
+        models.build(spark, models.MODELS, "+gold_market_data", sources, database, root)
+    return _rounded_wide(spark.table(f"`{database}`.gold_market_data"))
+
+
+def coverage_from_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Coverage by the paths of a store that fills in two steps; each step's listing reaches new objects only."""
+    root, index = scratch(spark, "store"), scratch(spark, "index")
+    documents = given.rate_documents(spark, sf)
+    for part in ("s_suppkey % 2 = 1", "s_suppkey % 2 = 0"):
+        bronze.write_document_files(documents.where(part), root)
+        update_index(spark, root, index, suffix=".txt")
+    return cov.coverage(cov.keys_from_folders(indexed_paths(spark, index)))
+
+
+def ordered_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Place of every row in the files of a published table that is sorted over all files."""
+    root, order = scratch(spark, "ordered"), layers.ORDERS["silver"]
+    publish_version(_silver(spark, sf), root, order=order)
+    return positions(spark, tables.current(spark, root)).select("position", *order)
+
+
+def strict_staging(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates as text, every value of which can be read; one that cannot would fail the query."""
+    texts = given.fx_bronze(spark, sf).withColumns({"date": F.expr("cast(date as string)"), "rate": F.expr("cast(rate as string)")})
+    return stage_fx(texts, strict=True).select(*FX_KEY, "rate", "ingestion_id")
+
+
 QUERIES: dict[str, Query] = {
     "silver_unified": silver_unified,
     "silver_returns": silver_returns,
@@ -474,6 +612,9 @@ QUERIES: dict[str, Query] = {
     "published_gold": published_gold,
     "medallion_run": medallion_run,
     "medallion_rejects": medallion_rejects,
+    "medallion_attrition": medallion_attrition,
+    "bronze_documents": bronze_documents,
+    "documents_silver": documents_silver,
     "bronze_to_silver_job": bronze_to_silver_job,
     "weekly_job": weekly_job,
     "analytics_latest": analytics_latest,
@@ -481,4 +622,12 @@ QUERIES: dict[str, Query] = {
     "object_listing": object_listing,
     "silver_refresh": silver_refresh,
     "stream_incremental": stream_incremental,
+    "stream_keep_first": stream_keep_first,
+    "published_versions": published_versions,
+    "maintained_gold": maintained_gold,
+    "run_outcomes": run_outcomes,
+    "declared_models": declared_models,
+    "coverage_from_index": coverage_from_index,
+    "ordered_silver": ordered_silver,
+    "strict_staging": strict_staging,
 }

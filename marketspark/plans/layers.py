@@ -17,13 +17,17 @@ from marketspark.schemas import EQUITY, FX, GOLD_INSTRUMENTS, SILVER, SILVER_KEY
 _ARRIVAL = ("ingestion_timestamp", "ingestion_id")
 
 
+# The order that readers of a table expect; a table without one is by date.
+ORDERS: dict[str, tuple[str, ...]] = {
+    "silver": ("date", "asset_type", "instrument", "source"),
+    "weekly": ("week_start", "weekly_return_pct", "base", "quote"),
+}
+
+
 def ordered(df: DataFrame, table: str) -> DataFrame:
-    """Rows in the order readers expect; stored files are only sorted within a partition."""
-    if table == "silver":
-        return df.orderBy("date", "asset_type", "instrument")
-    if table == "weekly":
-        return df.orderBy("week_start", F.desc_nulls_last("weekly_return_pct"), "base", "quote")
-    return df.orderBy("date")
+    """Rows in the order readers expect; files are sorted like this where a table is published with ``order``."""
+    names = ORDERS.get(table, ("date",))
+    return df.orderBy(*[F.desc_nulls_last(name) if name == "weekly_return_pct" else F.col(name) for name in names])
 
 
 def unify_fx(fx: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from marketspark.functions.dates import day, in_window
-from marketspark.functions.numbers import double, whole
+from marketspark.functions.numbers import double, number, whole
 from marketspark.functions.text import currency, strip
-from marketspark.operators.quality import PRICES, equity_rules, fx_rules, keep_valid, kinds
+from marketspark.operators.quality import PRICES, equity_rules, fx_rules, keep_valid, kinds, require_casts
 
 ORDER = ("ingestion_timestamp", "ingestion_id")
 FX_ORDER = (*ORDER, "rate")
@@ -25,9 +25,16 @@ def _window(df: DataFrame, window: tuple[str, str] | None, end_inclusive: bool)
 
 def stage_fx(
     bronze: DataFrame, window: tuple[str, str] | None = None, end_inclusive: bool = True,
-    check_currency: bool = True,
+    check_currency: bool = True, strict: bool = False,
 ) -> DataFrame:
-    """Valid exchange rates with normalised currency codes."""
+    """Valid exchange rates with normalised currency codes.
+
+    With ``strict`` a date or rate that cannot be read fails the run instead of its row.
+    """
+    if strict:
+        kind = kinds(bronze)
+        bronze = require_casts(
+            bronze, {"date": day("date", kind["date"]), "rate": number("rate", kind["rate"])}, ("date", "base", "quote"))
     staged = keep_valid(bronze, fx_rules(bronze, check_currency)).selectExpr(
         f"{day('date', kinds(bronze)['date'])} as date",
         f"{currency('base')} as base",
@@ -39,10 +46,16 @@ def stage_fx(
 
 
 def stage_equity(
-    bronze: DataFrame, window: tuple[str, str] | None = None, end_inclusive: bool = True
+    bronze: DataFrame, window: tuple[str, str] | None = None, end_inclusive: bool = True, strict: bool = False,
 ) -> DataFrame:
-    """Valid daily bars; the trimmed ticker is the instrument."""
+    """Valid daily bars; the trimmed ticker is the instrument.
+
+    With ``strict`` a date, price or volume that cannot be read fails the run instead of its row.
+    """
     kind = kinds(bronze)
+    if strict:
+        casts = {"date": day("date", kind["date"], allow_time=True), **{name: number(name, kind[name]) for name in PRICES}}
+        bronze = require_casts(bronze, {**casts, "volume": whole("volume", kind["volume"])}, ("date", "ticker"))
     staged = keep_valid(bronze, equity_rules(bronze)).selectExpr(
         f"{day('date', kind['date'], allow_time=True)} as date",
         f"{strip('ticker')} as instrument",

@@ -14,8 +14,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-_STR, _DBL, _LONG, _DATE, _TS = (
-    T.StringType(), T.DoubleType(), T.LongType(), T.DateType(), T.TimestampType(),
+_STR, _DBL, _LONG, _DATE, _TS, _BOOL, _INT = (
+    T.StringType(), T.DoubleType(), T.LongType(), T.DateType(), T.TimestampType(), T.BooleanType(), T.IntegerType(),
 )
 
 # The rate is read as a double, so a quoted number is recognised as malformed.
@@ -31,6 +31,9 @@ EQUITY_BRONZE = _struct(
     source=_STR, ingestion_timestamp=_STR, ingestion_id=_STR,
 )
 
+# Records that tell when they arrived.
+EVENT_BRONZE = _struct(date=_STR, base=_STR, quote=_STR, rate=_DBL, arrived_at=_STR, arrival_no=_LONG)
+
 FX_STAGING = _struct(
     date=_DATE, base=_STR, quote=_STR, rate=_DBL,
     source=_STR, ingestion_timestamp=_TS, ingestion_id=_STR,
@@ -53,6 +56,22 @@ WEEKLY = _struct(
     min_rate=_DBL, max_rate=_DBL, avg_rate=_DBL, weekly_return_pct=_DBL,
 )
 
+# The version of the file that a record came from.
+FILE_LINEAGE = _struct(source_file=_STR, file_modified=_TS)
+
+# A rejected document; ``date`` is the day its file was written.
+LETTER = _struct(
+    date=_DATE, feed=_STR, source_file=_STR, file_modified=_TS, document=_STR, document_sha256=_STR,
+    reject_reasons=T.ArrayType(_STR), first_reason=_STR, copies=_LONG,
+)
+
+# An object of a store; ``date`` is the day it was written.
+OBJECT = _struct(date=_DATE, path=_STR, modified=_TS, length=_LONG)
+
+ATTRITION = _struct(
+    date=_DATE, dated=_BOOL, table_name=_STR, step=_INT, rule=_STR, rows_before=_LONG, rows_removed=_LONG, rows_after=_LONG,
+)
+
 FX_KEY = ("date", "base", "quote")
 EQUITY_KEY = ("date", "instrument")
 SILVER_KEY = ("date", "instrument", "source")
@@ -75,3 +94,5 @@ GOLD_INSTRUMENTS = {
 
 # Currency pairs collected when no other universe is given.
 DEFAULT_PAIRS = "EUR/USD,EUR/GBP,EUR/JPY,EUR/CHF,GBP/USD,USD/JPY,AUD/USD,USD/CAD"
+
+GOLD_RETURNS = _struct(date=_DATE, **{name: _DBL for name in GOLD_INSTRUMENTS.values()})

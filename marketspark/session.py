@@ -43,6 +43,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in any store that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder, if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all in it, or a file, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
@@ -58,5 +76,4 @@ def drop_stored(df: DataFrame) -> None:
     """Delete the files of a table made by ``stored`` that nothing reads any more."""
     spark = df.sparkSession
     for file in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, file.rpartition("/")[0])

@@ -3,58 +3,77 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketspark.functions.dates import check_window
-from marketspark.schemas import CORRUPT
+from marketspark.schemas import CORRUPT, FILE_LINEAGE
+from marketspark.session import exists
 from marketspark.sources.tables import GRAINS, in_periods, period_value
 
 
+_METADATA = ("_metadata.file_path as source_file", "_metadata.file_modification_time as file_modified")
+
+
 def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def json_options(multi_line: bool) -> dict[str, object]:
+def with_lineage(schema: T.StructType) -> T.StructType:
+    return T.StructType([*with_corrupt(schema).fields, *FILE_LINEAGE.fields])
+
+
+def json_options(multi_line: bool, pattern: str = "*.json") -> dict[str, object]:
     """Reader options shared by batch and stream."""
     return {
         "multiLine": multi_line,
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
-        "pathGlobFilter": "*.json",
+        "pathGlobFilter": pattern,
     }
 
 
 def read_documents(
-    spark: SparkSession, root: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, root: str, schema: T.StructType, multi_line: bool = True, pattern: str = "*.json"
 ) -> DataFrame:
     """All ``.json`` files below ``root``, with an explicit schema and no inference pass.
 
     A document that cannot be parsed keeps only its raw text; a field of the wrong type
-    is null and the raw text is kept too. ``source_file`` names the file.
-    ``multi_line`` reads one document per file, else one per line (splittable).
+    is null and the raw text is kept too. ``source_file`` and ``file_modified`` name the
+    version of the file. ``multi_line`` reads one document per file, else one per line
+    (splittable).
     """
     return (
         spark.read.schema(with_corrupt(schema))
-        .options(**json_options(multi_line), recursiveFileLookup=True)
+        .options(**json_options(multi_line, pattern), recursiveFileLookup=True)
+        .json(root)
+        .selectExpr("*", *_METADATA)
+    )
+
+
+def stream_documents(
+    spark: SparkSession, root: str, schema: T.StructType, multi_line: bool = True, files_per_batch: int = 10_000,
+    pattern: str = "*.json",
+) -> DataFrame:
+    """Like ``read_documents``, as a stream of the files that come below ``root``."""
+    return (
+        spark.readStream.schema(with_corrupt(schema))
+        .options(**json_options(multi_line, pattern), recursiveFileLookup=True, maxFilesPerTrigger=files_per_batch)
         .json(root)
-        .select("*", F.col("_metadata.file_path").alias("source_file"))
+        .selectExpr("*", *_METADATA)
     )
 
 
 def documents_if_any(
-    spark: SparkSession, root: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, root: str, schema: T.StructType, multi_line: bool = True, pattern: str = "*.json"
 ) -> DataFrame:
     """Like ``read_documents``, but empty where ``root`` does not exist."""
-    try:
-        return read_documents(spark, root, schema, multi_line)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], with_corrupt(schema))
+    if not exists(spark, root):
+        return spark.createDataFrame([], with_lineage(schema))
+    return read_documents(spark, root, schema, multi_line, pattern)
 
 
 def unreadable(documents: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,40 +82,65 @@ def unreadable(documents: DataFrame, keys: Sequence[str]) -> DataFrame:
     return documents.where(f"{CORRUPT} is not null and {empty}").select("source_file", CORRUPT)
 
 
-def append_documents(df: DataFrame, root: str, grain: str = "day") -> None:
-    """Append records as JSON lines below ``year=/month=/day=`` of their date.
+def parse_documents(texts: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+    """Documents that come as a text column, read as ``read_documents`` reads files."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return texts.select(F.from_json(column, with_corrupt(schema), options).alias("record")).select("record.*")
 
-    A file holds many records of a day (or month), not one: object stores and file
-    listings suffer from one file per record. The rebalance hint splits an outsized day.
-    """
+
+def _by_date(df: DataFrame, grain: str) -> DataFrameWriter:
+    """Writer below ``year=/month=/day=``. The rebalance hint splits an outsized day."""
     parts = GRAINS[grain]
     shapes = {"year": "yyyy", "month": "MM", "day": "dd"}
-    (
+    return (
         df.selectExpr("*", *[f"date_format(try_cast(date as date), '{shapes[name]}') as {name}" for name in parts])
         .hint("rebalance", *[F.col(name) for name in parts])
-        .write.mode("append").partitionBy(*parts).json(root)
+        .write.partitionBy(*parts)
     )
 
 
+def append_documents(df: DataFrame, root: str, grain: str = "day") -> None:
+    """Append records as JSON lines below ``year=/month=/day=`` of their date.
+
+    A file holds many records of a day (or month), not one: object stores and file
+    listings suffer from one file per record.
+    """
+    _by_date(df, grain).mode("append").json(root)
+
+
+def write_landed_step(df: DataFrame, root: str, step: int, grain: str = "day") -> None:
+    """Like ``append_documents``, below a folder of its own that a repetition of the step replaces."""
+    _by_date(df, grain).mode("overwrite").json(f"{root}/step={step}")
+
+
+def write_document_files(documents: DataFrame, root: str) -> None:
+    """One file per document (``value``) below ``year=/month=/day=/key=``, as stores of single objects have them."""
+    parts = ("year", "month", "day", "key")
+    documents.select("value", *parts).write.mode("append").partitionBy(*parts).text(root)
+
+
 def read_landed(
-    spark: SparkSession, root: str, schema: T.StructType, window: tuple[str, str] | None = None
+    spark: SparkSession, root: str, schema: T.StructType, window: tuple[str, str] | None = None,
+    undated_since: date | None = None,
 ) -> DataFrame:
-    """Records written by ``append_documents``; empty where nothing has landed.
+    """Records written by ``append_documents``, with the version of their file; empty where nothing has landed.
 
     With a ``window`` only the directories of its days (or months) are read, and those
-    of records without a readable date, which the rules of staging reject.
+    of records without a readable date, which the rules of staging reject. Of the latter
+    ``undated_since`` leaves out files older than that day, which earlier runs have seen.
     """
-    try:
-        landed = spark.read.schema(with_corrupt(schema)).options(**json_options(False)).json(root)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], with_corrupt(schema))
+    if not exists(spark, root):
+        return spark.createDataFrame([], with_lineage(schema))
+    landed = spark.read.schema(with_corrupt(schema)).options(**json_options(False)).json(root)
     if window and "year" in landed.columns:
         grain = "day" if "day" in landed.columns else "month"
         inside = in_periods(landed, *[period_value(d, grain) for d in check_window(*window)])
-        landed = landed.where(f"{inside} or year is null")
-    return landed.select(*with_corrupt(schema).fieldNames())
+        dated = landed.where(inside).selectExpr(*with_corrupt(schema).fieldNames(), *_METADATA)
+        undated = landed.where("year is null")
+        if undated_since:
+            undated = undated.where(f"_metadata.file_modification_time >= timestamp '{undated_since}'")
+        return dated.unionByName(undated.selectExpr(*with_corrupt(schema).fieldNames(), *_METADATA))
+    return landed.selectExpr(*with_corrupt(schema).fieldNames(), *_METADATA)
 
 
 def object_paths(spark: SparkSession, root: str, suffix: str = ".json") -> DataFrame:

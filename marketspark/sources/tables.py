@@ -5,22 +5,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketspark.session import exists
+from marketspark.sources.versions import current
+
 GRAINS = {"day": ("year", "month", "day"), "month": ("year", "month")}
 PART_VALUES = {
-    "year": "year(date)", "month": "lpad(month(date), 2, '0')", "day": "lpad(day(date), 2, '0')",
+    "year": "year({0})", "month": "lpad(month({0}), 2, '0')", "day": "lpad(day({0}), 2, '0')",
 }
 _PLACE = {"year": 10_000, "month": 100, "day": 1}
 
 
-def period(grain: str) -> str:
+def period(grain: str, by: str = "date") -> str:
     """The partition a date falls in, as one number (YYYYMMDD, or YYYYMM00)."""
-    number = "year(date) * 10000 + month(date) * 100"
-    return f"{number} + day(date)" if grain == "day" else number
+    number = f"year({by}) * 10000 + month({by}) * 100"
+    return f"{number} + day({by})" if grain == "day" else number
 
 
 def period_value(day: date, grain: str) -> int:
@@ -38,7 +40,21 @@ def among_periods(table: DataFrame, values: Sequence[int]) -> str:
     """Condition that names partitions one by one; the calendar bounds their number."""
     present = set(table.columns)
     number = " + ".join(f"{name} * {place}" for name, place in _PLACE.items() if name in present)
-    return f"{number} in ({', '.join(map(str, values))})"
+    return among_values(number, values)
+
+
+def among_values(number: str, values: Sequence[int]) -> str:
+    return f"{number} in ({', '.join(map(str, values)) or 'null'})"
+
+
+def among_months(values: Sequence[int]) -> str:
+    """Condition that names months (YYYYMM00), for tables of either grain."""
+    return among_values(f"year * {_PLACE['year']} + month * {_PLACE['month']}", values)
+
+
+def months_after(values: Sequence[int]) -> list[int]:
+    """The month after each of some months."""
+    return [(m // 10_000 + 1) * 10_000 + 100 if m % 10_000 == 1200 else m + 100 for m in values]
 
 
 def grain_of(table: DataFrame) -> str | None:
@@ -48,21 +64,19 @@ def grain_of(table: DataFrame) -> str | None:
 
 def check_grain(spark: SparkSession, path: str, schema: T.StructType, grain: str, kind: str = "parquet") -> None:
     """Refuse to write ``grain`` into a table that is partitioned by another one."""
-    try:
-        written = grain_of(spark.read.format(kind).schema(schema).load(path))
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return
-        raise
+    if not exists(spark, path):
+        return
+    written = grain_of(spark.read.format(kind).schema(schema).load(path))
     if written not in (None, grain):
         raise ValueError(f"{path} is partitioned by {written}, not by {grain}")
 
 
 def write_by_date(
     df: DataFrame, path: str, grain: str = "day", sort: Sequence[str] = (), tasks: int | None = None,
-    replace: bool = False,
+    replace: bool = False, by: str = "date",
 ) -> None:
-    """Replace the date partitions that ``df`` holds and leave all others; with ``replace`` no others stay.
+    """Replace the partitions of the date ``by`` that ``df`` holds and leave all others; with
+    ``replace`` no others stay.
 
     The rebalance hint brings each partition together, yet splits one that is much
     larger than the rest and joins small ones, at run time. Where the table has one
@@ -70,7 +84,7 @@ def write_by_date(
     many small days are then written side by side.
     """
     parts = GRAINS[grain]
-    placed = df.selectExpr("*", *[f"{PART_VALUES[name]} as {name}" for name in parts])
+    placed = df.selectExpr("*", *[f"{PART_VALUES[name].format(by)} as {name}" for name in parts])
     if tasks:
         placed = placed.repartition(tasks, *parts)
     else:
@@ -89,22 +103,22 @@ def first_of(day: str, grain: str) -> str:
 
 def read_by_date(
     spark: SparkSession, path: str, schema: T.StructType, bounds: tuple[int, int] | None = None,
-    only: Sequence[int] | None = None,
+    only: Sequence[int] | None = None, months: Sequence[int] | None = None,
 ) -> DataFrame | None:
     """A table written by ``write_by_date``, or None where nothing is written yet.
 
-    ``bounds`` are the first and last partition number (see ``period_value``), ``only`` a list of them.
+    ``bounds`` are the first and last partition number (see ``period_value``), ``only`` a list of them,
+    ``months`` a list of months (YYYYMM00) whatever the grain.
     """
-    try:
-        table = spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not exists(spark, path):
+        return None
+    table = spark.read.schema(schema).parquet(path)
     if bounds and "year" in table.columns:
         table = table.where(in_periods(table, *bounds))
     if only is not None and "year" in table.columns:
         table = table.where(among_periods(table, only))
+    if months is not None and "year" in table.columns:
+        table = table.where(among_months(months))
     return table.select(*schema.fieldNames())
 
 
@@ -114,7 +128,8 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A plain table, or the current version of one published by ``publish_version``."""
+    return spark.read.parquet(current(spark, path))
 
 
 def save_table(df: DataFrame, name: str) -> None:

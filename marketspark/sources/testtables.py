@@ -1,6 +1,7 @@
 """The given test tables seen as Bronze records.
 
-Dirty values are put in on purpose, so that every rule rejects something.
+Dirty values are put in on purpose, so that every rule rejects something; those of
+``readable``, ``rate_type`` and ``date_format`` need documents, see ``rate_documents``.
 """
 
 from __future__ import annotations
@@ -47,6 +48,34 @@ def fx_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What is wrong with a document, by the remainder of the supplier key.
+DAMAGES = ("cut off", "quoted rate", "boolean rate", "slashed date", "no such day", "no base", "bad code", "negative rate")
+DAMAGE_CYCLE = 13
+
+
+def rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document of a rate per supplier, for folders of one document per file (year, month, day, key)."""
+    base = _pick("s_nationkey % 8", [b for b, _ in PAIRS])
+    quote = _pick("s_nationkey % 8", [q for _, q in PAIRS])
+    damage = f"element_at(array({', '.join(map(literal, DAMAGES))}), cast(s_suppkey % {DAMAGE_CYCLE} as int) + 1)"
+    rows = table(spark, sf_dir, "supplier").selectExpr(
+        f"if(s_suppkey % {DAMAGE_CYCLE} < {len(DAMAGES)}, {damage}, 'none') as damage",
+        "date_add(date '1996-01-01', cast(s_suppkey % 20000 as int)) as on_day", f"{base} as base", f"{quote} as quote",
+        "s_acctbal + 1000 as rate", "s_suppkey",
+    )
+    date_text = "case damage when 'slashed date' then date_format(on_day, 'yyyy/MM/dd') when 'no such day' then date_format(on_day, 'yyyy-MM') || '-32' " \
+        "else cast(on_day as string) end"
+    rate_text = "case damage when 'quoted rate' then '\"' || rate || '\"' when 'boolean rate' then 'true' when 'negative rate' then '-' || rate " \
+        "else cast(rate as string) end"
+    base_text = "case damage when 'no base' then '' when 'bad code' then '\"base\": \"E1R\", ' else '\"base\": \"' || base || '\", ' end"
+    document = (
+        f"concat('{{\\n  \"date\": \"', {date_text}, '\", ', {base_text}, '\"quote\": \"', quote, '\",\\n  \"rate\": ', {rate_text}, "
+        f"', \"source\": \"fx\", \"ingestion_id\": \"', s_suppkey, '\"', if(damage = 'cut off', '', '\\n}}'))")
+    return rows.selectExpr(
+        f"{document} as value", "date_format(on_day, 'yyyy') as year", "date_format(on_day, 'MM') as month",
+        "date_format(on_day, 'dd') as day", "base || '_' || quote as key", "s_suppkey")
+
+
 def equity_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars from ``lineitem``."""
     price = "(l_extendedprice - 1000)"

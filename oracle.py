@@ -49,6 +49,34 @@ EQUITY_RULES = {
 }
 
 
+# Documents as read: what cannot be parsed is null, and so is a rate that is no plain number.
+DOCUMENTS = """damaged as (
+  select s_suppkey as ingestion_id, date '1996-01-01' + (s_suppkey % 20000)::int as on_day,
+    case s_nationkey % 8 when 4 then 'GBP' when 5 then 'USD' when 6 then 'AUD' when 7 then 'USD' else 'EUR' end as b,
+    case s_nationkey % 8 when 0 then 'USD' when 1 then 'GBP' when 2 then 'JPY' when 3 then 'CHF'
+                         when 4 then 'USD' when 5 then 'JPY' when 6 then 'USD' else 'CAD' end as q,
+    s_acctbal + 1000 as amount, s_suppkey % 13 as damage
+  from supplier),
+documents as (
+  select ingestion_id, damage,
+    case damage when 0 then null when 3 then strftime(on_day, '%Y/%m/%d') when 4 then strftime(on_day, '%Y-%m') || '-32'
+                else cast(on_day as varchar) end as date,
+    case damage when 0 then null when 5 then null when 6 then 'E1R' else b end as base,
+    case damage when 0 then null else q end as quote,
+    case damage when 0 then null when 1 then null when 2 then null when 7 then -amount else amount end as rate
+  from damaged)"""
+
+DOCUMENT_RULES = {
+    "readable": "damage <> 0",
+    "rate_type": "rate is not null",
+    "required": "date is not null and base is not null and quote is not null and rate is not null",
+    "date_format": "regexp_full_match(date, '\\d{4}-\\d{1,2}-\\d{1,2}') and try_cast(date as date) is not null",
+    "currency": r"regexp_full_match(upper(trim(base)), '\p{L}{3}') "
+                r"and regexp_full_match(upper(trim(quote)), '\p{L}{3}')",
+    "positive_rate": "rate > 0",
+}
+
+
 def _all(rules: dict[str, str]) -> str:
     return " and ".join(f"({rule})" for rule in rules.values())
 
@@ -256,6 +284,26 @@ _RUN_STAGES = _with(FX_BRONZE, EQUITY_BRONZE, _LONG, *_LANDED, f"""equity_stage
     'equity' as source, 0 as ingestion_timestamp, 0 as ingestion_id
   from long_bars where {_all(EQUITY_RULES)})""", UNIFIED, _kept("desc"), _levels())
 
+_LANDED_RAW = """landed as (
+  select date, base, quote, arg_min(rate, ingestion_id) as rate from fx_bronze
+  where date is not null and base is not null and quote is not null group by all
+  union all
+  select distinct date, base, quote, rate from fx_bronze where date is null or base is null or quote is null)"""
+
+# Three runs: later days of the euro pairs, earlier ones, one quarter of the others.
+_RUNS = f"""runs as (
+  select * from (values (1, date '{q.KNOWN_FX_UNTIL}' + 1, date '{q.ALL_DAYS[1]}', true),
+    (2, date '{q.ALL_DAYS[0]}', date '{q.KNOWN_FX_UNTIL}', true), (3, date '{q.QUARTER[0]}', date '{q.QUARTER[1]}', false)
+  ) r(number, first_day, last_day, euro)),
+fetched as (
+  select number, cast(first_day as varchar) as run, date, upper(trim(base)) as base, upper(trim(quote)) as quote, rate, ingestion_id
+  from fx_bronze join runs on date between first_day and last_day and (upper(trim(base)) = 'EUR') = euro)"""
+_RUN_LANDED = f"""landed as (
+  select date, base, quote, arg_min(rate, ingestion_id) as rate from fetched group by all),
+fx_stage as (
+  select date, base, quote, rate, 'fx' as source, 0 as ingestion_timestamp, 0 as ingestion_id
+  from landed where {_all(FX_RULES)})"""
+
 ORACLE: dict[str, str] = {
     "silver_unified": _with(*_DEDUPED) + f"select {_COLUMNS}, source from kept",
     "silver_returns": _with(*_DEDUPED, SILVER)
@@ -272,8 +320,9 @@ ORACLE: dict[str, str] = {
     "equity_rejects": _with(EQUITY_BRONZE)
     + _rejects("equity_bronze", "date, ticker, open, high, low, close, adj_close, volume, source, "
                "ingestion_id", EQUITY_RULES),
-    "rule_attrition": _with(FX_BRONZE, EQUITY_BRONZE) + _attrition("fx_bronze", "FX", FX_RULES)
-    + "\nunion all\n" + _attrition("equity_bronze", "EQUITY", EQUITY_RULES),
+    "rule_attrition": _with(FX_BRONZE, EQUITY_BRONZE, DOCUMENTS) + "\nunion all\n".join([
+        _attrition("fx_bronze", "FX", FX_RULES), _attrition("equity_bronze", "EQUITY", EQUITY_RULES),
+        _attrition("documents", "DOCUMENTS", DOCUMENT_RULES)]),
     "dq_tests": _with(*_DEDUPED, _levels()) + "\nunion all\n".join([
         *_not_null("staging_fx", "fx_stage", "date", "base", "quote", "rate"),
         *_not_null("staging_equity", "equity_stage", "date", "instrument", "open", "high", "low", "close"),
@@ -358,14 +407,16 @@ union all select {_FX_KEY}, rate, ingestion_id from batch""",
     + f'select {_COLUMNS}, round("return", {q.DIGITS}) as "return", source from silver',
     "published_gold": _with(*_DEDUPED, _levels()) + _wide("vols", _MARKET),
     "medallion_run": _RUN_STAGES + _wide("vols", _MARKET),
-    "medallion_rejects": _with(FX_BRONZE, """landed as (
-  select date, base, quote, arg_min(rate, ingestion_id) as rate from fx_bronze
-  where date is not null and base is not null and quote is not null group by all
-  union all
-  select distinct date, base, quote, rate from fx_bronze where date is null or base is null or quote is null)""")
+    "medallion_rejects": _with(FX_BRONZE, _LANDED_RAW)
     + "select cast(date as varchar) as date, base, quote, rate, case "
     + " ".join(f"when not coalesce({rule}, false) then '{name}'" for name, rule in FX_RULES.items())
     + f" end as first_reason from landed where not coalesce({_all(FX_RULES)}, false)",
+    "medallion_attrition": _with(FX_BRONZE, _LANDED_RAW, "steps as (" + _attrition("landed", "rates", FX_RULES) + ")")
+    + "select table_name, rule, rows_before, rows_removed, rows_after from steps",
+    "bronze_documents": _with(DOCUMENTS) + "select 'rates' as feed, 1::bigint as copies, * from ("
+    + _rejects("documents", "ingestion_id", DOCUMENT_RULES) + ") r",
+    "documents_silver": _with(DOCUMENTS) + f"""select try_cast(date as date) as date, base, quote, rate, 'fx' as source
+from documents where {_all(DOCUMENT_RULES)}""",
     "bronze_to_silver_job": _with(*_DEDUPED)
     + f"select {_FX_KEY}, asset_type, instrument, rate, adj_close, source from kept",
     "weekly_job": _WEEKLY + "select * from weekly",
@@ -381,4 +432,39 @@ from weekly group by week_start""",
     "stream_incremental": _with(FX_BRONZE, FX_STAGE,
     "newest as (" + _newest("fx_stage", _FX_KEY, _TEXT_ID) + ")")
     + f"select {_FX_KEY}, rate, cast(ingestion_id as varchar) as ingestion_id from newest",
+    "stream_keep_first": _with(_EVENTS) + f"""select date, base, quote, rate, arrival_no from (
+  select *, row_number() over (partition by {_FX_KEY} order by arrival_no % 2 = 0, arrived_at, arrival_no) as n from records) r where n = 1""",
+    "published_versions": _with(*_DEDUPED, _levels(), """days as (
+  select date, max(case when instrument = 'EUR/USD' then value end) as eur_usd from vols group by date)""") + f"""
+select 'before' as reader, count(*) as days, min(date) as first_day, max(date) as last_day, count(eur_usd) as levels
+from days where date <= date '{q.KNOWN_FX_UNTIL}'
+union all select 'after', count(*), min(date), max(date), count(eur_usd) from days""",
+    "maintained_gold": _with(FX_BRONZE, _RUNS, _RUN_LANDED, _UNIFIED_FX, _kept("desc"), SILVER, """raw_weekly as (
+  select cast(date_trunc('week', date) as date) as week_start, base, quote, arg_min(rate, date) as a, arg_max(rate, date) as z
+  from kept group by all)""") + f"""
+select 'returns' as table_name, date, lower(base || '_' || quote) as name, round("return", {q.DIGITS}) as value from silver
+where "return" is not null and instrument in ({', '.join(f"'{n}'" for n in GOLD_INSTRUMENTS)})
+union all
+select 'weekly', week_start, base || '/' || quote, round(round((z / a - 1) * 100, 4), {q.DIGITS}) from raw_weekly""",
+    "run_outcomes": _with(FX_BRONZE, _RUNS, f"""days as (
+  select number, cast(first_day as varchar) as run, euro, cast(unnest(generate_series(first_day, last_day, interval 1 day)) as date) as date from runs),
+arrived as (select number, date, base, quote, count(*) as n from fetched group by all),
+known as (
+  select distinct r.number, f.date, f.base, f.quote from runs r join fetched f
+  on f.number < r.number and f.date between r.first_day and r.last_day),
+pairs as (select * from (values {_PAIR_ROWS}) p(base, quote))""") + f"""
+select d.run, p.base, p.quote,
+  case when p.quote = '{q.FAILED_QUOTE}' and (p.base = 'EUR') = any_value(d.euro) then 'failed' else 'successful' end as status,
+  count(*) filter (status_ok and k.date is null and a.n > 0) as uploaded,
+  coalesce(sum(case when not status_ok then 0 when k.date is not null then 1 when a.n > 0 then a.n - 1 else 0 end), 0)::bigint as skipped
+from days d cross join pairs p
+cross join lateral (select not (p.quote = '{q.FAILED_QUOTE}' and (p.base = 'EUR') = d.euro) as status_ok) o
+left join arrived a on a.number = d.number and a.date = d.date and a.base = p.base and a.quote = p.quote
+left join known k on k.number = d.number and k.date = d.date and k.base = p.base and k.quote = p.quote
+group by d.run, p.base, p.quote""",
+    "declared_models": _with(*_DEDUPED, _levels()) + _wide("vols", _MARKET),
+    "coverage_from_index": _with(DOCUMENTS) + _coverage("(select on_day as date, b as base, q as quote from damaged) d"),
+    "ordered_silver": _with(*_DEDUPED) + """select row_number() over (order by date, asset_type, instrument, source) as position,
+  date, asset_type, instrument, source from kept""",
+    "strict_staging": _with(FX_BRONZE, FX_STAGE) + f"select {_FX_KEY}, rate, ingestion_id from fx_stage",
 }

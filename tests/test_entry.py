@@ -1,5 +1,7 @@
 """Each query against its SQL text, on the smallest tables."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -38,3 +40,10 @@ def test_query_equals_sql(spark, duck, name):
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "date" and len(df.columns) == 37 and not df.isEmpty()
+
+
+@pytest.mark.parametrize("hidden", ["marketspark.llm", "corpus_pipeline", "public_tokenizers", "xxhash", "ahocorasick"])
+def test_the_market_queries_need_no_corpus_library(hidden):
+    code = f"import sys; sys.modules[{hidden!r}] = None; import __spark_entry__ as e; print(len(set(e.QUERIES) & set(e.queries())))"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).parents[1], check=True)
+    assert int(done.stdout) == len(entry.QUERIES)

@@ -132,9 +132,9 @@ def test_first_arrival_lands_whatever_its_value(spark, tmp_path):
         jobs.run(spark, paths, window, fetched)
         bronze = read_landed(spark, paths.of("bronze", "rates"), FX_BRONZE).collect()
         assert sorted((r.date, r.rate) for r in bronze) == [("2026-08-24", 9.0), ("2026-08-25", 3.0), ("2026-08-25", 4.0)]
-    rejects = tables.read_table(spark, paths.of("rejects", "rates")).collect()
+    rejects = jobs.rejects(spark, paths, "rates").collect()
     assert sorted((r.rate, r.first_reason) for r in rejects) == [(3.0, "required"), (4.0, "required")]
-    steps = tables.read_table(spark, paths.of("attrition", "rates")).where("rows_removed > 0").collect()
+    steps = jobs.attrition(spark, paths, "rates").where("rows_removed > 0").collect()
     assert [(r.rule, r.rows_before, r.rows_after) for r in steps] == [("required", 3, 1)]
 
 
