@@ -6,10 +6,11 @@ weighted probability of a context is half its own estimate and half the product
 trained tree follows how much each depth counts on the way from the root; a text is scored by those mixtures. Contexts that training never
 met end the way: their parent's estimate stands for them. A text ends in a zero byte, which is scored too, and begins after ``DEPTH`` zero bytes.
 
-All is derived from counts of strings of DEPTH + 1 bytes over all documents. Texts stay in one table, bucketed by block in the shared folder. Blocks of documents of bounded size send
-their distinct strings, Spark sums them, and contexts are weighted in buckets: a bucket holds whole subtrees from depth ``SPLIT`` on, each of at most
-256 ** (DEPTH - SPLIT + 1) strings whatever the corpus; the at most 256 ** SPLIT contexts above are summed by Spark. Each block then gets back the values of its own strings and words and
-scores its documents. Words travel as 63-bit hashes in the same tables.
+All is derived from counts of strings of DEPTH + 1 bytes over all documents. Tasks run through their texts a part at a time, gather them into blocks of bounded size, and keep,
+beside the packed texts, each block's distinct strings with their training counts, packed per bucket. A bucket holds whole subtrees from depth ``SPLIT`` on. Spark brings the packed
+strings of a bucket together, a task adds them up one block after the other, and contexts are weighted in buckets; the at most 256 ** SPLIT contexts above are summed by Spark. Then the blocks' strings
+meet their bucket's values, again one block after the other, and go back to their block, where the texts are scored. Only packed rows move, never one per string. Words travel
+as 63-bit hashes in the same rows.
 
 Defined cases: a null text is an empty one and has only its end. A null doc_id is scored, and held out or not by the CRC of the empty string. Without training
 documents all estimates are even, and N and V are 0: the base score is then 0. Long texts are taken in slices that overlap by a context. Repeated rows count each. An empty table gives an empty result.
@@ -18,27 +19,30 @@ Only doc_id and text are read, so clashing columns do not matter.
 
 from __future__ import annotations
 
+import io
 import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.ipc  # noqa: F401
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.llm.common import keep, ship
-from marketspark.llm.pfp import block_table
 from marketspark.llm.toxicity import remainder
 
 DEPTH, SPLIT = 5, 3
-BLOCK_BYTES = 36 << 20
+BLOCK_BYTES = 24 << 20
 SLICE = 1 << 20
-ROWS = 256
+ROWS = 256  # of a part
 MERGED = 1_000_000  # strings gathered before they are summed
-BUCKET = 400_000
+BUCKET_BYTES, BUCKETS = 8 << 20, 1 << 16  # texts that one more bucket is made for; buckets at most
+_SPREAD, _LOW = 2654435769, (1 << 32) - 1  # spread contexts, below 2 ** 24, over the buckets
 _WORD_BIT = -(1 << 63)
 
 
@@ -128,41 +132,132 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return unique, np.bincount(inverse, np.concatenate(counts), len(unique)).astype(np.int64)
 
 
-def _parts(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """A few rows of a block at a time: beside the block itself only they are held as Python objects."""
-    return iter(table.combine_chunks().to_batches(max_chunksize=ROWS))
-
-
-def _counted(depth: int):
-    """A block's strings and words, each once, with the number in training texts."""
-    def run(table: pa.Table) -> pa.Table:
-        keys, counts, words = [], [], Counter()
-        block = table["block"][0].as_py()
-        for part in _parts(table.select(["held_out", "text"])):
-            for held_out in (False, True):
-                texts = [t.encode() for t in part.filter(pa.compute.equal(part["held_out"], held_out))["text"].to_pylist()]
-                for packed, _, _ in _packed(texts, depth):
-                    unique, n = np.unique(packed, return_counts=True)
-                    keys.append(unique)
-                    counts.append(n * (not held_out))
-                    if sum(map(len, keys)) > MERGED + len(keys[0]):
-                        key, n = _summed(keys, counts)
-                        keys, counts = [key], [n]
-                for text in texts:
-                    if held_out:
-                        for word in {b"", *words_of(text)}:
-                            words.setdefault(word, 0)
-                    else:
-                        words.update(words_of(text))
-                        words[b""] += 1
-        keys.append(np.fromiter(map(word_key, words), dtype=np.int64, count=len(words)))
-        counts.append(np.fromiter(words.values(), dtype=np.int64, count=len(words)))
-        del words
-        unique, n = _summed(keys, counts)
-        return pa.table({"block": np.full(len(unique), block), "key": unique, "n": n})
+def pack(numbers: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(numbers).tobytes(), 1)
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), dtype=kind)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys, by their steps."""
+    return pack(np.diff(keys, prepend=0))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, np.int64))
+
+
+def bucket_of(keys: np.ndarray, split: int, buckets: int) -> np.ndarray:
+    """Strings by their context at ``split``, words by their hash."""
+    context = (keys >> 8) & ((1 << (8 * split)) - 1)
+    return np.where(keys < 0, (keys - _WORD_BIT) >> 16, ((context * _SPREAD) & _LOW) >> 8) % buckets
+
+
+def bucket_of_context(split: int, buckets: int) -> str:
+    """The same in SQL, of a column ``context``."""
+    return f"pmod(shiftright((context * {_SPREAD}L) & {_LOW}L, 8), {buckets}L)"
+
+
+_PART = ["doc_id", "held_out", "text"]
+_BLOCK = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("texts", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _pack_part(part: pa.RecordBatch) -> bytes:
+    out = io.BytesIO()
+    with pa.ipc.new_stream(out, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write(part)
+    return out.getvalue()
+
+
+class _Counts:
+    """Distinct strings and words of a block, with their numbers in training texts."""
+
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.words: Counter[bytes] = Counter()
+
+    def add(self, texts: list[bytes], held_out: bool, depth: int) -> None:
+        for packed, _, _ in _packed(texts, depth):
+            unique, n = np.unique(packed, return_counts=True)
+            self.keys.append(unique)
+            self.counts.append(n * (not held_out))
+            if sum(map(len, self.keys)) > MERGED + len(self.keys[0]):
+                key, n = _summed(self.keys, self.counts)
+                self.keys, self.counts = [key], [n]
+        for text in texts:
+            if held_out:
+                for word in {b"", *words_of(text)}:
+                    self.words.setdefault(word, 0)
+            else:
+                self.words.update(words_of(text))
+                self.words[b""] += 1
+
+    def rows(self, block: int, split: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        self.keys.append(np.fromiter(map(word_key, self.words), dtype=np.int64, count=len(self.words)))
+        self.counts.append(np.fromiter(self.words.values(), dtype=np.int64, count=len(self.words)))
+        keys, n = _summed(self.keys, self.counts)
+        bucket = bucket_of(keys, split, buckets)
+        order = np.argsort(bucket, kind="stable")  # keys ascend within a bucket
+        keys, n, bucket = keys[order], n[order], bucket[order]
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        stops = np.append(starts[1:], len(keys))
+        for k in range(0, len(starts), 1000):
+            some = list(zip(starts[k:k + 1000].tolist(), stops[k:k + 1000].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(some), block)), pa.array(bucket[starts[k:k + 1000]]), pa.nulls(len(some), pa.binary()),
+                pa.array([pack_keys(keys[a:b]) for a, b in some], pa.binary()), pa.array([pack(n[a:b]) for a, b in some], pa.binary())], schema=_BLOCK)
+
+
+def _blocks(depth: int, split: int, buckets: int):
+    """Packed texts of blocks, a part a row, and their strings, a bucket a row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, counts, size = TaskContext.get().partitionId() << 32, _Counts(), 0
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS).select(_PART)
+                held, texts = part["held_out"].to_pylist(), [t.encode() for t in part["text"].to_pylist()]
+                for held_out in (False, True):
+                    counts.add([t for t, h in zip(texts, held, strict=True) if h == held_out], held_out, depth)
+                yield pa.RecordBatch.from_pylist([{"block": block, "bucket": -1, "texts": _pack_part(part)}], schema=_BLOCK)
+                size += sum(map(len, texts))
+                if size >= BLOCK_BYTES:
+                    yield from counts.rows(block, split, buckets)
+                    block, counts, size = block + 1, _Counts(), 0
+        if counts.words:
+            yield from counts.rows(block, split, buckets)
     return run
 
 
+_MERGED = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("tokens", pa.int64()), ("words", pa.int64())])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per bucket: the sums over all blocks. Rows come sorted by bucket."""
+    def row() -> pa.RecordBatch:
+        key, n = _summed(keys, counts)
+        words = n[key < 0]
+        return pa.RecordBatch.from_pylist([{
+            "bucket": bucket, "keys": pack_keys(key), "counts": pack(n), "tokens": int(words.sum()), "words": int((words > 0).sum())}], schema=_MERGED)
+
+    bucket, keys, counts = None, [], []
+    for batch in batches:
+        for own, key, n in zip(*(batch[c] for c in ("bucket", "keys", "counts")), strict=True):
+            if own.as_py() != bucket:
+                if keys:
+                    yield row()
+                bucket, keys, counts = own.as_py(), [], []
+            keys.append(unpack_keys(key.as_py()))
+            counts.append(unpack(n.as_py(), np.int64))
+            if sum(map(len, keys)) > MERGED + len(keys[0]):
+                key, n = _summed(keys, counts)
+                keys, counts = [key], [n]
+    if keys:
+        yield row()
+
+
 def _levels(key: np.ndarray, n: np.ndarray, bit: int, depths: range):
     """For one decision: per depth its nodes, each string's node, and the nodes' counts of zeros and ones."""
     byte = key & 255
@@ -239,21 +334,47 @@ _NODES = "context long, node long, zeros double, ones double, lw double"
 
 
 def _nodes_of(split: int, depth: int):
-    def run(table: pa.Table) -> pa.Table:
-        out = subtree_nodes(table["key"].to_numpy(), table["n"].to_numpy().astype(float), split, depth)
-        return pa.table(out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, counts in zip(batch["keys"], batch["counts"], strict=True):
+                key, n = unpack_keys(keys.as_py()), unpack(counts.as_py(), np.int64)
+                some = key >= 0
+                if some.any():
+                    yield pa.RecordBatch.from_pydict(subtree_nodes(key[some], n[some].astype(float), split, depth))
     return run
 
 
 def _logs_of(split: int, depth: int):
+    """One row per bucket: its keys and their values, logarithms of strings and counts of words."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        key = left["key"].to_numpy()
         above = {c: right[c].to_numpy() for c in ("context", "node", "low", "high", "rest", "zero")}
-        value = string_logs(key, left["n"].to_numpy().astype(float), above, split, depth) if len(key) else np.empty(0)
-        return pa.table({"key": key, "value": value})
+        rows = []
+        for row in left.to_pylist():
+            key, n = unpack_keys(row["keys"]), unpack(row["counts"], np.int64).astype(float)
+            some = key >= 0
+            value = n.copy()
+            if some.any():
+                value[some] = string_logs(key[some], n[some], above, split, depth)
+            rows.append({"bucket": row["bucket"], "keys": row["keys"], "values": pack(value)})
+        return pa.Table.from_pylist(rows, schema=pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("values", pa.binary())]))
     return run
 
 
+_ANSWERS = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("values", pa.binary())])
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The values of each block's strings. Per bucket the row with all its values comes first."""
+    known, value = np.empty(0, dtype=np.int64), np.empty(0)
+    for batch in batches:
+        for block, keys, values in zip(*(batch[c] for c in ("block", "keys", "values")), strict=True):
+            if block.as_py() is None:
+                known, value = unpack_keys(keys.as_py()), unpack(values.as_py(), np.float64)
+                continue
+            own = value[np.searchsorted(known, unpack_keys(keys.as_py()))]
+            yield pa.RecordBatch.from_pylist([{"block": block.as_py(), "keys": keys.as_py(), "values": pack(own)}], schema=_ANSWERS)
+
+
 def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b, below = (batch[c].to_numpy() for c in ("zeros", "ones", "below"))
@@ -291,31 +412,50 @@ def _upper(nodes: DataFrame, split: int) -> DataFrame:
     return chain
 
 
+def model_of(merged: DataFrame, buckets: int, depth: int, split: int) -> DataFrame:
+    """bucket, keys and values: log10 probability of the last byte of every string, from the training counts in ``merged``."""
+    nodes = keep(merged.select("keys", "counts").mapInArrow(_nodes_of(split, depth), _NODES), "nodes")
+    upper = _upper(nodes, split).withColumn("bucket", F.expr(bucket_of_context(split, buckets)))
+    return merged.select("bucket", "keys", "counts").groupBy("bucket").cogroup(upper.groupBy("bucket")).applyInArrow(
+        _logs_of(split, depth), "bucket long, keys binary, values binary")
+
+
 def values_of(counts: DataFrame, depth: int = DEPTH, split: int = SPLIT) -> DataFrame:
     """key and value: log10 probability of the last byte of every string, from the strings' training counts (key, n)."""
-    spark = counts.sparkSession
-    buckets = max(1, math.ceil(counts.count() / BUCKET))
-    context = F.shiftright("key", 8).bitwiseAND((1 << (8 * split)) - 1)
-    dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(context), F.lit(buckets)))
-    ship(spark)
-    nodes = keep(dealt.groupBy("bucket").applyInArrow(_nodes_of(split, depth), _NODES), "nodes")
-    upper = _upper(nodes, split).withColumn("bucket", F.pmod(F.xxhash64("context"), F.lit(buckets)))
-    return dealt.groupBy("bucket").cogroup(upper.groupBy("bucket")).applyInArrow(_logs_of(split, depth), "key long, value double")
+    def one(table: pa.Table) -> pa.Table:
+        key, n = _summed([table["key"].to_numpy()], [table["n"].to_numpy()])
+        return pa.table({"bucket": [0], "keys": [pack_keys(key)], "counts": [pack(n)]})
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, values in zip(batch["keys"], batch["values"], strict=True):
+                yield pa.RecordBatch.from_pydict({"key": unpack_keys(keys.as_py()), "value": unpack(values.as_py(), np.float64)})
+
+    ship(counts.sparkSession)
+    merged = keep(counts.withColumn("bucket", F.lit(0)).groupBy("bucket").applyInArrow(one, "bucket long, keys binary, counts binary"), "counts")
+    return model_of(merged, 1, depth, split).select("keys", "values").mapInArrow(rows, "key long, value double")
+
+
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
 
 
 def _score(depth: int, scale: float):
-    def run(docs: pa.Table, values: pa.Table) -> pa.Table:
-        key, value = values["key"].to_numpy(), values["value"].to_numpy()
+    def run(parts: pa.Table, answers: pa.Table) -> pa.Table:
+        key = np.concatenate([unpack_keys(k.as_py()) for k in answers["keys"]])
+        value = np.concatenate([unpack(v.as_py(), np.float64) for v in answers["values"]])
         order = np.argsort(key)
         key, value = key[order], value[order]
         logs_of: dict[bytes, float] = {}  # of the block's words that training met; the others share one value
         unknown = math.log10(0.5 / scale) if scale else 0.0
-        tokens, met, bases, scores, sizes = [], [], [], [], []
-        for part in _parts(docs.select(["text"])):
+        ids, held, tokens, met, bases, scores, sizes = [], [], [], [], [], [], []
+        for packed_part in parts["texts"]:
+            part = pa.ipc.open_stream(packed_part.as_py()).read_all()
             texts = [t.encode() for t in part["text"].to_pylist()]
             own = np.zeros(len(texts))
             for packed, first, index in _packed(texts, depth):
                 own[index] += np.add.reduceat(value[np.searchsorted(key, packed)], first)
+            ids += part["doc_id"].to_pylist()
+            held += part["held_out"].to_pylist()
             scores += own.tolist()
             cut = [[*words_of(t), b""] for t in texts]
             fresh = [w for w in set().union(*cut) if w not in logs_of]
@@ -328,7 +468,7 @@ def _score(depth: int, scale: float):
                 bases.append(math.fsum(known) + unknown * (len(words) - len(known)))
                 sizes.append(len(text))
         return pa.table({
-            "doc_id": docs["doc_id"], "held_out": docs["held_out"],
+            "doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(held, pa.bool_()),
             "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(met, pa.int64()), "base_score": pa.array(bases, pa.float64()),
             "score": pa.array(scores, pa.float64()), "n_bytes": pa.array(sizes, pa.int64()),
         })
@@ -338,23 +478,29 @@ def _score(depth: int, scale: float):
 def score(docs: DataFrame, depth: int = DEPTH, split: int = SPLIT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and code_length (bits per byte, the end counted as one) of every row.
 
-    Learns from rows whose crc32(doc_id as text) mod 5 is not 1.
+    Learns from rows whose crc32(doc_id as text) mod 5 is not 1. Contexts at ``split`` have at most 24 bits.
     """
     ship(docs.sparkSession)
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = min(BUCKETS, max(1, math.ceil(total / BUCKET_BYTES)))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id").cast("long")) == 1).alias("held_out"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # Partitions are joined, not cut, so that a block is large and its strings are sent once.
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    texts = block_table(docs.coalesce(max(1, math.ceil(total / BLOCK_BYTES))), 3 * BLOCK_BYTES // 2)
-    blocks = texts.withColumn("held_out", remainder(F.col("doc_id")) == 1)
-    sent = keep(blocks.groupBy("block").applyInArrow(_counted(depth), "block long, key long, n long"), "strings")
-    summed = keep(sent.groupBy("key").agg(F.sum("n").alias("n")), "counts")
-    tokens = summed.where("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    joined = rows.coalesce(max(1, math.ceil(total / BLOCK_BYTES)))
+    blocks = keep(joined.mapInArrow(
+        _blocks(depth, split, buckets), "block long, bucket long, texts binary, keys binary, counts binary"), "blocks")
+    sent = blocks.where("bucket >= 0")
+    merged = keep(sent.select("bucket", "keys", "counts").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _merged, "bucket long, keys binary, counts binary, tokens long, words long"), "counts")
+    tokens = merged.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("v")).first()
     scale = tokens["n"] + 0.5 * (tokens["v"] + 1) if tokens["n"] else 0.0
-    logs = values_of(summed.where("key >= 0"), depth, split)
-    values = logs.unionByName(summed.where("key < 0").select("key", F.col("n").cast("double").alias("value")))
-    own = sent.select("block", "key").join(values, "key").select("block", "key", "value")
-    scored = blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(
-        _score(depth, float(scale)),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+    model = model_of(merged, buckets, depth, split).selectExpr("bucket", "cast(null as bigint) as block", "keys", "values")
+    asked = model.unionByName(sent.selectExpr("bucket", "block", "keys", "cast(null as binary) as values"))
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("block")).select(
+        "block", "keys", "values").mapInArrow(_answers, "block long, keys binary, values binary")
+    scored = blocks.where("bucket < 0").select("block", "texts").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _score(depth, float(scale)), _SCORES)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens["n"]).cast("bigint").alias("train_tokens"), "base_score", "score",
         (-F.col("score") / math.log10(2) / (F.col("n_bytes") + 1)).alias("code_length"))
