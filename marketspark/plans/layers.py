@@ -60,13 +60,13 @@ def gold_market(
     silver_rows: DataFrame, window: tuple[str, str] | None = None,
     instruments: Mapping[str, str] = GOLD_INSTRUMENTS,
 ) -> DataFrame:
-    """Levels, log returns and squared log returns, one row per date."""
+    """Levels, log returns and squared log returns, one row per date; those of an instrument come from one source."""
     measures = {"value": "", "log_return": "_log_return", "volatility": "_volatility"}
-    return wide_by_date(log_returns(daily_levels(silver_rows, window)), instruments, measures)
+    return wide_by_date(log_returns(daily_levels(silver_rows, window)), instruments, measures, one_of="source")
 
 
 def gold_returns(
     silver_rows: DataFrame, instruments: Mapping[str, str] = GOLD_INSTRUMENTS
 ) -> DataFrame:
-    """Simple returns, one row per date."""
-    return wide_by_date(silver_rows, instruments, {"return": ""})
+    """Simple returns, one row per date; that of an instrument comes from one source."""
+    return wide_by_date(silver_rows, instruments, {"return": ""}, one_of="source")

@@ -108,6 +108,16 @@ def weekly_rows(spark):
     ))
 
 
+def test_cells_of_an_instrument_come_from_one_source(spark):
+    df = rows(spark, fx(24, 1.0, source="a"), fx(25, 2.0, source="a"), fx(24, 40.0, source="b"), fx(25, 10.0, source="b"), fx(26, 3.0, source="b"))
+    got = {r.date.day: (r.eur_usd, r.eur_usd_log_return) for r in layers.gold_market(df).collect()}
+    assert got[24][0] in (1.0, 40.0) and got[26][0] == 3.0
+    first, second = got[24][0], got[25][0]
+    assert (first, second) in ((1.0, 2.0), (40.0, 10.0)) and got[25][1] == pytest.approx(math.log(second / first))
+    text = layers.gold_market(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
 def test_weekly(spark):
     got = {(str(r.week_start), r.base): tuple(r)[3:] for r in weekly_rows(spark).collect()}
     assert got == {
