@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,19 +45,27 @@ def keys_from_folders(paths: DataFrame) -> DataFrame:
 
 
 def coverage(keys: DataFrame) -> DataFrame:
-    """Records, range, span and distinct days per pair.
+    """Records, range, span and distinct days per pair."""
+    return _coverage(keys, ("base", "quote"), f"{pair_name('base', 'quote')} as pair")
+
+
+def ticker_coverage(keys: DataFrame) -> DataFrame:
+    """Records, range, span and distinct days per ticker."""
+    return _coverage(keys, ("ticker",), "ticker")
+
 
-    The distinct count groups by (pair, date) first, so a pair with a third of
+def _coverage(keys: DataFrame, names: Sequence[str], label: str) -> DataFrame:
+    """The distinct count groups by (member, date) first, so a member with a third of
     all records is spread over its days before it is brought together.
     """
     return (
-        keys.groupBy("base", "quote")
+        keys.groupBy(*names)
         .agg(
             F.expr("count(*) as records"), F.expr("min(date) as min_date"),
             F.expr("max(date) as max_date"), F.expr("count(distinct date) as distinct_days"),
         )
         .selectExpr(
-            f"{pair_name('base', 'quote')} as pair", "records", "min_date", "max_date",
+            label, "records", "min_date", "max_date",
             "datediff(max_date, min_date) + 1 as span_days", "distinct_days",
         )
     )
@@ -68,9 +78,9 @@ def coverage_totals(report: DataFrame) -> DataFrame:
     )
 
 
-def present_days(keys: DataFrame, start: str, end: str) -> DataFrame:
+def present_days(keys: DataFrame, start: str, end: str, names: Sequence[str] = FX_KEY) -> DataFrame:
     """Distinct keys inside the window; bounded by pairs times days, however many records."""
-    return keys.where(in_window("date", start, end)).select(*FX_KEY).distinct()
+    return keys.where(in_window("date", start, end)).select(*names).distinct()
 
 
 def missing_dates(universe: DataFrame, keys: DataFrame, start: str, end: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.functions.dates import days, in_window
-from marketspark.functions.text import is_currency
+from marketspark.functions.text import has_text, is_currency
 from marketspark.operators.coverage import missing_dates, present_days
 from marketspark.operators.dedupe import dedupe
 from marketspark.schemas import FX_KEY
@@ -69,35 +69,59 @@ def pair_outcomes(
     universe: DataFrame, batch: DataFrame, existing: DataFrame, start: str, end: str,
     failures: DataFrame | None = None,
 ) -> DataFrame:
-    """Per configured pair: status, records uploaded, records skipped.
+    """Per configured pair (base, quote): status, records uploaded, records skipped; see ``_outcomes``.
 
-    A known pair-day is not fetched and counts as one skip; the second and later
-    records of a fetched pair-day are skipped too. A pair with an invalid code, or
-    one whose fetch the caller reports in ``failures`` (base, quote), fails without
+    A pair with an invalid code fails.
+    """
+    valid = f"({is_currency('base')}) and ({is_currency('quote')})"
+    return _outcomes(universe, batch, existing, ("base", "quote"), valid, start, end, failures)
+
+
+def ticker_outcomes(
+    universe: DataFrame, batch: DataFrame, existing: DataFrame, start: str, end: str,
+    failures: DataFrame | None = None,
+) -> DataFrame:
+    """Per configured ticker: status, records uploaded, records skipped; see ``_outcomes``.
+
+    A blank ticker fails.
+    """
+    return _outcomes(universe, batch, existing, ("ticker",), has_text("ticker"), start, end, failures)
+
+
+def _outcomes(
+    universe: DataFrame, batch: DataFrame, existing: DataFrame, names: Sequence[str], valid: str, start: str, end: str,
+    failures: DataFrame | None,
+) -> DataFrame:
+    """Outcomes per member of a universe.
+
+    A known day is not fetched and counts as one skip; the second and later
+    records of a fetched day are skipped too. A member that is not ``valid``, or
+    one whose fetch the caller reports in ``failures``, fails without
     touching the others.
     """
+    names = list(names)
     if failures is not None:
-        failed = failures.select("base", "quote").distinct().selectExpr("*", "true as _failed")
-        universe = universe.join(failed, ["base", "quote"], "left")
+        failed = failures.select(*names).distinct().selectExpr("*", "true as _failed")
+        universe = universe.join(failed, names, "left")
     else:
         universe = universe.selectExpr("*", "false as _failed")
-    universe = universe.repartition("base", "quote")  # the spine is exploded by many tasks
-    valid = f"({is_currency('base')}) and ({is_currency('quote')}) and _failed is not true"
-    key = list(FX_KEY)
+    universe = universe.repartition(*names)  # the spine is exploded by many tasks
+    fetched = f"({valid}) and _failed is not true"
+    key = ["date", *names]
     wanted = universe.selectExpr(
-        "base", "quote", f"if({valid}, 'successful', 'failed') as status",
-        f"explode_outer(if({valid}, {days(start, end)}, null)) as date",
+        *names, f"if({fetched}, 'successful', 'failed') as status",
+        f"explode_outer(if({fetched}, {days(start, end)}, null)) as date",
     )
-    known = present_days(existing, start, end).selectExpr("*", "1 as known")
+    known = present_days(existing, start, end, key).selectExpr("*", "1 as known")
     inside = batch.where(in_window("date", start, end))
     arrived = inside.groupBy(*key).agg(F.expr("count(*) as arrived"))
     return (
         wanted.join(known, key, "left").join(arrived, key, "left")
         .selectExpr(
-            "base", "quote", "status", "coalesce(known, 0) as known",
+            *names, "status", "coalesce(known, 0) as known",
             "if(known is null, coalesce(arrived, 0), 0) as fetched",
         )
-        .groupBy("base", "quote", "status")
+        .groupBy(*names, "status")
         .agg(
             F.expr("count_if(fetched > 0) as uploaded"),
             F.expr("sum(known + greatest(fetched - 1, 0)) as skipped"),

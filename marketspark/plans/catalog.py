@@ -298,6 +298,24 @@ def outcome_totals(spark: SparkSession, sf: str) -> DataFrame:
     return landing.outcome_totals(pair_outcomes(spark, sf))
 
 
+def _bars(spark: SparkSession, sf: str) -> DataFrame:
+    return given.equity_bronze(spark, sf).selectExpr("date", f"{strip('ticker')} as ticker")
+
+
+def ticker_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Configured tickers: those with bars, one without, one that the caller reports as not fetched."""
+    tickers = [(t.strip(),) for t in given.TICKERS] + [("^NONE",)]
+    configured = spark.createDataFrame(tickers, "ticker string")
+    failed = configured.where(f"ticker = '{given.TICKERS[0]}'")
+    bars = _bars(spark, sf)
+    known = bars.where(f"date <= date '{KNOWN_FX_UNTIL}'")
+    return landing.ticker_outcomes(configured, bars, known, *ALL_DAYS, failed)
+
+
+def ticker_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return cov.ticker_coverage(_bars(spark, sf))
+
+
 def bronze_enriched(spark: SparkSession, sf: str) -> DataFrame:
     """The id is random, so its length and its distinctness are shown instead."""
     records = given.event_records(spark, sf).select("date", "base", "quote", "rate", "arrival_no")
@@ -603,6 +621,8 @@ QUERIES: dict[str, Query] = {
     "landing_summary": landing_summary,
     "pair_outcomes": pair_outcomes,
     "outcome_totals": outcome_totals,
+    "ticker_outcomes": ticker_outcomes,
+    "ticker_coverage": ticker_coverage,
     "bronze_enriched": bronze_enriched,
     "vendor_wide_to_long": vendor_wide_to_long,
     "ticker_key": ticker_key,

@@ -467,4 +467,15 @@ group by d.run, p.base, p.quote""",
     "ordered_silver": _with(*_DEDUPED) + """select row_number() over (order by date, asset_type, instrument, source) as position,
   date, asset_type, instrument, source from kept""",
     "strict_staging": _with(FX_BRONZE, FX_STAGE) + f"select {_FX_KEY}, rate, ingestion_id from fx_stage",
+    "ticker_coverage": _with(EQUITY_BRONZE) + """select trim(ticker) as ticker, count(*) as records, min(date) as min_date, max(date) as max_date,
+  date_diff('day', min(date), max(date)) + 1 as span_days, count(distinct date) as distinct_days from equity_bronze group by trim(ticker)""",
+    "ticker_outcomes": _with(EQUITY_BRONZE, f"""tickers as (
+  select unnest([{', '.join(f"'{t}'" for t in _TICKERS)}, '^NONE']) as ticker),
+days as (select trim(ticker) as ticker, date, count(*) as n from equity_bronze
+  where date between date '{q.ALL_DAYS[0]}' and date '{q.ALL_DAYS[1]}' group by all)""") + f"""
+select t.ticker, case when t.ticker = '{_TICKERS[0]}' then 'failed' else 'successful' end as status,
+  count(d.date) filter (t.ticker <> '{_TICKERS[0]}' and d.date > date '{q.KNOWN_FX_UNTIL}') as uploaded,
+  coalesce(sum(case when t.ticker = '{_TICKERS[0]}' then 0 when d.date > date '{q.KNOWN_FX_UNTIL}' then d.n - 1 else 1 end)
+    filter (d.date is not null), 0)::bigint as skipped
+from tickers t left join days d using (ticker) group by t.ticker""",
 }
