@@ -144,6 +144,13 @@ def documents(n=60):
     return [(i + 100, t) for i, t in enumerate(base + copies + base[:5])]
 
 
+def test_the_link_search_broadcasts_nothing(spark):
+    prints = spark.range(500).selectExpr("id * 7 as fingerprint", "id as doc_id")
+    for df in (simhash.links(prints, 4), simhash.label(prints, 4)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_near_duplicates_and_keep_one(spark):
     rows = documents() + [(i, t) for i, t in AWKWARD if len(t or "") < 1000]
     prints = [brute.fingerprint(t) for _, t in rows]
