@@ -149,6 +149,14 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data, np.int64))
 
 
+def look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Values of keys, all of which are there. Looked up in their order, as neighbours then lie close together in memory."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted), dtype=values.dtype)
+    out[order] = values[np.searchsorted(keys, wanted[order])]
+    return out
+
+
 def bucket_of(keys: np.ndarray, split: int, buckets: int) -> np.ndarray:
     """Strings by their context at ``split``, words by their hash."""
     context = (keys >> 8) & ((1 << (8 * split)) - 1)
@@ -453,13 +461,13 @@ def _score(depth: int, scale: float):
             texts = [t.encode() for t in part["text"].to_pylist()]
             own = np.zeros(len(texts))
             for packed, first, index in _packed(texts, depth):
-                own[index] += np.add.reduceat(value[np.searchsorted(key, packed)], first)
+                own[index] += np.add.reduceat(look_up(key, value, packed), first)
             ids += part["doc_id"].to_pylist()
             held += part["held_out"].to_pylist()
             scores += own.tolist()
             cut = [[*words_of(t), b""] for t in texts]
             fresh = [w for w in set().union(*cut) if w not in logs_of]
-            counts = value[np.searchsorted(key, np.fromiter(map(word_key, fresh), dtype=np.int64, count=len(fresh)))]
+            counts = look_up(key, value, np.fromiter(map(word_key, fresh), dtype=np.int64, count=len(fresh)))
             logs_of.update((w, math.log10((c + 0.5) / scale)) for w, c in zip(fresh, counts.tolist(), strict=True) if c > 0)
             for text, words in zip(texts, cut, strict=True):
                 known = [x for x in map(logs_of.get, words) if x is not None]
@@ -491,15 +499,19 @@ def score(docs: DataFrame, depth: int = DEPTH, split: int = SPLIT) -> DataFrame:
     blocks = keep(joined.mapInArrow(
         _blocks(depth, split, buckets), "block long, bucket long, texts binary, keys binary, counts binary"), "blocks")
     sent = blocks.where("bucket >= 0")
-    merged = keep(sent.select("bucket", "keys", "counts").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+    # Tasks grow in number with the texts, not in size.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_bucket, by_block = max(least, buckets // 4), max(least, math.ceil(total / BLOCK_BYTES))
+    merged = keep(sent.select("bucket", "keys", "counts").repartition(by_bucket, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _merged, "bucket long, keys binary, counts binary, tokens long, words long"), "counts")
     tokens = merged.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("v")).first()
     scale = tokens["n"] + 0.5 * (tokens["v"] + 1) if tokens["n"] else 0.0
     model = model_of(merged, buckets, depth, split).selectExpr("bucket", "cast(null as bigint) as block", "keys", "values")
     asked = model.unionByName(sent.selectExpr("bucket", "block", "keys", "cast(null as binary) as values"))
-    answers = asked.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("block")).select(
+    answers = asked.repartition(by_bucket, "bucket").sortWithinPartitions("bucket", F.asc_nulls_first("block")).select(
         "block", "keys", "values").mapInArrow(_answers, "block long, keys binary, values binary")
-    scored = blocks.where("bucket < 0").select("block", "texts").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    texts = blocks.where("bucket < 0").select("block", "texts").repartition(by_block, "block")
+    scored = texts.groupBy("block").cogroup(answers.repartition(by_block, "block").groupBy("block")).applyInArrow(
         _score(depth, float(scale)), _SCORES)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens["n"]).cast("bigint").alias("train_tokens"), "base_score", "score",
