@@ -39,6 +39,7 @@ from marketspark.llm.common import keep, ship
 CHUNK_BYTES = 1 << 20
 WORDS = 300_000  # remembered at most, before a chunk
 LOOSE = -1
+ROW_WORDS = 500  # new words encoded in one row
 BLOCK_BYTES = 8 << 20
 ROWS = 100_000  # rows of an emitted batch
 _SHIFT = 16  # ids of B are below 2 ** 16
@@ -104,6 +105,18 @@ class Encoders:
         self._flat = [np.empty(0, dtype=np.int32)] * 2  # ids of the words one after the other, by A and by B
         self._sizes = [np.empty(0, dtype=np.int64)] * 2
         self._spelled = np.empty(0, dtype=bool)
+        self._hits = np.empty(0, dtype=np.int64)
+
+    def _shed(self) -> None:
+        """Keep the words met most often, more than once, and at most half as many as fit."""
+        half = WORDS // 2
+        least = max(2, int(np.partition(self._hits, -half)[-half]) + 1) if len(self._hits) > half else 2
+        kept = self._hits >= least
+        number = np.cumsum(kept) - 1
+        self._words = {word: int(number[i]) for word, i in self._words.items() if i != LOOSE and kept[i]}
+        for side, sizes in enumerate(self._sizes):
+            self._flat[side], self._sizes[side] = self._flat[side][np.repeat(kept, sizes)], sizes[kept]
+        self._spelled, self._hits = self._spelled[kept], np.ones(int(kept.sum()), dtype=np.int64)
 
     def _meet(self, words: Iterable[str]) -> None:
         """Learn words that are new. Those with white space at an end are no words: the blank beside them is no place to cut."""
@@ -118,24 +131,52 @@ class Encoders:
 
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of words, and whether they spell a blank and the word."""
+        plain = [w for w in words if self._cut and w and "▁" not in w and not w[0].isspace() and not w[-1].isspace()]
+        # Words that are cut at the blanks before them need not be encoded one by one.
+        found = self._in_rows(plain) if len(plain) >= ROW_WORDS else None
+        if found:
+            self._keep(plain, *found, np.ones(len(plain), dtype=bool))
+            words = list(set(words).difference(plain))
+        if not words:
+            return
         whole = [f" {w}".encode() for w in words]
-        lengths = np.array([len(w) for w in whole], dtype=np.int64)
-        spelled = np.ones(len(words), dtype=bool)
         lists = [e.ids for e in self._a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)], self._b.encode(words, num_threads=1)
-        for side, (found, table, sizes) in enumerate(zip(lists, (self.bytes_a, self.bytes_b), (self.size_a, self.size_b), strict=True)):
-            n = np.array([len(ids) for ids in found], dtype=np.int64)
-            flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(n.sum()))
-            self._sizes[side] = np.concatenate([self._sizes[side], n])
-            self._flat[side] = np.concatenate([self._flat[side], flat])
-            ends = np.concatenate([[0], np.cumsum(sizes[flat])])
-            places = np.cumsum(n)
-            # All are spelled if they are as long and their bytes in a row are the same; else each is looked at.
-            same_length = np.array_equal(ends[places] - ends[places - n], lengths)
-            if not same_length or b"".join(map(table.__getitem__, flat.tolist())) != b"".join(whole):
-                spelled &= [b"".join(map(table.__getitem__, ids)) == w for ids, w in zip(found, whole, strict=True)]
+        spelled = np.ones(len(words), dtype=bool)
+        sides = []
+        for ids_of, table in zip(lists, (self.bytes_a, self.bytes_b), strict=True):
+            spelled &= [b"".join(map(table.__getitem__, ids)) == w for ids, w in zip(ids_of, whole, strict=True)]
+            n = np.array([len(ids) for ids in ids_of], dtype=np.int64)
+            sides.append((np.fromiter(chain.from_iterable(ids_of), dtype=np.int32, count=int(n.sum())), n))
+        self._keep(words, *sides, spelled)
+
+    def _in_rows(self, words: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]] | None:
+        """Ids of words and how many each has, by both; None unless rows of words are spelled, and every word ends with a token."""
+        rows = [" ".join(words[k:k + ROW_WORDS]) for k in range(0, len(words), ROW_WORDS)]
+        lengths = np.cumsum([len(w.encode()) + 1 for w in words])
+        whole = b"".join(f" {row}".encode() for row in rows)
+        sides = []
+        for lists, table, sizes in (
+            ([e.ids for e in self._a.encode_batch_fast([f" {row}" for row in rows], add_special_tokens=False)], self.bytes_a, self.size_a),
+            (self._b.encode(rows, num_threads=1), self.bytes_b, self.size_b),
+        ):
+            flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32)
+            ends = np.cumsum(sizes[flat])
+            last = np.searchsorted(ends, lengths)
+            if not len(ends) or last[-1] >= len(ends) or not np.array_equal(ends[last], lengths):
+                return None
+            if b"".join(map(table.__getitem__, flat.tolist())) != whole:
+                return None
+            sides.append((flat, np.diff(last, prepend=-1)))
+        return sides[0], sides[1]
+
+    def _keep(self, words: list[str], a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], spelled: np.ndarray) -> None:
         known = len(self._spelled)
         self._words.update(zip(words, range(known, known + len(words)), strict=True))
         self._spelled = np.concatenate([self._spelled, spelled])
+        self._hits = np.concatenate([self._hits, np.zeros(len(words), dtype=np.int64)])
+        for side, (flat, n) in enumerate((a, b)):
+            self._flat[side] = np.concatenate([self._flat[side], flat])
+            self._sizes[side] = np.concatenate([self._sizes[side], n])
 
     def _joined(self, parts: list[str]) -> list[str]:
         """Parts of a text with those beside a loose one put together again."""
@@ -153,7 +194,7 @@ class Encoders:
         """Numbers of the words that make up each text."""
         known = self._words
         cut = [t.split(" ") if self._cut else [t] for t in texts]
-        self._meet({w for parts in cut for w in parts if w not in known})
+        self._meet(set(chain.from_iterable(cut)).difference(known))
         out = [list(map(known.__getitem__, parts)) for parts in cut]
         loose = [i for i, numbers in enumerate(out) if LOOSE in numbers]
         if loose:
@@ -169,10 +210,11 @@ class Encoders:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts by both, and how many each text has; none where they do not spell a blank and the text."""
         if max(len(self._words), len(self._spelled)) > WORDS:
-            self._forget()
+            self._shed()
         numbers = self._numbers(texts)
         count = np.array([len(x) for x in numbers])
         word = np.fromiter(chain.from_iterable(numbers), dtype=np.int64, count=int(count.sum()))
+        self._hits += np.bincount(word, minlength=len(self._hits))
         first = np.cumsum(count) - count
         whole = np.logical_and.reduceat(self._spelled[word], first) & np.array([bool(t) for t in texts])
         word = word[np.repeat(whole, count)]
@@ -211,6 +253,8 @@ def common_ends(ea: np.ndarray, eb: np.ndarray, first: np.ndarray, last: np.ndar
         low, high = low[some], high[some]
         if not len(low):
             return shared
+        order = np.argsort(low)  # neighbours are looked up after each other
+        low, high = low[order], high[order]
         middle = (low + high) >> 1
         cut, distance = np.full(len(low), -1), np.zeros(len(low), dtype=np.int64)
         looking, near, far = np.arange(len(low)), 0, 1

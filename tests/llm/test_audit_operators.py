@@ -149,6 +149,17 @@ def test_words_alone_have_the_ids_of_whole_texts(texts):
     assert a.tolist() == [i for x, _ in wanted for i in x] and b.tolist() == [i for _, y in wanted for i in y]
 
 
+def test_words_are_forgotten_without_harm(monkeypatch):
+    monkeypatch.setattr(alignment, "WORDS", 40)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.choice([1, 2, rng.randrange(500)])}" for _ in range(30)) for _ in range(40)]
+    enc, wanted = alignment.Encoders(*PATHS), plain_tokens(texts)
+    for text, (x, y) in zip(texts, wanted, strict=True):
+        a, b, *_ = enc.encode([text])
+        assert a.tolist() == x and b.tolist() == y
+    assert len(enc._words) < 100
+
+
 def plain_tokens(texts):
     enc, out = alignment.encoders(*PATHS), []
     for text in texts:
