@@ -385,23 +385,20 @@ def published_versions(spark: SparkSession, sf: str) -> DataFrame:
         tables.read_table(spark, root).selectExpr(summary[0].format("after"), *summary[1:]))
 
 
-def _runs_out_of_order(spark: SparkSession, sf: str) -> jobs.Paths:
-    """Later days of the euro pairs, then the earlier ones, then one quarter of the other pairs."""
-    paths = jobs.Paths(scratch(spark, "maintained"))
+def _windows_out_of_order(spark: SparkSession, sf: str) -> list[tuple[tuple[str, str], DataFrame, DataFrame]]:
+    """Window, fetched rates and failed pairs: later days of the euro pairs, then the earlier ones, then one quarter of the other pairs."""
     rates, euro = _clean_fx(spark, sf), F.col("base") == "EUR"
-    for window, some in (
-        ((_next_day(KNOWN_FX_UNTIL), ALL_DAYS[1]), euro), ((ALL_DAYS[0], KNOWN_FX_UNTIL), euro), (QUARTER, ~euro),
-    ):
-        jobs.run(
-            spark, paths, window, rates=rates.where(some), run_at=RUN_AT, grain="month", rates_arrival=["arrival_no"],
-            pairs=universe.pair_frame(spark, universe.parse_pairs(DEFAULT_PAIRS)),
-            failures=rates.where(some & (F.col("quote") == FAILED_QUOTE)).select("base", "quote"), run_key=window[0])
-    return paths
+    windows = (
+        ((_next_day(KNOWN_FX_UNTIL), ALL_DAYS[1]), euro), ((ALL_DAYS[0], KNOWN_FX_UNTIL), euro), (QUARTER, ~euro))
+    failed = F.col("quote") == FAILED_QUOTE
+    return [(window, rates.where(some), rates.where(some & failed).select("base", "quote")) for window, some in windows]
 
 
 def maintained_gold(spark: SparkSession, sf: str) -> DataFrame:
     """Daily returns and weeks after windows out of order; each run rewrote only what it changed."""
-    paths = _runs_out_of_order(spark, sf)
+    paths = jobs.Paths(scratch(spark, "maintained"))
+    for window, rates, _ in _windows_out_of_order(spark, sf):
+        jobs.run(spark, paths, window, rates=rates, run_at=RUN_AT, grain="month", rates_arrival=["arrival_no"])
     names = list(GOLD_INSTRUMENTS.values())
     returns = jobs.read_returns(spark, paths).unpivot("date", names, "name", "value").where("value is not null")
     weeks = jobs.read_weekly(spark, paths).selectExpr(
@@ -410,8 +407,13 @@ def maintained_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    """What became of every configured pair in each of those runs; the caller reported one as failed."""
-    return jobs.read_outcomes(spark, _runs_out_of_order(spark, sf))
+    """What became of every configured pair in the landing of those windows; the caller reported one as failed."""
+    paths = jobs.Paths(scratch(spark, "outcomes"))
+    pairs = universe.pair_frame(spark, universe.parse_pairs(DEFAULT_PAIRS))
+    for window, rates, failures in _windows_out_of_order(spark, sf):
+        jobs.record_outcomes(spark, paths, window[0], pairs, rates, window, failures)
+        jobs.land(rates, paths.of("bronze", "rates"), FX_BRONZE, FX_KEY, "fx", window, ["arrival_no"], RUN_AT, "month")
+    return jobs.read_outcomes(spark, paths)
 
 
 def medallion_run(spark: SparkSession, sf: str) -> DataFrame:

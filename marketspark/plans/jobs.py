@@ -321,8 +321,9 @@ def run_analytics(spark: SparkSession, paths: Paths) -> None:
     publish_version(weekly_summary(weekly), paths.of("analytics", "weekly_summary"))
 
 
-def _note(spark: SparkSession, paths: Paths, run_id: str, start: str, done: bool) -> None:
-    note = f"select '{run_id}' as run, '{start}' as start, {str(done).lower()} as done, current_timestamp() as noted"
+def _note(spark: SparkSession, paths: Paths, run_id: str, start: str) -> None:
+    """Note that a run is about to change rows from ``start`` on."""
+    note = f"select '{run_id}' as run, '{start}' as start, false as done, current_timestamp() as noted"
     spark.sql(note).coalesce(1).write.mode("append").parquet(paths.of("state", "runs"))
 
 
@@ -334,6 +335,12 @@ def _runs(spark: SparkSession, paths: Paths) -> DataFrame:
         F.min("start").alias("start"), F.min("noted").alias("began"), F.max("noted").alias("noted"), F.max("done").alias("done"))
 
 
+def _end(spark: SparkSession, paths: Paths) -> None:
+    """Note the end of a run, and of earlier ones that did not end: it has made up for them. Runs do not overlap."""
+    ended = _runs(spark, paths).where("not done").selectExpr("run", "start", "true as done", "current_timestamp() as noted")
+    ended.coalesce(1).write.mode("append").parquet(paths.of("state", "runs"))
+
+
 def changed_from(spark: SparkSession, paths: Paths) -> str | None:
     """First day of all windows whose run has begun and not ended: Silver may lack them."""
     return _runs(spark, paths).where("not done").agg(F.min("start")).first()[0]
@@ -439,7 +446,7 @@ def run(
     for layer in ("models", "silver"):
         check_grain(spark, paths.of(layer, "silver"), SILVER, grain)
     run_id = uuid.uuid4().hex
-    _note(spark, paths, run_id, min(since or window[0], window[0]), False)
+    _note(spark, paths, run_id, min(since or window[0], window[0]))
     if rates is not None:
         if pairs is not None:
             record_outcomes(spark, paths, run_key or "_".join(window), pairs, rates, window, failures)
@@ -451,7 +458,7 @@ def run(
              window, run_at=run_at, grain=grain)
     stage(spark, paths, window, seen_since(spark, paths, run_id), strict)
     publish_all(spark, paths, run_id, window, None if rebuild else changed_from(spark, paths), grain)
-    _note(spark, paths, run_id, window[0], True)
+    _end(spark, paths)
 
 
 def run_store(
@@ -471,11 +478,11 @@ def run_store(
             stage_new_files(
                 spark, root, schema, staged_rows, paths.of("staging", name), keys, order, paths.of("state", f"offsets-{name}"),
                 multi_line, pattern=pattern, rules=rules, feed=name, dead=paths.of("quarantine", "documents"),
-                changed=lambda day: _note(spark, paths, run_id, day, False),
+                changed=lambda day: _note(spark, paths, run_id, day),
             ).awaitTermination()
     start = changed_from(spark, paths)
     if start is None:
         return False
     publish_all(spark, paths, run_id, window, start, grain)
-    _note(spark, paths, run_id, start, True)
+    _end(spark, paths)
     return True

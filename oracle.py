@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from marketspark.plans import catalog as q
 from marketspark.schemas import DEFAULT_PAIRS, GOLD_INSTRUMENTS
+from marketspark.schemas import SILVER as SILVER_LAYOUT
 
 FX_BRONZE = """fx_bronze as (
   select cast(o_orderdate as date) as date,
@@ -91,16 +92,23 @@ EQUITY_STAGE = f"""equity_stage as (
     ingestion_timestamp, ingestion_id
   from equity_bronze where {_all(EQUITY_RULES)})"""
 
-UNIFIED = """unified as (
-  select date, 'FX' as asset_type, base || '/' || quote as instrument, base, quote,
-    cast(null as double) as open, cast(null as double) as high, cast(null as double) as low,
-    cast(null as double) as close, cast(null as double) as adj_close,
-    cast(null as bigint) as volume, rate, source, ingestion_timestamp, ingestion_id
-  from fx_stage
-  union all
-  select date, 'EQUITY', instrument, null, null, open, high, low, close, adj_close, volume,
-    cast(null as double), source, ingestion_timestamp, ingestion_id
-  from equity_stage)"""
+_SQL_TYPES = {"string": "varchar", "double": "double", "bigint": "bigint", "date": "date"}
+
+
+def _aligned(table: str, **values: str) -> str:
+    """A stage in the Silver layout: the values given, and nulls of the column's type."""
+    cells = [
+        f"{values.get(f.name, f'cast(null as {_SQL_TYPES[f.dataType.simpleString()]})')} as {f.name}"
+        for f in SILVER_LAYOUT if f.name != "return"]
+    return f"select {', '.join(cells)}, ingestion_timestamp, ingestion_id from {table}"
+
+
+_FX_ALIGNED = _aligned(
+    "fx_stage", date="date", asset_type="'FX'", instrument="base || '/' || quote", base="base", quote="quote", rate="rate", source="source")
+_EQUITY_ALIGNED = _aligned(
+    "equity_stage", asset_type="'EQUITY'",
+    **{name: name for name in ("date", "instrument", "open", "high", "low", "close", "adj_close", "volume", "source")})
+UNIFIED = f"unified as ({_FX_ALIGNED} union all {_EQUITY_ALIGNED})"
 
 _ORDER = ("ingestion_timestamp", "ingestion_id", "adj_close", "high", "volume", "rate",
           "open", "low", "close")
@@ -156,12 +164,7 @@ _MARKET = {"value": "", "log_return": "_log_return", "volatility": "_volatility"
 
 # Weekly
 
-_UNIFIED_FX = """unified as (
-  select date, 'FX' as asset_type, base || '/' || quote as instrument, base, quote,
-    cast(null as double) as open, cast(null as double) as high, cast(null as double) as low,
-    cast(null as double) as close, cast(null as double) as adj_close,
-    cast(null as bigint) as volume, rate, source, ingestion_timestamp, ingestion_id
-  from fx_stage)"""
+_UNIFIED_FX = f"unified as ({_FX_ALIGNED})"
 
 _WEEKLY = _with(FX_BRONZE, FX_STAGE, _UNIFIED_FX, _kept("desc"), """raw_weekly as (
   select cast(date_trunc('week', date) as date) as week_start, base, quote,

@@ -164,12 +164,13 @@ def test_a_rebuild_keeps_no_stale_partition(spark, tmp_path):
 def test_an_unfinished_run_is_made_up_for(spark, tmp_path):
     paths = jobs.Paths(str(tmp_path / "lake"))
     jobs.run(spark, paths, ("2026-08-28", "2026-08-28"), rates(spark, (28, "EUR", 2.0)))
-    jobs._note(spark, paths, "lost", "2026-08-03", False)  # it staged, and then the driver went away
+    jobs._note(spark, paths, "lost", "2026-08-03")  # it staged, and then the driver went away
     source = batch(spark, (8, 3, "EUR", 1.0)).selectExpr("*", "'fx' as source").select(*FX_STAGING.fieldNames())
     upsert(source, paths.of("staging", "rates"), FX_KEY, FX_ORDER)
     jobs.run(spark, paths, ("2026-08-29", "2026-08-29"), rates(spark, (29, "EUR", 4.0)))
     silver = tables.read_by_date(spark, paths.of("silver", "silver"), SILVER)
     assert sorted((r.date.day, r["return"]) for r in silver.collect()) == [(3, None), (28, 1.0), (29, 1.0)]
+    assert jobs.changed_from(spark, paths) is None  # and is not made up for again
 
 
 BAR = ("Open", "High", "Low", "Close", "Adj Close", "Volume")
