@@ -32,9 +32,9 @@ from pyspark.sql import types as T
 from marketspark.llm.common import ship
 
 _NONE = 1 << 60
-_PIECES, _MATCHES = 250_000, 150_000  # a worker remembers so many before it starts afresh; matches serve new pieces only
+_PIECES, _MATCHES = 125_000, 350_000  # a generation of what a worker remembers
 _ROWS = 512  # rows held as Python objects
-_CHARS = 1_000_000  # texts are encoded together up to so many characters, or one by one if longer
+_CHARS = 2_000_000  # texts are encoded together up to so many characters, or one by one if longer
 
 
 def load_ranks(lines: list[bytes]) -> dict[bytes, int]:
@@ -181,12 +181,16 @@ class Codec:
         self._text_of = {i: str(i) for i in self._bytes_of}
         self._find = regex.compile(pattern).findall
         self._forest = Forest(ranks)
+        # Two generations of each: what is met again moves to the younger one, and the older one is forgotten when that is full.
         self._matches: dict[str, tuple[int, ...]] = {}
         self._pieces: dict[str, Entry | None] = {}
+        self._old_matches, self._old_pieces = self._matches, self._pieces
 
     def _learn(self, matches: set[str]) -> None:
-        known = self._matches
-        new = [m for m in matches if m not in known]
+        known, old = self._matches, self._old_matches
+        unseen = [m for m in matches if m not in known]
+        known.update((m, old[m]) for m in unseen if m in old)
+        new = [m for m in unseen if m not in old]
         short = []
         for match in new:
             raw = match.encode()
@@ -222,12 +226,14 @@ class Codec:
     def entries(self, texts: list[str]) -> Iterator[list[Entry]]:
         """For each text the entries that make it up, in order."""
         if len(self._pieces) > _PIECES:
-            self._pieces = {}
+            self._old_pieces, self._pieces = self._pieces, {}
         if len(self._matches) > _MATCHES:
-            self._matches = {}
+            self._old_matches, self._matches = self._matches, {}
         cut = [text.split(" ") for text in texts]
-        known = self._pieces
-        fresh = {p: self._split(p) for p in set().union(*(c[1:] for c in cut)) if p not in known}
+        known, old = self._pieces, self._old_pieces
+        unseen = [p for p in set().union(*(c[1:] for c in cut)) if p not in known]
+        known.update((p, old[p]) for p in unseen if p in old)
+        fresh = {p: self._split(p) for p in unseen if p not in old}
         opening = chain.from_iterable(self._find(c[0]) for c in cut)
         self._learn(set(chain(opening, chain.from_iterable(m for m in fresh.values() if m))))
         for piece, matches in fresh.items():
