@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert names["pipeline"] is corpus_pipeline.run and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
