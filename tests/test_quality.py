@@ -138,3 +138,19 @@ def test_junk_after_a_date_and_any_text_as_a_literal(spark):
     assert got == shown
     for text in ("a\U0001f600b", "it's", "back\\slash \\n", '"', "\n\t", ""):
         assert spark.range(1).selectExpr(f"{literal(text)} as x").first().x == text
+
+
+def test_a_rule_is_evaluated_once_per_row(spark):
+    rows = spark.createDataFrame([(-1.0,), (1.0,)], "v double")
+    marked = q.with_reasons(rows, [q.Rule("large", "v + 4321 > 4321"), q.Rule("any", "v is not null")])
+    assert sorted(map(tuple, marked.collect())) == [(-1.0, ["large"], "large"), (1.0, [], None)]
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("> 4321") == 1 and "lambda" not in plan
+
+
+def test_screened_rows_meet_no_rule_again(spark, documents):
+    docs = read_documents(spark, documents({**BAR, "ticker": " A "}), EQUITY_BRONZE)
+    assert "rlike" in stage_equity(docs)._jdf.queryExecution().optimizedPlan().toString().lower()
+    again = stage_equity(docs, screened=True)
+    assert again.collect() == stage_equity(docs).collect()
+    assert "isnotnull(ticker" not in again._jdf.queryExecution().optimizedPlan().toString()

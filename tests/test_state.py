@@ -6,6 +6,7 @@ from marketspark.operators.upsert import upsert
 from marketspark.plans import jobs, layers
 from marketspark.plans.staging import FX_ORDER, stage_fx
 from marketspark.schemas import FX_BRONZE, FX_KEY, FX_STAGING, SILVER
+from marketspark.session import stored
 from marketspark.sources import tables
 from marketspark.sources.bronze import append_documents, read_landed
 from marketspark.sources.universe import parse_tickers
@@ -292,3 +293,13 @@ def test_an_empty_run_is_refused_before_publishing(spark, tmp_path):
     with pytest.raises(ValueError, match="silver"):
         jobs.run(spark, paths, ("2026-08-24", "2026-08-25"))
     assert not (tmp_path / "lake" / "silver").exists()
+
+
+def test_bronze_to_silver_keeps_no_copy_without_dead_letters(spark, documents, tmp_path, monkeypatch):
+    names = []
+    monkeypatch.setattr(jobs, "stored", lambda df, name: names.append(name) or stored(df, name))
+    bar = {"date": "2026-08-24", "ticker": "A", "open": 10.0, "high": 12.0, "low": 9.0, "close": 11.0, "adj_close": 11.0, "volume": 5}
+    bars = documents(bar, {**bar, "open": -1}, "not json", root="bars")
+    assert jobs.bronze_to_silver(spark, str(tmp_path / "none"), bars, str(tmp_path / "silver"))
+    assert names == ["silver"]
+    assert [r.instrument for r in spark.read.parquet(str(tmp_path / "silver")).collect()] == ["A"]
