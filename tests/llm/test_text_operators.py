@@ -72,6 +72,27 @@ def test_bpe_equals_the_library(vocabulary):
         assert b"".join(e[2] for e in found) == text.encode()
 
 
+def test_bpe_remembers_only_what_comes_again(vocabulary):
+    path, _, library = vocabulary
+    own = bpe.Codec(bpe.codec(path, public_tokenizers.PATTERN).ranks, public_tokenizers.PATTERN)
+    draw = random.Random(9)
+    often = ["".join(draw.choice("aeinst") for _ in range(9)) for _ in range(50)]
+    for k in range(5):
+        texts = [" ".join([f"x{k}x{i}qz,", *draw.sample(often, 8), f"y{k}y{i}zq"]) for i in range(400)]
+        assert own.encoded(texts).to_pylist() == [library.encode_ordinary(t) for t in texts]
+    held = sum(len(store) for store in vars(own).values() if isinstance(store, dict) and store and isinstance(next(iter(store)), str))
+    assert held <= 2 * len(often)
+
+
+def test_bpe_arrays(vocabulary):
+    _, own, library = vocabulary
+    texts = ["", " ", "a  b", " a b", "a b ", "one two", "one\n\ntwo three", "é è\x85 ê", "x" * 100 + " y"]
+    ids = own.encoded(texts)
+    assert ids.to_pylist() == [library.encode_ordinary(t) for t in texts]
+    assert own.decoded(ids).to_pylist() == [t.encode() for t in texts]
+    assert own.decimal(ids).to_pylist() == [" ".join(map(str, x)) for x in ids.to_pylist()]
+
+
 def test_forest_equals_single_tree(vocabulary):
     _, own, _ = vocabulary
     draw = random.Random(4)
