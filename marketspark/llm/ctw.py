@@ -168,6 +168,15 @@ def bucket_of_context(split: int, buckets: int) -> str:
     return f"pmod(shiftright((context * {_SPREAD}L) & {_LOW}L, 8), {buckets}L)"
 
 
+def bucket_tasks(buckets: int, cores: int) -> int:
+    """Tasks that work through the buckets: four buckets each, which come one after the other, but enough tasks for the cores.
+
+    They grow in number with the texts, not in size. Each writes a file, and Spark's writer on a local disk starts
+    a process for every file, so there are no more of them than that.
+    """
+    return max(math.ceil(buckets / 4), min(buckets, 3 * cores))
+
+
 _PART = ["doc_id", "held_out", "text"]
 _BLOCK = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("texts", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
 
@@ -499,9 +508,8 @@ def score(docs: DataFrame, depth: int = DEPTH, split: int = SPLIT) -> DataFrame:
     blocks = keep(joined.mapInArrow(
         _blocks(depth, split, buckets), "block long, bucket long, texts binary, keys binary, counts binary"), "blocks")
     sent = blocks.where("bucket >= 0")
-    # Tasks grow in number with the texts, not in size.
-    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_bucket, by_block = max(least, buckets // 4), max(least, math.ceil(total / BLOCK_BYTES))
+    by_bucket = bucket_tasks(buckets, docs.sparkSession.sparkContext.defaultParallelism)
+    by_block = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BLOCK_BYTES))
     merged = keep(sent.select("bucket", "keys", "counts").repartition(by_bucket, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _merged, "bucket long, keys binary, counts binary, tokens long, words long"), "counts")
     tokens = merged.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("v")).first()

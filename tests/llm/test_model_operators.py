@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 
 from marketspark.llm import ann, ctw, pfp, toxicity, warc
+from marketspark.llm.common import keep
 from tests.llm import brute
 from tests.llm.test_text_operators import AWKWARD, table
 
@@ -285,3 +286,19 @@ def test_vectors_of_other_lengths_are_searched_among_their_own(spark):
     assert all(r.query_id % 2 == r.vec_id % 2 for r in got)
     repeated = ann.nearest(vectors(spark, [(0, [1.0, 2.0])] * 3 + [(1, [0.5, 0.5])])).collect()
     assert sorted((r.query_id, r.rank, r.vec_id) for r in repeated) == sorted([(0, 1, 0), (0, 2, 0), (0, 3, 1)] * 3)
+
+
+def test_ctw_writes_no_file_per_shuffle_partition(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(ctw, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(ctw, "keep", lambda df, name: kept.setdefault(name, keep(df, name)))
+    draw = random.Random(8)
+    docs = spark.createDataFrame([(i, "".join(draw.choices("abcdefgh ", k=4_000))) for i in range(200)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert ctw.score(docs).count() == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(kept["counts"].inputFiles()) <= ctw.bucket_tasks(40, spark.sparkContext.defaultParallelism)
+    assert [ctw.bucket_tasks(*x) for x in ((1, 8), (10, 2), (96, 6), (4_000, 6))] == [1, 6, 24, 1000]
