@@ -4,7 +4,10 @@ import pytest
 
 from marketspark.operators import coverage as cov
 from marketspark.operators import landing
-from marketspark.schemas import FX_KEY
+from marketspark.plans import catalog
+from marketspark.schemas import FX_BRONZE, FX_KEY
+from marketspark.session import scratch, setting
+from marketspark.sources import bronze
 from marketspark.sources.universe import pair_frame, parse_pairs, parse_tickers
 from marketspark.sources.vendor import wide_to_long
 from marketspark.functions.text import safe_ticker
@@ -121,3 +124,69 @@ def test_wide_frame_errors(spark):
         wide_to_long(spark.range(1), ["A"])
     with pytest.raises(ValueError, match="Adj Close"):
         wide_to_long(wide(spark).drop("^A|Adj Close"), ["^A"])
+
+
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@pytest.mark.parametrize("open_files", [128, 2])  # with two, a task sorts what belongs to further days
+def test_packed_documents_are_compressed_and_not_shuffled(spark, tmp_path, monkeypatch, open_files):
+    monkeypatch.setattr(bronze, "_OPEN_FILES", open_files)
+    monkeypatch.setitem(bronze._PACKING, "maxRecordsPerFile", 30)
+    rates = spark.range(2000, numPartitions=2).selectExpr(
+        "if(id % 100 = 0, 'soon', cast(date_add(date '2026-08-24', cast(id % 7 as int)) as string)) as date",
+        "if(id % 90 = 0, null, 'EUR') as base", "'USD' as quote", "id / 7 as rate", "'fx' as source",
+        "'2026-09-01T00:00:00Z' as ingestion_timestamp", "cast(id as string) as ingestion_id")
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    bronze.append_documents(rates, plain)
+    group = f"packed-{open_files}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        bronze.append_documents(rates, packed, packed=True)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getJobInfo(job).stageIds for job in tracker.getJobIdsForGroup(group)]
+    assert stages and all(len(ids) == 1 for ids in stages), "a second stage reads a shuffle"
+    files = [f for f in (tmp_path / "packed").rglob("part-*")]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    size = lambda root: sum(f.stat().st_size for f in root.rglob("part-*"))
+    assert size(tmp_path / "packed") < size(tmp_path / "plain") / 2
+    read = lambda root, pattern: sorted(
+        map(repr, bronze.read_documents(spark, root, FX_BRONZE, multi_line=False, pattern=pattern).drop("source_file", "file_modified").collect()))
+    expected = read(plain, "*.json")
+    assert len(expected) == 2000 and read(packed, bronze.PACKED) == expected
+    held = bronze.read_documents(spark, packed, FX_BRONZE, multi_line=False, pattern=bronze.PACKED).groupBy("source_file").count()
+    assert held.selectExpr("max(count) as most").first().most == 30
+    assert {f.parent.name for f in files} == {f.parent.name for f in (tmp_path / "plain").rglob("part-*")}
+
+
+def test_a_setting_ends_with_its_block(spark):
+    before = spark.conf.get(OPEN_FILES)
+    with pytest.raises(ZeroDivisionError), setting(spark, OPEN_FILES, "7"):
+        assert spark.conf.get(OPEN_FILES) == "7"
+        1 / 0
+    assert spark.conf.get(OPEN_FILES) == before and spark.conf.get(OPEN_FILES, None) is None
+    with setting(spark, OPEN_FILES, "7"):
+        with setting(spark, OPEN_FILES, "8"):
+            pass
+        assert spark.conf.get(OPEN_FILES) == "7"
+
+
+def test_the_bronze_to_silver_job_keeps_no_plain_documents(spark, tmp_path, monkeypatch):
+    roots = {}
+    monkeypatch.setattr(catalog, "scratch", lambda spark, name: roots.setdefault(name, scratch(spark, name)))
+    day = "timestamp_ntz '1996-03-01' + make_dt_interval(cast(id % 40 as int))"
+    spark.range(400).selectExpr(
+        "id as o_orderkey", "id % 9 as o_custkey", f"{day} as o_orderdate", "9000.25D + id as o_totalprice",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(400).selectExpr(
+        "id as l_orderkey", "1 as l_linenumber", "id % 9 as l_partkey", "20D as l_quantity", "8000.5D + id as l_extendedprice",
+        "0.05D as l_discount", "0.02D as l_tax", f"{day} as l_shipdate",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    silver = catalog.bronze_to_silver_job(spark, str(tmp_path))
+    assert {r.asset_type for r in silver.select("asset_type").distinct().collect()} == {"FX", "EQUITY"}
+    for name in ("rates", "bars"):
+        documents = spark.read.option("recursiveFileLookup", True).json(roots[name])
+        assert documents.count() == 400
+        assert all(f.endswith(".json.gz") for f in documents.inputFiles())
